@@ -1,0 +1,63 @@
+"""Column-to-Column helpers; everything here stays inside whole-stage codegen."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def trimmed(c: Column) -> Column:
+    return F.trim(c)
+
+
+def upper_trimmed(c: Column) -> Column:
+    return F.upper(F.trim(c))
+
+
+def lower_trimmed(c: Column) -> Column:
+    return F.lower(F.trim(c))
+
+
+def title_trimmed(c: Column) -> Column:
+    return F.initcap(F.trim(c))
+
+
+def holds(rule: Column) -> Column:
+    """SQL filters keep a row only if the predicate is TRUE, so an unknown result counts as failed."""
+    return F.coalesce(rule, F.lit(False))
+
+
+def absent_or(rule: Column, *optional: Column) -> Column:
+    """The rule, waived when any of the optional columns is NULL."""
+    for c in optional:
+        rule = c.isNull() | rule
+    return rule
+
+
+def guarded_ratio(numerator: Column, denominator: Column) -> Column:
+    """NULL unless the denominator is positive."""
+    return F.when(denominator > 0, numerator / denominator)
+
+
+def elapsed_hours(start: Column, end: Column) -> Column:
+    """Hours between two timestamps, each floored to its whole second; NULL while still open."""
+    return (F.unix_seconds(end) - F.unix_seconds(start)) / F.lit(3600.0)
+
+
+def flag(condition: Column) -> Column:
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+
+
+def mean_from_parts(total: Column, n: Column, mean_scale: int | None) -> Column:
+    """The average whose sum and count were aggregated beforehand.
+
+    ``mean_scale`` is the scale Spark's own ``avg`` would give for a decimal input (``None`` for doubles).
+    Whole part and remainder are divided apart, so the quotient keeps that scale however large the sum is.
+    """
+    if mean_scale is None:
+        return F.when(n > 0, total / n)
+    count = n.cast("decimal(20,0)")
+    rest = total % count
+    whole = ((total - rest) / count).cast(f"decimal({37 - mean_scale},0)")
+    fraction = (rest.cast(f"decimal(38,{mean_scale})") / count).cast(f"decimal({mean_scale + 1},{mean_scale})")
+    return F.when(n > 0, whole + fraction)
