@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -188,9 +188,7 @@ def run_batch(
     )
 
 
-def start_bronze_stream(
-    records: DataFrame, layout: Layout, drain: bool = False, state_partitions: int | None = None
-) -> StreamingQuery:
+def start_bronze_stream(records: DataFrame, layout: Layout, drain: bool = False) -> StreamingQuery:
     """Sensor records (Kafka or record-shaped) into the streaming Bronze table."""
     path = layout.path(BRONZE_EVENTS, EVENT_TABLE)
     checkpoint = layout.checkpoint(BRONZE_EVENTS, EVENT_TABLE)
@@ -231,8 +229,6 @@ def _write_gold(df: DataFrame, layout: Layout, table: str) -> int:
 
 
 def _observed(df: DataFrame, metrics: Mapping[str, object]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
-    from pyspark.sql import Observation
-
     observation = Observation()
     watched = df.observe(observation, *(c.alias(name) for name, c in metrics.items()))
     return watched, lambda: dict(observation.get)
