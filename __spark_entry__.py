@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle
@@ -33,15 +33,33 @@ def present(df: DataFrame) -> DataFrame:
     """What leaves a query: no run-time stamps, decimals as doubles, timestamps without zone."""
     out = []
     for f in df.schema.fields:
-        if f.name.endswith("_at") and f.name.startswith("_") or f.name == "_ingestion_timestamp":
+        value = f"`{f.name}`"
+        if f.name.startswith("_") and f.name.endswith(("_at", "_timestamp")):
             continue
-        c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
-            c = (F.round(c, 9) if f.dataType.scale > 9 else c).cast("double")
+            value = f"cast({f'round({value}, 9)' if f.dataType.scale > 9 else value} as double)"
         elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            value = f"cast({value} as timestamp_ntz)"
+        out.append(f"{value} as `{f.name}`")
+    return df.selectExpr(*out)
+
+
+class SilverTables(Mapping):
+    """Silver frames of one data set, each put together when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._built:
+            self._built[table] = silver(self._spark, self._sf_dir, table)
+        return self._built[table]
+
+    def __iter__(self):
+        return iter(OPERATIONAL_TABLES)
+
+    def __len__(self) -> int:
+        return len(OPERATIONAL_TABLES)
 
 
 def bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,7 +72,7 @@ def silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def gold_keyed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = {t: silver(spark, sf_dir, t) for t in OPERATIONAL_TABLES}
+    tables = SilverTables(spark, sf_dir)
     return {**marts.build_dimensions(tables), **marts.build_facts(tables)}
 
 
@@ -76,49 +94,55 @@ def silver_sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout, pipeline.SILVER_EVENTS, pipeline.EVENT_TABLE).drop("raw_value", "kafka_offset")
 
 
-def _mart(table: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return gold_keyed(spark, sf_dir)[table]
+def dim_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_machines(silver(spark, sf_dir, "machines"), silver(spark, sf_dir, "workshops"))
 
-    return run
+
+def dim_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_sensors(silver(spark, sf_dir, "sensors"), dim_machines(spark, sf_dir))
+
+
+def _from_silver(build: Callable[[DataFrame], DataFrame], table: str) -> Query:
+    return lambda spark, sf_dir: build(silver(spark, sf_dir, table))
 
 
-def _kpi_inputs(spark: SparkSession, sf_dir: str):
-    tables = {t: silver(spark, sf_dir, t) for t in OPERATIONAL_TABLES}
-    machines = marts.dim_machines(tables["machines"], tables["workshops"])
-    return machines, marts.build_facts(tables)
+fact_production = _from_silver(marts.fact_production, "production")
+fact_maintenance = _from_silver(marts.fact_maintenance, "maintenance")
+fact_alerts = _from_silver(marts.fact_alerts, "alerts")
 
 
 def kpi_daily_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    machines, facts = _kpi_inputs(spark, sf_dir)
-    return marts.kpi_daily_production(facts["fact_production"], *marts.machine_reference(machines))
+    machines = marts.machine_reference(dim_machines(spark, sf_dir))
+    return marts.kpi_daily_production(fact_production(spark, sf_dir), *machines)
 
 
 def kpi_workshop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    machines, facts = _kpi_inputs(spark, sf_dir)
-    return marts.kpi_workshop_performance(facts["fact_production"], *marts.machine_reference(machines))
+    machines = marts.machine_reference(dim_machines(spark, sf_dir))
+    return marts.kpi_workshop_performance(fact_production(spark, sf_dir), *machines)
 
 
 def kpi_machine_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    machines, facts = _kpi_inputs(spark, sf_dir)
     return marts.kpi_machine_performance(
-        facts["fact_production"], facts["fact_maintenance"], facts["fact_alerts"], machines
+        fact_production(spark, sf_dir),
+        fact_maintenance(spark, sf_dir),
+        fact_alerts(spark, sf_dir),
+        dim_machines(spark, sf_dir),
     )
 
 
 def kpi_maintenance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    machines, facts = _kpi_inputs(spark, sf_dir)
-    return marts.kpi_maintenance_summary(facts["fact_maintenance"], *marts.machine_reference(machines))
+    machines = marts.machine_reference(dim_machines(spark, sf_dir))
+    return marts.kpi_maintenance_summary(fact_maintenance(spark, sf_dir), *machines)
 
 
-def _per_table(report: Callable[[DataFrame, str, str, object, tuple[str, ...]], DataFrame]) -> Query:
+def _per_table(report: Callable[[DataFrame, str, str, str, tuple[str, ...]], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reports = []
         for t, contract in OPERATIONAL_TABLES.items():
-            tie_break = testbed.TIE_BREAKS.get(t, ())
             raw = bronze(spark, sf_dir, t)
-            judged = standardised(raw, contract).select("*", contract.accepted().alias("_verdict"))
-            reports.append(report(judged, t, contract.key, F.col("_verdict"), tie_break))
+            verdict = f"{contract.accepted()} as _verdict"
+            judged = standardised(raw, contract).selectExpr("*", verdict)
+            reports.append(report(judged, t, contract.key, "_verdict", testbed.TIE_BREAKS.get(t, ())))
         return quality.stack_reports(reports)
 
     return run
@@ -133,17 +157,13 @@ def dq_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = []
+    tables, reports = SilverTables(spark, sf_dir), []
     for child, contract in OPERATIONAL_TABLES.items():
         for ref in contract.references:
-            found = orphans(
-                silver(spark, sf_dir, child),
-                silver(spark, sf_dir, ref.table),
-                ref.column,
-                OPERATIONAL_TABLES[ref.table].key,
-            )
-            labels = [F.lit(child).alias("child"), F.lit(ref.column).alias("column"), F.lit(ref.table).alias("parent")]
-            reports.append(found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(*labels, "n"))
+            parent_key = OPERATIONAL_TABLES[ref.table].key
+            found = orphans(tables[child], tables[ref.table], ref.column, parent_key)
+            labels = [f"'{child}' as child", f"'{ref.column}' as column", f"'{ref.table}' as parent"]
+            reports.append(found.selectExpr("coalesce(sum(n), 0L) as n").selectExpr(*labels, "n"))
     return quality.stack_reports(reports)
 
 
@@ -170,11 +190,11 @@ def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register the sensors that raised alerts without being known."""
     known = silver(spark, sf_dir, "sensors").select("sensor_id", "sensor_code", "machine_id", "status")
-    seen = bronze(spark, sf_dir, "alerts").select(
+    seen = bronze(spark, sf_dir, "alerts").selectExpr(
         "sensor_id",
-        F.concat(F.lit("UNREGISTERED-"), F.col("sensor_id").cast("string")).alias("sensor_code"),
+        "'UNREGISTERED-' || cast(sensor_id as string) as sensor_code",
         "machine_id",
-        F.lit("INACTIVE").alias("status"),
+        "'INACTIVE' as status",
     )
     return append_new(known, seen, "sensor_id")
 
@@ -182,7 +202,7 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fact table through a counted write and back."""
     layout = Layout(scratch_folder(spark, "layer"))
-    write_checked(gold_keyed(spark, sf_dir)["fact_production"], layout, "gold", "fact_production")
+    write_checked(fact_production(spark, sf_dir), layout, "gold", "fact_production")
     return read_layer(spark, layout, "gold", "fact_production")
 
 
@@ -193,10 +213,6 @@ def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout, pipeline.GOLD, "kpi_daily_production")
 
 
-def _silver_query(table: str) -> Query:
-    return lambda spark, sf_dir: silver(spark, sf_dir, table)
-
-
 def _registered(query: Query) -> Query:
     return lambda spark, sf_dir: present(query(prepare(spark), sf_dir))
 
@@ -211,10 +227,16 @@ def queries() -> dict[str, Query]:
         "bronze_production": bronze_production,
         "bronze_sensor_events": lambda spark, sf_dir: bronze_events(testbed.sensor_records(spark, sf_dir)),
     }
-    found |= {f"silver_{t}": _silver_query(t) for t in OPERATIONAL_TABLES}
+    found |= {f"silver_{t}": partial(silver, table=t) for t in OPERATIONAL_TABLES}
     found |= {"silver_sensor_events": silver_sensor_events}
-    found |= {t: _mart(t) for t in (*marts.DIMENSION_KEYS, *marts.FACT_KEYS)}
     found |= {
+        "dim_workshops": _from_silver(marts.dim_workshops, "workshops"),
+        "dim_machines": dim_machines,
+        "dim_technicians": _from_silver(marts.dim_technicians, "technicians"),
+        "dim_sensors": dim_sensors,
+        "fact_production": fact_production,
+        "fact_maintenance": fact_maintenance,
+        "fact_alerts": fact_alerts,
         "kpi_daily_production": kpi_daily_production,
         "kpi_workshop_performance": kpi_workshop_performance,
         "kpi_machine_performance": kpi_machine_performance,

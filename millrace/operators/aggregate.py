@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import mean_from_parts
+from millrace.functions.expressions import mean_from_parts
 from millrace.operators.enrich import enrich
 
 
@@ -22,37 +22,34 @@ class Measure:
     column: str
     digits: int | None = None
 
-    def rounded(self, value: Column) -> Column:
-        return (value if self.digits is None else F.round(value, self.digits)).alias(self.alias)
+    def direct(self) -> str:
+        return self._final(f"{self.how}({self.column})")
 
-    def direct(self) -> Column:
-        return self.rounded(getattr(F, self.how)(self.column))
-
-    def partial(self) -> list[Column]:
+    def partial(self) -> list[str]:
         if self.how == "avg":
-            return [
-                F.sum(self.column).alias(f"{self.alias}__sum"),
-                F.count(self.column).alias(f"{self.alias}__n"),
-            ]
-        return [getattr(F, self.how)(self.column).alias(self.alias)]
+            return [f"sum({self.column}) as {self.alias}__sum", f"count({self.column}) as {self.alias}__n"]
+        return [f"{self.how}({self.column}) as {self.alias}"]
 
-    def merged(self, source: T.DataType) -> Column:
+    def merged(self, source: T.DataType) -> str:
         """The value :meth:`direct` would give, in the same type, from rows of :meth:`partial`."""
         decimal = isinstance(source, T.DecimalType)
         if self.how == "avg":
-            total, n = F.sum(f"{self.alias}__sum"), F.sum(f"{self.alias}__n")
+            total, n = f"sum({self.alias}__sum)", f"sum({self.alias}__n)"
             if not decimal:
-                return self.rounded(mean_from_parts(total, n, None))
-            kind = T.DecimalType(min(source.precision + 4, 38), min(source.scale + 4, 38))
-            return self.rounded(mean_from_parts(total, n, kind.scale).cast(kind))
-        merged = getattr(F, "sum" if self.how == "count" else self.how)(self.alias)
+                return self._final(mean_from_parts(total, n, None))
+            precision, scale = min(source.precision + 4, 38), min(source.scale + 4, 38)
+            return self._final(f"cast({mean_from_parts(total, n, scale)} as decimal({precision},{scale}))")
+        value = f"{'sum' if self.how == 'count' else self.how}({self.alias})"
         if self.how == "sum" and decimal:
-            merged = merged.cast(T.DecimalType(min(source.precision + 10, 38), source.scale))
-        return self.rounded(merged)
+            value = f"cast({value} as decimal({min(source.precision + 10, 38)},{source.scale}))"
+        return self._final(value)
+
+    def _final(self, value: str) -> str:
+        return f"{value if self.digits is None else f'round({value}, {self.digits})'} as {self.alias}"
 
 
 def summarise(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    return df.groupBy(*keys).agg(*(m.direct() for m in measures))
+    return _grouped(df, keys, [m.direct() for m in measures])
 
 
 def summarise_enriched(
@@ -73,6 +70,11 @@ def summarise_enriched(
     keys = [*fact_keys, *dim_keys]
     if small:
         return summarise(enrich(fact, dim, join_key, dim_keys, small=True), keys, measures)
-    partials = fact.groupBy(join_key, *fact_keys).agg(*(c for m in measures for c in m.partial()))
+    partials = _grouped(fact, [join_key, *fact_keys], [c for m in measures for c in m.partial()])
     joined = enrich(partials, dim, join_key, dim_keys)
-    return joined.groupBy(*keys).agg(*(m.merged(fact.schema[m.column].dataType) for m in measures))
+    kinds = {f.name: f.dataType for f in fact.schema.fields}
+    return _grouped(joined, keys, [m.merged(kinds[m.column]) for m in measures])
+
+
+def _grouped(df: DataFrame, keys: Sequence[str], expressions: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*map(F.expr, expressions))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import name
+
 # A broadcast side must be proven smaller than this; it is counted, not estimated.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # What a row and a value cost in a broadcast hash table on top of their text.
@@ -16,11 +18,9 @@ _VALUE_OVERHEAD = 16
 
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the frame's size in a hash table, from one aggregate over the data itself."""
-    text = F.lit(0).cast("bigint")
-    for c in df.columns:
-        text = text + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    row = text + F.lit(_ROW_OVERHEAD + _VALUE_OVERHEAD * len(df.columns))
-    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
+    text = " + ".join(f"coalesce(octet_length(cast({name(c)} as string)), 0)" for c in df.columns)
+    overhead = _ROW_OVERHEAD + _VALUE_OVERHEAD * len(df.columns)
+    return df.selectExpr(f"coalesce(sum({text} + {overhead}L), 0L) as bytes").first()["bytes"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -42,8 +42,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
     Child rows are counted per key before the join, so it sees each key once however often it repeats.
     """
-    counted = child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    known = parent.select(F.col(parent_key).alias("_key")).distinct()
-    return counted.join(known, "_key", "left_anti").withColumnRenamed("_key", child_key)
+    keys = child.where(f"{name(child_key)} is not null").groupBy(child_key)
+    counted = keys.agg(F.expr("count(1) as n"))
+    known = parent.selectExpr(f"{name(parent_key)} as {name(child_key)}").distinct()
+    return counted.join(known, child_key, "left_anti")

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from millrace.functions.expressions import name
 from millrace.operators.dedupe import dedupe
 
 
 def absent_rows(target: DataFrame, new: DataFrame, key: str, tie_break: Sequence[str] = ()) -> DataFrame:
     """Rows of ``new`` to append: one per key unknown to ``target``. NULL keys never conflict."""
-    keyed = dedupe(new.where(F.col(key).isNotNull()), key, tie_break)
+    keyed = dedupe(new.where(f"{name(key)} is not null"), key, tie_break)
     known = target.select(key).distinct()
-    return keyed.join(known, key, "left_anti").select(*new.columns).unionByName(new.where(F.col(key).isNull()))
+    unknown = keyed.join(known, key, "left_anti").select(*new.columns)
+    return unknown.unionByName(new.where(f"{name(key)} is null"))
 
 
 def append_new(target: DataFrame, new: DataFrame, key: str, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import literal, name
 from millrace.operators.dedupe import key_groups
 
 
@@ -20,47 +21,44 @@ def stack_reports(reports: Sequence[DataFrame]) -> DataFrame:
 
 
 def row_count(df: DataFrame, table: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table"), "rows")
+    return df.selectExpr("count(1) as rows").selectExpr(f"{literal(table)} as table", "rows")
 
 
-def row_accounting(df: DataFrame, table: str, key: str, accepted: Column, tie_break: Sequence[str]) -> DataFrame:
-    """bronze = silver + duplicates + invalid."""
-    groups = key_groups(df, key, accepted, tie_break)
-    return groups.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("bronze"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
-        F.count_if(~F.col("winner_accepted")).alias("invalid"),
-        F.count_if("winner_accepted").alias("silver"),
-    ).select(F.lit(table).alias("table"), "bronze", "duplicates", "invalid", "silver")
+def row_accounting(df: DataFrame, table: str, key: str, accepted: str, tie_break: Sequence[str]) -> DataFrame:
+    """bronze = silver + duplicates + invalid; ``accepted`` names a boolean column."""
+    return key_groups(df, key, accepted, tie_break).selectExpr(
+        "coalesce(sum(copies), 0L) as bronze",
+        "coalesce(sum(copies - 1), 0L) as duplicates",
+        "count_if(not winner_accepted) as invalid",
+        "count_if(winner_accepted) as silver",
+    ).selectExpr(f"{literal(table)} as table", "*")
 
 
-def duplicate_report(df: DataFrame, table: str, key: str, accepted: Column, tie_break: Sequence[str]) -> DataFrame:
+def duplicate_report(df: DataFrame, table: str, key: str, accepted: str, tie_break: Sequence[str]) -> DataFrame:
     """Keys with copies, rows dropped for them, and keys lost because an invalid copy won over a valid one."""
-    groups = key_groups(df, key, accepted, tie_break)
-    return groups.agg(
-        F.count_if(F.col("copies") > 1).alias("keys"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("extra_rows"),
-        F.count_if(F.col("any_accepted") & ~F.col("winner_accepted")).alias("keys_lost"),
-    ).select(F.lit(table).alias("table"), "keys", "extra_rows", "keys_lost")
+    return key_groups(df, key, accepted, tie_break).selectExpr(
+        "count_if(copies > 1) as keys",
+        "coalesce(sum(copies - 1), 0L) as extra_rows",
+        "count_if(any_accepted and not winner_accepted) as keys_lost",
+    ).selectExpr(f"{literal(table)} as table", "*")
 
 
-def rejections(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
+def rejections(df: DataFrame, table: str, rules: Mapping[str, str]) -> DataFrame:
     """How many rows of the frame break each rule."""
-    counts = df.agg(*(F.count_if(~rule).alias(name) for name, rule in rules.items()))
+    counts = df.selectExpr(*(f"count_if(not {rule}) as {name(label)}" for label, rule in rules.items()))
     return _tall(counts, list(rules), "rule", "n", table)
 
 
 def null_counts(df: DataFrame, table: str) -> DataFrame:
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns))
+    counts = df.selectExpr(*(f"count_if({name(c)} is null) as {name(c)}" for c in df.columns))
     return _tall(counts, df.columns, "column", "nulls", table)
 
 
 def key_uniqueness(df: DataFrame, table: str, key: str) -> DataFrame:
     """Rows and distinct keys; NULL counts as one key value."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys")
-    ).select(F.lit(table).alias("table"), "rows", "keys")
+    per_key = df.groupBy(key).agg(F.expr("count(1) as n"))
+    totals = per_key.selectExpr("coalesce(sum(n), 0L) as rows", "count(1) as keys")
+    return totals.selectExpr(f"{literal(table)} as table", "*")
 
 
 def latest(df: DataFrame, by: str, n: int, columns: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
@@ -86,5 +84,6 @@ def require_count(table: str, expected: int, actual: int) -> None:
 
 
 def _tall(counts: DataFrame, names: Sequence[str], label: str, value: str, table: str) -> DataFrame:
-    tall = counts.unpivot([], list(names), label, value)
-    return tall.select(F.lit(table).alias("table"), label, value)
+    pairs = ", ".join(f"{literal(n)}, {name(n)}" for n in names)
+    tall = counts.selectExpr(f"stack({len(names)}, {pairs}) as ({name(label)}, {name(value)})")
+    return tall.selectExpr(f"{literal(table)} as table", "*")

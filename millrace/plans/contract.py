@@ -1,20 +1,15 @@
-"""Table contracts: what a clean row looks like, and the operators compiled from it."""
+"""Table contracts: what a clean row looks like, as data, and the operators compiled from it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from types import MappingProxyType
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from millrace.functions.columns import holds
+from millrace.functions.expressions import holds, literal, name, one_of, within
 from millrace.operators.dedupe import dedupe
 
-_NONE: Mapping = MappingProxyType({})
-
 
 @dataclass(frozen=True)
 class Reference:
@@ -26,46 +21,43 @@ class Reference:
 
 @dataclass(frozen=True)
 class TableContract:
+    """Rules and derived columns are SQL over the standardised columns."""
+
     name: str
     key: str
     required: tuple[str, ...]
-    standardise: Mapping[str, Callable[[Column], Column]] = field(default_factory=lambda: _NONE)
-    domains: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: _NONE)
-    ranges: Mapping[str, tuple[float, float | None]] = field(default_factory=lambda: _NONE)
-    cross: Mapping[str, Callable[[], Column]] = field(default_factory=lambda: _NONE)
-    derived: Mapping[str, Callable[[], Column]] = field(default_factory=lambda: _NONE)
+    standardise: Mapping[str, Callable[[str], str]] = field(default_factory=dict)
+    domains: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    ranges: Mapping[str, tuple[float, float | None]] = field(default_factory=dict)
+    cross: Mapping[str, str] = field(default_factory=dict)
+    derived: Mapping[str, str] = field(default_factory=dict)
     references: tuple[Reference, ...] = ()
 
-    def rules(self) -> dict[str, Column]:
-        """Rule name to a never-NULL boolean over the standardised columns."""
-        rules = {f"required:{c}": F.col(c).isNotNull() for c in self.required}
-        for c, values in self.domains.items():
-            rules[f"domain:{c}"] = holds(F.col(c).isin(*values))
-        for c, (low, high) in self.ranges.items():
-            inside = F.col(c) >= low if high is None else F.col(c).between(low, high)
-            rules[f"range:{c}"] = holds(inside)
-        for name, rule in self.cross.items():
-            rules[f"cross:{name}"] = holds(rule())
+    def rules(self) -> dict[str, str]:
+        """Rule name to a predicate that is TRUE or FALSE, never NULL."""
+        rules = {f"required:{c}": f"({c} is not null)" for c in self.required}
+        rules |= {f"domain:{c}": holds(one_of(c, values)) for c, values in self.domains.items()}
+        rules |= {f"range:{c}": holds(within(c, *bounds)) for c, bounds in self.ranges.items()}
+        rules |= {f"cross:{label}": holds(rule) for label, rule in self.cross.items()}
         return rules
 
-    def accepted(self) -> Column:
-        return reduce(Column.__and__, self.rules().values())
+    def accepted(self) -> str:
+        return " and ".join(self.rules().values())
+
+    def violations(self) -> str:
+        """An array of the names of all broken rules, in contract order."""
+        broken = (f"if({rule}, null, {literal(label)})" for label, rule in self.rules().items())
+        return f"array_compact(array({', '.join(broken)}))"
 
 
 def standardised(df: DataFrame, contract: TableContract) -> DataFrame:
     """Tidy the text columns in one projection; NULLs stay NULL and blanks become empty strings."""
     tidy = contract.standardise
-    return df.select(*(tidy[c](F.col(c)).alias(c) if c in tidy else F.col(c) for c in df.columns))
-
-
-def violations(contract: TableContract) -> Column:
-    """The names of all broken rules, in contract order."""
-    named = [F.when(~rule, F.lit(name)) for name, rule in contract.rules().items()]
-    return F.array_compact(F.array(*named))
+    return df.selectExpr(*(f"{tidy[c](c)} as {c}" if c in tidy else name(c) for c in df.columns))
 
 
 def with_derived(df: DataFrame, contract: TableContract) -> DataFrame:
-    return df.withColumns({name: make() for name, make in contract.derived.items()}) if contract.derived else df
+    return df.selectExpr("*", *(f"{sql} as {c}" for c, sql in contract.derived.items()))
 
 
 def accept(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -73,12 +65,12 @@ def accept(df: DataFrame, contract: TableContract) -> DataFrame:
     return with_derived(standardised(df, contract).where(contract.accepted()), contract)
 
 
-def clean(df: DataFrame, contract: TableContract, tie_break: tuple[str, ...] = ()) -> DataFrame:
+def clean(df: DataFrame, contract: TableContract, tie_break: Sequence[str] = ()) -> DataFrame:
     """Raw rows to clean rows: dedup first, then the rules, so an invalid winner loses its key."""
     return accept(dedupe(df, contract.key, tie_break), contract)
 
 
-def quarantine(df: DataFrame, contract: TableContract, tie_break: tuple[str, ...] = ()) -> DataFrame:
+def quarantine(df: DataFrame, contract: TableContract, tie_break: Sequence[str] = ()) -> DataFrame:
     """The rows :func:`clean` drops after dedup, each with the rules it broke."""
     tidy = standardised(dedupe(df, contract.key, tie_break), contract)
-    return tidy.where(~contract.accepted()).withColumn("violations", violations(contract))
+    return tidy.where(f"not ({contract.accepted()})").selectExpr("*", f"{contract.violations()} as violations")

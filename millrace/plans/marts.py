@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from millrace.functions.columns import elapsed_hours, flag
+from millrace.functions.expressions import elapsed_hours, flag, one_of
 from millrace.operators.aggregate import Measure, summarise, summarise_enriched
 from millrace.operators.enrich import enrich, fits_broadcast
 
@@ -77,11 +76,11 @@ MAINTENANCE_SUMMARY = (
 
 
 def dim_workshops(workshops: DataFrame) -> DataFrame:
-    return workshops.select("workshop_id", "workshop_name", "location", "description")
+    return workshops.selectExpr("workshop_id", "workshop_name", "location", "description")
 
 
 def dim_machines(machines: DataFrame, workshops: DataFrame) -> DataFrame:
-    return enrich(machines, workshops, "workshop_id", ("workshop_name", "location")).select(
+    return enrich(machines, workshops, "workshop_id", ("workshop_name", "location")).selectExpr(
         "machine_id",
         "machine_name",
         "machine_type",
@@ -95,14 +94,14 @@ def dim_machines(machines: DataFrame, workshops: DataFrame) -> DataFrame:
 
 
 def dim_technicians(technicians: DataFrame) -> DataFrame:
-    return technicians.select(
+    return technicians.selectExpr(
         "technician_id", "first_name", "last_name", "specialty", "email", "phone", "hire_date"
     )
 
 
 def dim_sensors(sensors: DataFrame, machines: DataFrame) -> DataFrame:
     """``machines`` is the machine dimension, which carries the workshop along."""
-    return enrich(sensors, machines, "machine_id", ("machine_name", "workshop_id", "workshop_name")).select(
+    return enrich(sensors, machines, "machine_id", ("machine_name", "workshop_id", "workshop_name")).selectExpr(
         "sensor_id",
         "sensor_code",
         "sensor_type",
@@ -129,7 +128,7 @@ def build_dimensions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def fact_production(production: DataFrame) -> DataFrame:
-    return production.select(
+    return production.selectExpr(
         "production_id",
         "machine_id",
         "production_date",
@@ -140,14 +139,14 @@ def fact_production(production: DataFrame) -> DataFrame:
         "operating_hours",
         "quality_rate",
         "energy_per_unit",
-        (F.col("quantity_produced") - F.col("rejected_quantity")).alias("accepted_quantity"),
-        F.year("production_date").alias("production_year"),
-        F.month("production_date").alias("production_month"),
+        "quantity_produced - rejected_quantity as accepted_quantity",
+        "year(production_date) as production_year",
+        "month(production_date) as production_month",
     )
 
 
 def fact_maintenance(maintenance: DataFrame) -> DataFrame:
-    return maintenance.select(
+    return maintenance.selectExpr(
         "maintenance_id",
         "machine_id",
         "technician_id",
@@ -157,13 +156,13 @@ def fact_maintenance(maintenance: DataFrame) -> DataFrame:
         "description",
         "cost",
         "status",
-        F.to_date("start_time").alias("maintenance_date"),
-        elapsed_hours(F.col("start_time"), F.col("end_time")).alias("duration_hours"),
+        "to_date(start_time) as maintenance_date",
+        f"{elapsed_hours('start_time', 'end_time')} as duration_hours",
     )
 
 
 def fact_alerts(alerts: DataFrame) -> DataFrame:
-    return alerts.select(
+    return alerts.selectExpr(
         "alert_id",
         "sensor_id",
         "machine_id",
@@ -175,9 +174,9 @@ def fact_alerts(alerts: DataFrame) -> DataFrame:
         "message",
         "status",
         "resolved_at",
-        F.to_date("alert_timestamp").alias("alert_date"),
-        elapsed_hours(F.col("alert_timestamp"), F.col("resolved_at")).alias("resolution_hours"),
-        flag(F.col("severity") == "CRITICAL").alias("is_critical"),
+        "to_date(alert_timestamp) as alert_date",
+        f"{elapsed_hours('alert_timestamp', 'resolved_at')} as resolution_hours",
+        f"{flag(one_of('severity', ['CRITICAL']))} as is_critical",
     )
 
 
@@ -230,7 +229,7 @@ def kpi_machine_performance(
     zero_filled = ["maintenance_count", "total_maintenance_cost", "alert_count", "critical_alert_count"]
     ordered = ["machine_id", *attributes]
     ordered += [m.alias for m in (*MACHINE_PRODUCTION, *MACHINE_MAINTENANCE, *MACHINE_ALERTS)]
-    return totals.fillna(0, subset=zero_filled).select(*ordered)
+    return totals.fillna(0, subset=zero_filled).selectExpr(*ordered)
 
 
 def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame, small: bool) -> DataFrame:
@@ -239,7 +238,7 @@ def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame, small:
     summary = summarise_enriched(
         maintenance, machines, "machine_id", keys, workshop, MAINTENANCE_SUMMARY, small
     )
-    return summary.select(
+    return summary.selectExpr(
         "maintenance_date",
         *workshop,
         "maintenance_type",
@@ -250,7 +249,7 @@ def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame, small:
 
 def machine_reference(machines: DataFrame) -> tuple[DataFrame, bool]:
     """The machine columns the KPI tables join, and whether they are proven small enough to broadcast."""
-    reference = machines.select("machine_id", *MACHINE_ATTRIBUTES)
+    reference = machines.selectExpr("machine_id", *MACHINE_ATTRIBUTES)
     return reference, fits_broadcast(reference)
 
 

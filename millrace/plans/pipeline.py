@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -67,7 +67,7 @@ def run_bronze(spark: SparkSession, layout: Layout, source, now: datetime | None
     counts = {}
     for table in OPERATIONAL_TABLES:
         raw = stamp_bronze(source.read(spark, table), source.system, table, ingestion_id)
-        counts[table] = write_checked(raw, layout, BRONZE, table)["rows"]
+        counts[table] = write_checked(raw, layout, BRONZE, table)
     return counts
 
 
@@ -95,20 +95,21 @@ def silver_table(
     stage that writes, so no count re-runs the shuffle.
     """
     bronze = read_layer(spark, layout, BRONZE, contract.name)
-    tidy = standardised(dedupe(bronze, contract.key, tuple(tie_break)), contract)
+    tidy = standardised(dedupe(bronze, contract.key, tie_break), contract)
     rules = contract.rules()
-    watch = {name: F.count_if(~rule) for name, rule in rules.items()}
-    watched, seen = _observed(tidy, {"keys": F.count(F.lit(1)), **watch})
+    seen = Observation()
+    failures = (F.expr(f"count_if(not {rule})").alias(label) for label, rule in rules.items())
+    watched = tidy.observe(seen, F.expr("count(1) as keys"), *failures)
     rows = stamp(with_derived(watched.where(contract.accepted()), contract), "_silver_processed_at")
-    silver = write_checked(rows, layout, SILVER, contract.name)["rows"]
-    found = seen()
+    silver = write_checked(rows, layout, SILVER, contract.name)
+    found = dict(seen.get)
     total = bronze.count()
     return SilverCounts(
         bronze=total,
         duplicates=total - found["keys"],
         invalid=found["keys"] - silver,
         silver=silver,
-        by_rule={name: found[name] for name in rules},
+        by_rule={label: found[label] for label in rules},
     )
 
 
@@ -225,10 +226,5 @@ def stream_report(spark: SparkSession, layout: Layout) -> tuple[int, DataFrame]:
 
 
 def _write_gold(df: DataFrame, layout: Layout, table: str) -> int:
-    return write_checked(stamp(df, "_gold_processed_at"), layout, GOLD, table)["rows"]
+    return write_checked(stamp(df, "_gold_processed_at"), layout, GOLD, table)
 
-
-def _observed(df: DataFrame, metrics: Mapping[str, object]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
-    observation = Observation()
-    watched = df.observe(observation, *(c.alias(name) for name, c in metrics.items()))
-    return watched, lambda: dict(observation.get)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from millrace.functions.columns import (
-    absent_or,
+from millrace.functions.expressions import (
     guarded_ratio,
+    literal,
     lower_trimmed,
     title_trimmed,
     trimmed,
+    unless_null,
     upper_trimmed,
+    within,
 )
 from millrace.plans.contract import Reference, TableContract
 
@@ -33,10 +32,10 @@ EVENT_RANGES = {
 }
 
 
-def value_in_type_range() -> Column:
+def value_in_type_range() -> str:
     """The bounds that go with the row's sensor type; unknown types have none and fail."""
-    kind, value = F.col("sensor_type"), F.col("value")
-    return F.coalesce(*(F.when(kind == name, value.between(*bounds)) for name, bounds in EVENT_RANGES.items()))
+    cases = (f"when {literal(t)} then {within('value', *bounds)}" for t, bounds in EVENT_RANGES.items())
+    return f"case sensor_type {' '.join(cases)} end"
 
 
 WORKSHOPS = TableContract(
@@ -85,10 +84,8 @@ SENSORS = TableContract(
     },
     domains={"sensor_type": SENSOR_TYPE, "status": SENSOR_STATUS},
     cross={
-        "minimum_below_maximum": lambda: absent_or(
-            F.col("minimum_threshold") < F.col("maximum_threshold"),
-            F.col("minimum_threshold"),
-            F.col("maximum_threshold"),
+        "minimum_below_maximum": unless_null(
+            ("minimum_threshold", "maximum_threshold"), "minimum_threshold < maximum_threshold"
         )
     },
     references=(Reference("machine_id", "machines"),),
@@ -106,12 +103,10 @@ PRODUCTION = TableContract(
         "operating_hours": (0, 24),
         "rejected_quantity": (0, None),
     },
-    cross={"rejected_within_produced": lambda: F.col("rejected_quantity") <= F.col("quantity_produced")},
+    cross={"rejected_within_produced": "rejected_quantity <= quantity_produced"},
     derived={
-        "quality_rate": lambda: guarded_ratio(
-            F.col("quantity_produced") - F.col("rejected_quantity"), F.col("quantity_produced")
-        ),
-        "energy_per_unit": lambda: guarded_ratio(F.col("energy_consumption"), F.col("quantity_produced")),
+        "quality_rate": guarded_ratio("quantity_produced - rejected_quantity", "quantity_produced"),
+        "energy_per_unit": guarded_ratio("energy_consumption", "quantity_produced"),
     },
     references=(Reference("machine_id", "machines"),),
 )
@@ -123,9 +118,7 @@ MAINTENANCE = TableContract(
     standardise={"maintenance_type": upper_trimmed, "status": upper_trimmed, "description": trimmed},
     domains={"maintenance_type": MAINTENANCE_TYPE, "status": MAINTENANCE_STATUS},
     ranges={"cost": (0, None)},
-    cross={
-        "end_not_before_start": lambda: absent_or(F.col("end_time") >= F.col("start_time"), F.col("end_time"))
-    },
+    cross={"end_not_before_start": unless_null(("end_time",), "end_time >= start_time")},
     references=(Reference("machine_id", "machines"), Reference("technician_id", "technicians")),
 )
 
@@ -140,11 +133,7 @@ ALERTS = TableContract(
         "message": trimmed,
     },
     domains={"severity": ALERT_SEVERITY, "status": ALERT_STATUS},
-    cross={
-        "resolved_not_before_alert": lambda: absent_or(
-            F.col("resolved_at") >= F.col("alert_timestamp"), F.col("resolved_at")
-        )
-    },
+    cross={"resolved_not_before_alert": unless_null(("resolved_at",), "resolved_at >= alert_timestamp")},
     references=(Reference("sensor_id", "sensors"), Reference("machine_id", "machines")),
 )
 
@@ -154,7 +143,7 @@ SENSOR_EVENTS = TableContract(
     required=("event_id", "sensor_id", "machine_id", "event_timestamp", "value"),
     standardise={"sensor_type": upper_trimmed, "unit": trimmed},
     domains={"sensor_type": SENSOR_TYPE},
-    cross={"value_in_type_range": value_in_type_range},
+    cross={"value_in_type_range": value_in_type_range()},
 )
 
 # Parents come before their children.

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,20 +54,17 @@ def write_layer(df: DataFrame, layout: Layout, layer: str, table: str, mode: str
     writer.save(layout.path(layer, table))
 
 
-def write_checked(
-    df: DataFrame, layout: Layout, layer: str, table: str, metrics: Mapping[str, Column] | None = None
-) -> dict[str, int]:
+def write_checked(df: DataFrame, layout: Layout, layer: str, table: str) -> int:
     """Overwrite a table, count the rows on their way out, and compare with what can be read back.
 
     The expected count is an observed metric of the write itself, so the frame is computed once; the re-read
-    count of a columnar table comes from its footers. Returns ``rows`` and any extra ``metrics``.
+    count of a columnar table comes from its footers.
     """
-    observation = Observation()
-    extra = [c.alias(name) for name, c in (metrics or {}).items()]
-    write_layer(df.observe(observation, F.count(F.lit(1)).alias("rows"), *extra), layout, layer, table)
-    found = dict(observation.get)
-    require_count(f"{layer}.{table}", found["rows"], read_layer(df.sparkSession, layout, layer, table).count())
-    return found
+    seen = Observation()
+    write_layer(df.observe(seen, F.expr("count(1) as rows")), layout, layer, table)
+    expected = seen.get["rows"]
+    require_count(f"{layer}.{table}", expected, read_layer(df.sparkSession, layout, layer, table).count())
+    return expected
 
 
 def insert_if_absent(new: DataFrame, layout: Layout, layer: str, table: str, key: str) -> None:

@@ -59,11 +59,13 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, max_offsets: int |
 
 def decode_envelope(records: DataFrame) -> DataFrame:
     """Kafka's binary record as readable columns; the payload stays as it came."""
-    text = {"key": "kafka_key", "value": "raw_value"}
-    other = ("topic", "partition", "offset", "timestamp")
-    return records.select(
-        *(F.col(c).cast("string").alias(name) for c, name in text.items()),
-        *(F.col(c).alias(f"kafka_{c}") for c in other),
+    return records.selectExpr(
+        "cast(key as string) as kafka_key",
+        "cast(value as string) as raw_value",
+        "topic as kafka_topic",
+        "partition as kafka_partition",
+        "offset as kafka_offset",
+        "timestamp as kafka_timestamp",
     )
 
 

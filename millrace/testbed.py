@@ -10,9 +10,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from millrace.streaming.events import RECORD_SCHEMA
 
 Shift = Callable[[str, str], str]
 
@@ -164,11 +161,23 @@ TIE_BREAKS = {
 }
 
 
+# Columns a store would deliver with their time zone.
+ZONED = {"start_time", "end_time", "alert_timestamp", "resolved_at", "kafka_timestamp"}
+
+
 def select_list(table: str, shift: Shift) -> list[str]:
     """The mapping's expressions with its timestamp shifts written in one dialect."""
     return [_shifted(expression, shift) for expression in MAPPINGS[table][1]]
 
 
+def spark_select_list(table: str) -> list[str]:
+    selected = []
+    for expression in select_list(table, spark_shift):
+        value, _, alias = expression.rpartition(" as ")
+        selected.append(f"cast({value} as timestamp) as {alias}" if alias in ZONED else expression)
+    return selected
+
+
 def _shifted(expression: str, shift: Shift) -> str:
     head, *rest = expression.split("{+")
     for part in rest:
@@ -186,25 +195,25 @@ def _origin(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         nation, region = given(spark, sf_dir, "nation"), given(spark, sf_dir, "region")
         return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
     if table == "sensor_records":
-        events = given(spark, sf_dir, "events")
-        copies = F.when(F.col("event_id") % 50 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        return events.withColumn("copy", F.explode(copies))
+        copies = "explode(if(event_id % 50 = 1, array(0, 1), array(0))) as copy"
+        return given(spark, sf_dir, "events").selectExpr("*", copies)
     return given(spark, sf_dir, MAPPINGS[table][0])
 
 
 def operational(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One operational table as a store would deliver it, timestamps zoned."""
-    df = _origin(spark, sf_dir, table).selectExpr(*select_list(table, spark_shift))
-    zoned = [c for c, kind in df.dtypes if kind == "timestamp_ntz" and not c.startswith("l_")]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in zoned}) if zoned else df
+    return _origin(spark, sf_dir, table).selectExpr(*spark_select_list(table))
 
 
 def sensor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event topic in Kafka's record layout."""
-    named = operational(spark, sf_dir, "sensor_records")
-    origin = ("kafka_key", "raw_value", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp")
-    return named.select(
-        *(F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(origin, RECORD_SCHEMA.fields))
+    return operational(spark, sf_dir, "sensor_records").selectExpr(
+        "cast(kafka_key as binary) as key",
+        "cast(raw_value as binary) as value",
+        "kafka_topic as topic",
+        "kafka_partition as partition",
+        "kafka_offset as offset",
+        "kafka_timestamp as timestamp",
     )
 
 
