@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.operators.quality import require_count, require_rows
+from millrace.operators.quality import QualityError, require_count
 
 FETCH_ROWS = 10_000
 BATCH_ROWS = 5_000
@@ -94,10 +95,13 @@ def publish_options(conn: JdbcConnection, table: str, truncate: bool, connection
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """The operational store as a source of the Bronze layer."""
+    """The operational store as a source of the Bronze layer.
+
+    Tables listed in ``keys`` are scanned in ranges of that numeric column, the others over one connection.
+    """
 
     conn: JdbcConnection
-    keys: dict[str, str] = field(default_factory=dict)
+    keys: Mapping[str, str] = field(default_factory=dict)
     partitions: int | None = None
     system: str = "postgresql"
 
@@ -127,8 +131,9 @@ class JdbcTarget:
 
 def publish(df: DataFrame, target, table: str) -> int:
     """Write one table and compare source and published counts; empty tables are refused."""
-    require_rows(df, table)
     expected = df.count()
+    if not expected:
+        raise QualityError(f"{table} has no rows to publish")
     target.write(df, table)
     published = target.count(df.sparkSession, table)
     require_count(table, expected, published)

@@ -1,0 +1,277 @@
+"""Dedup, enrichment, aggregates, insert-if-absent and quality reports against brute force."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from decimal import Decimal as D
+
+import pytest
+from conftest import SMALL, plan_of
+
+from millrace import testbed
+from millrace.operators import quality
+from millrace.operators.aggregate import Measure, summarise, summarise_enriched
+from millrace.operators.dedupe import dedupe
+from millrace.operators.enrich import enrich, fits_broadcast, measured_bytes, orphans
+from millrace.operators.insert import append_new
+from millrace.plans import marts
+from millrace.plans.contract import clean
+from millrace.plans.tables import OPERATIONAL_TABLES
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    return {
+        t: clean(testbed.operational(spark, SMALL, t), c, testbed.TIE_BREAKS.get(t, ()))
+        for t, c in OPERATIONAL_TABLES.items()
+    }
+
+
+def test_dedupe_matches_brute_force(spark):
+    rows = [(k, a, b) for k in (None, 1, 2, 3) for a in (None, 2, 1) for b in ("y", None, "x")]
+    df = spark.createDataFrame(rows, "k int, a int, b string")
+    rank = lambda v: (v is not None, v)
+    best = {}
+    for k, a, b in rows:
+        if k not in best or (rank(a), rank(b)) < (rank(best[k][0]), rank(best[k][1])):
+            best[k] = (a, b)
+    assert {(r.k): (r.a, r.b) for r in dedupe(df, "k", ("a",)).collect()} == best
+
+
+def test_dedupe_order_is_the_same_for_every_layout_of_the_input(spark):
+    df = testbed.operational(spark, SMALL, "production")
+    once = dedupe(df, "production_id", testbed.TIE_BREAKS["production"])
+    again = dedupe(df.repartition(7), "production_id", testbed.TIE_BREAKS["production"])
+    assert once.exceptAll(again).isEmpty() and again.exceptAll(once).isEmpty()
+
+
+def test_dedupe_drops_copies_before_the_exchange(spark):
+    plan = plan_of(dedupe(testbed.operational(spark, SMALL, "production"), "production_id"))
+    below = plan[plan.index("Exchange hashpartitioning(production_id") :]
+    assert "row_number(), 1, Partial" in below
+
+
+def test_hot_key_sends_one_row_per_task(spark):
+    """A third of all rows under one key: the exchange must not carry them."""
+    df = spark.range(0, 30_000, 1, 6).selectExpr("if(id % 3 = 0, -1, id) as k", "id as v")
+    out = dedupe(df, "k", ("v",))
+    assert out.count() == 20_001
+    assert out.where("k = -1").first().v == 0
+    result = dedupe(df.where("k = -1"), "k", ("v",))
+    result.collect()
+    written = shuffled_rows(result)
+    assert written is not None and written <= 6
+
+
+def shuffled_rows(df):
+    """Rows the (only) exchange of an executed plan wrote."""
+    node = df._jdf.queryExecution().executedPlan()
+    pending, total = [node], None
+    while pending:
+        n = pending.pop()
+        kind = n.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            pending.append(n.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            pending.append(n.plan())
+            continue
+        if kind == "ShuffleExchangeExec":
+            total = (total or 0) + n.metrics().apply("shuffleRecordsWritten").value()
+        children = n.children()
+        pending += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_measured_bytes_grows_with_rows_and_text(spark):
+    df = spark.range(10).selectExpr("id", "repeat('x', 100) as t")
+    assert measured_bytes(df) >= 10 * 100
+    assert measured_bytes(df.limit(0)) == 0
+    assert fits_broadcast(df) and not fits_broadcast(df, limit=500)
+
+
+def test_enrich_broadcasts_only_when_told(spark, silver):
+    dim = marts.dim_workshops(silver["workshops"])
+    small = enrich(silver["machines"], dim, "workshop_id", ("location",), small=True)
+    assert "BroadcastHashJoin" in plan_of(small)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = enrich(silver["machines"], dim, "workshop_id", ("location",))
+        assert "Broadcast" not in plan_of(large).split("SortMergeJoin")[0]
+        assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_enrich_keeps_orphans_with_nulls(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    dim = spark.createDataFrame([(1, "one"), (None, "none")], "k int, label string")
+    assert sorted((r.v, r.label) for r in enrich(fact, dim, "k", ("label",)).collect()) == [
+        ("a", "one"), ("b", None), ("c", None)
+    ]
+
+
+def test_orphans_counts_rows_per_missing_key(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (9,), (9,), (9,), (None,)], "fk int")
+    parent = spark.createDataFrame([(1,), (2,), (None,)], "id int")
+    assert [(r.fk, r.n) for r in orphans(child, parent, "fk", "id").collect()] == [(9, 3)]
+
+
+def both_ways(fact, dim, fact_keys, dim_keys, measures):
+    return [
+        summarise_enriched(fact, dim, "machine_id", fact_keys, dim_keys, measures, small) for small in (True, False)
+    ]
+
+
+@pytest.mark.parametrize("build", ["kpi_daily_production", "kpi_workshop_performance", "kpi_maintenance_summary"])
+def test_both_aggregate_strategies_agree_in_values_and_types(spark, silver, build):
+    fact = marts.build_facts(silver)["fact_maintenance" if "maintenance" in build else "fact_production"]
+    machines = marts.dim_machines(silver["machines"], silver["workshops"])
+    direct, merged = (getattr(marts, build)(fact, machines, small) for small in (True, False))
+    assert [(f.name, f.dataType) for f in direct.schema] == [(f.name, f.dataType) for f in merged.schema]
+    assert direct.exceptAll(merged).isEmpty() and merged.exceptAll(direct).isEmpty()
+
+
+def test_large_dimension_strategy_joins_sums_not_rows(spark, silver):
+    fact = marts.fact_production(silver["production"])
+    machines = marts.dim_machines(silver["machines"], silver["workshops"])
+    plan = plan_of(marts.kpi_workshop_performance(fact, machines, small=False))
+    join = plan.index("Join [machine_id")
+    assert "HashAggregate(keys=[machine_id" in plan[join:]
+
+
+def test_merged_means_keep_spark_scale(spark):
+    """Repeating decimals summed in parts give the digits avg gives."""
+    df = spark.range(0, 4000, 1, 8).selectExpr(
+        "cast(id % 7 as int) as machine_id",
+        "cast(1 as decimal(14,3)) / cast(id % 11 + 3 as decimal(14,3)) as q",
+        "cast(id % 13 / 7.0 as double) as h",
+        "cast(id % 100 / 3.0 as decimal(8,2)) as o",
+        "if(id % 5 = 0, null, cast(-id as decimal(14,3))) as n",
+    )
+    dim = spark.range(5).selectExpr("cast(id as int) as machine_id", "cast(id % 2 as int) as g")
+    measures = [Measure(f"{h}_{c}", h, c) for c in "qon" for h in ("avg", "sum", "min", "max", "count")]
+    measures += [Measure("avg_h", "avg", "h", 9)]
+    direct, merged = both_ways(df, dim, [], ["g"], measures)
+    assert [f.dataType for f in direct.schema] == [f.dataType for f in merged.schema]
+    assert sorted(direct.collect(), key=str) == sorted(merged.collect(), key=str)
+
+
+def test_null_groups_and_empty_groups(spark):
+    fact = spark.createDataFrame([(1, None), (9, D("2.000")), (8, D("4.000"))], "machine_id int, q decimal(14,3)")
+    dim = spark.createDataFrame([(1, "w")], "machine_id int, g string")
+    for out in both_ways(fact, dim, [], ["g"], [Measure("a", "avg", "q", 2), Measure("n", "count", "q")]):
+        assert {(r.g, r.a, r.n) for r in out.collect()} == {("w", None, 0), (None, D("3.00"), 2)}
+
+
+def test_rounding_is_half_up(spark):
+    df = spark.createDataFrame([("a", 0.125), ("b", 2.675)], "g string, v double")
+    out = summarise(df, ["g"], [Measure("v", "avg", "v", 2)])
+    assert {(r.g, r.v) for r in out.collect()} == {("a", 0.13), ("b", 2.68)}
+
+
+def test_append_new(spark):
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    new = spark.createDataFrame([(1, "x"), (2, "b"), (2, "a"), (None, "n"), (None, "n")], "k int, v string")
+    assert sorted(append_new(target, new, "k").collect(), key=str) == sorted(
+        spark.createDataFrame([(1, "old"), (2, "a"), (None, "n"), (None, "n")], "k int, v string").collect(), key=str
+    )
+
+
+def test_row_accounting_and_duplicates_match_brute_force(spark):
+    rows = [(1, 5, True), (1, 3, False), (1, 4, True), (2, 1, True), (2, 0, True), (3, 1, False), (None, 1, False)]
+    df = spark.createDataFrame(rows, "k int, o int, ok boolean")
+    groups = defaultdict(list)
+    for k, o, ok in rows:
+        groups[k].append((o, ok))
+    winners = {k: min(g)[1] for k, g in groups.items()}
+    (acc,) = quality.row_accounting(df, "t", "k", "ok", ("o",)).collect()
+    assert acc.asDict() == {
+        "table": "t",
+        "bronze": len(rows),
+        "duplicates": len(rows) - len(groups),
+        "invalid": sum(not ok for ok in winners.values()),
+        "silver": sum(winners.values()),
+    }
+    (dup,) = quality.duplicate_report(df, "t", "k", "ok", ("o",)).collect()
+    lost = sum(any(ok for _, ok in g) and not winners[k] for k, g in groups.items())
+    assert dup.asDict() == {"table": "t", "keys": 2, "extra_rows": 3, "keys_lost": lost}
+
+
+@pytest.mark.parametrize("table", list(OPERATIONAL_TABLES))
+def test_accounting_agrees_with_cleaning(spark, silver, table):
+    contract, tie_break = OPERATIONAL_TABLES[table], testbed.TIE_BREAKS.get(table, ())
+    from millrace.plans.contract import standardised
+
+    raw = testbed.operational(spark, SMALL, table)
+    judged = standardised(raw, contract).selectExpr("*", f"{contract.accepted()} as ok")
+    (acc,) = quality.row_accounting(judged, table, contract.key, "ok", tie_break).collect()
+    assert acc.bronze == raw.count() == acc.silver + acc.duplicates + acc.invalid
+    assert acc.silver == silver[table].count()
+
+
+def test_null_counts_and_uniqueness(spark):
+    df = spark.createDataFrame([(1, None), (1, "a"), (None, None)], "k int, `odd name` string")
+    assert {(r["column"], r.nulls) for r in quality.null_counts(df, "t").collect()} == {("k", 1), ("odd name", 2)}
+    (u,) = quality.key_uniqueness(df, "t", "k").collect()
+    assert (u.rows, u["keys"]) == (3, 2)
+    with pytest.raises(quality.QualityError):
+        quality.require_unique(df, "t", "k")
+    quality.require_unique(df.where("`odd name` = 'a'"), "t", "k")
+    with pytest.raises(quality.QualityError):
+        quality.require_rows(df.limit(0), "t")
+
+
+def test_rejections_count_rows_per_rule(spark):
+    df = spark.createDataFrame([(1,), (None,), (-1,), (-2,)], "q int")
+    rules = {"required:q": "(q is not null)", "range:q": "coalesce(q >= 0, false)"}
+    assert Counter({r.rule: r.n for r in quality.rejections(df, "t", rules).collect()}) == Counter(
+        {"required:q": 1, "range:q": 3}
+    )
+
+
+def test_latest_is_a_top_n(spark):
+    df = spark.range(1000).selectExpr("id % 10 as ts", "id as o", "id as v")
+    out = quality.latest(df, "ts", 3, ("v",), ("o",))
+    assert [r.v for r in out.collect()] == [999, 989, 979]
+    assert "TakeOrderedAndProject" in plan_of(out)
+
+
+def test_machine_performance_is_driven_by_production(spark):
+    machines = spark.createDataFrame(
+        [(1, "M", "T", 1, "W", "L"), (2, "N", "T", 1, "W", "L")],
+        "machine_id int, machine_name string, machine_type string, workshop_id int, workshop_name string, location string",
+    )
+    production = spark.createDataFrame(
+        [(1, D("2.000"), D("1.000"), D("0.5"), D("0.5"), D("1.00")), (7, D("1.000"), D("1.000"), None, None, D("1.00"))],
+        "machine_id int, quantity_produced decimal(14,3), energy_consumption decimal(14,3),"
+        " quality_rate decimal(33,18), energy_per_unit decimal(32,18), operating_hours decimal(8,2)",
+    )
+    maintenance = spark.createDataFrame(
+        [(1, 2, D("5.00"), 1.0)], "maintenance_id int, machine_id int, cost decimal(14,2), duration_hours double"
+    )
+    alerts = spark.createDataFrame(
+        [(1, 1, 1, None), (2, 1, 0, 2.0)], "alert_id int, machine_id int, is_critical int, resolution_hours double"
+    )
+    out = {r.machine_id: r for r in marts.kpi_machine_performance(production, maintenance, alerts, machines).collect()}
+    assert set(out) == {1, 7}
+    assert (out[1].maintenance_count, out[1].total_maintenance_cost) == (0, D("0.00"))
+    assert out[1].average_maintenance_duration_hours is None
+    assert (out[1].alert_count, out[1].critical_alert_count, out[1].average_alert_resolution_hours) == (2, 1, 2.0)
+    assert (out[7].machine_name, out[7].average_quality_rate, out[7].alert_count) == (None, None, 0)
+
+
+def test_elapsed_hours_floor_to_whole_seconds(spark):
+    rows = [
+        ("2024-05-01 08:00:00.1", "2024-05-01 08:00:00.999"),
+        ("2024-05-01 08:00:00.9", "2024-05-01 08:00:01.0"),
+        ("1969-12-31 23:59:58.5", "1969-12-31 23:59:59.5"),
+        ("2024-05-01 08:00:00", None),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string").selectExpr(
+        "1L as maintenance_id", "1 as machine_id", "1 as technician_id", "'x' as maintenance_type",
+        "cast(a as timestamp) as start_time", "cast(b as timestamp) as end_time", "'d' as description",
+        "cast(1 as decimal(14,2)) as cost", "'PLANNED' as status",
+    )
+    assert [r.duration_hours for r in marts.fact_maintenance(df).collect()] == [0.0, 1 / 3600, 1 / 3600, None]
