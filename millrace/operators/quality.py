@@ -72,10 +72,13 @@ def require_rows(df: DataFrame, table: str) -> None:
         raise QualityError(f"{table} has no rows")
 
 
-def require_unique(df: DataFrame, table: str, key: str) -> None:
-    found = key_uniqueness(df, table, key).first()
-    if found["rows"] != found["keys"]:
-        raise QualityError(f"{table}.{key}: {found['rows']} rows but {found['keys']} distinct keys")
+def require_unique(frames: Mapping[str, DataFrame], keys: Mapping[str, str]) -> None:
+    """Check the key of every frame in one job."""
+    report = stack_reports([key_uniqueness(frames[table], table, key) for table, key in keys.items()])
+    broken = [r for r in report.toLocalIterator() if r["rows"] != r["keys"]]
+    if broken:
+        found = "; ".join(f"{r['table']}.{keys[r['table']]}: {r['rows']} rows, {r['keys']} keys" for r in broken)
+        raise QualityError(f"keys are not unique: {found}")
 
 
 def require_count(table: str, expected: int, actual: int) -> None:

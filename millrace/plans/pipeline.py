@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,20 @@ from millrace.operators.quality import (
     latest,
     require_rows,
     require_unique,
-    row_count,
-    stack_reports,
 )
 from millrace.plans import marts
 from millrace.plans.contract import TableContract, quarantine, standardised, with_derived
 from millrace.plans.tables import OPERATIONAL_TABLES
 from millrace.sources.jdbc import JdbcConnection, JdbcSource, publish
-from millrace.sources.layers import Layout, read_layer, read_layer_stream, write_checked
+from millrace.session import together
+from millrace.sources.layers import (
+    Layout,
+    read_layer,
+    read_layer_stream,
+    require_stored,
+    stored_counts,
+    write_counted,
+)
 from millrace.streaming.events import bronze_events, clean_events, start_append
 
 BRONZE, SILVER, GOLD, QUARANTINE = "bronze", "silver", "gold", "quarantine"
@@ -71,10 +78,13 @@ def operational_store(conn: JdbcConnection, partitions: int | None = None) -> Jd
 def run_bronze(spark: SparkSession, layout: Layout, source, now: datetime | None = None) -> dict[str, int]:
     """Copy every operational table as it is. ``source`` has ``system`` and ``read(spark, table)``."""
     ingestion_id = run_id(now or datetime.now(timezone.utc))
-    counts = {}
-    for table in OPERATIONAL_TABLES:
+
+    def copy(table: str) -> int:
         raw = stamp_bronze(source.read(spark, table), source.system, table, ingestion_id)
-        counts[table] = write_checked(raw, layout, BRONZE, table)
+        return write_counted(raw, layout, BRONZE, table)
+
+    counts = together(spark, {t: partial(copy, t) for t in OPERATIONAL_TABLES})
+    require_stored(spark, layout, BRONZE, counts)
     return counts
 
 
@@ -95,7 +105,7 @@ class SilverCounts:
 
 def silver_table(
     spark: SparkSession, layout: Layout, contract: TableContract, tie_break: Sequence[str] = ()
-) -> SilverCounts:
+) -> dict[str, int]:
     """Dedup, check and write one table in a single job.
 
     The distinct-key count and the failures per rule are observed between dedup and filter, in the same
@@ -103,21 +113,12 @@ def silver_table(
     """
     bronze = read_layer(spark, layout, BRONZE, contract.name)
     tidy = standardised(dedupe(bronze, contract.key, tie_break), contract)
-    rules = contract.rules()
     seen = Observation()
-    failures = (F.expr(f"count_if(not {rule})").alias(label) for label, rule in rules.items())
+    failures = (F.expr(f"count_if(not {rule})").alias(label) for label, rule in contract.rules().items())
     watched = tidy.observe(seen, F.expr("count(1) as keys"), *failures)
     rows = stamp(with_derived(watched.where(contract.accepted()), contract), "_silver_processed_at")
-    silver = write_checked(rows, layout, SILVER, contract.name)
-    found = dict(seen.get)
-    total = bronze.count()
-    return SilverCounts(
-        bronze=total,
-        duplicates=total - found["keys"],
-        invalid=found["keys"] - silver,
-        silver=silver,
-        by_rule={label: found[label] for label in rules},
-    )
+    written = write_counted(rows, layout, SILVER, contract.name)
+    return {**seen.get, "rows": written}
 
 
 def run_silver(
@@ -127,14 +128,34 @@ def run_silver(
     keep_rejected: bool = False,
 ) -> dict[str, SilverCounts]:
     """Clean every Bronze table; ``keep_rejected`` also writes the invalid rows with the rules they broke."""
-    counts = {}
-    for table, contract in OPERATIONAL_TABLES.items():
-        tie_break = tuple((tie_breaks or {}).get(table, ()))
-        counts[table] = silver_table(spark, layout, contract, tie_break)
-        if keep_rejected:
-            bronze = read_layer(spark, layout, BRONZE, table)
-            write_checked(quarantine(bronze, contract, tie_break), layout, QUARANTINE, table)
-    return counts
+    order = {t: tuple((tie_breaks or {}).get(t, ())) for t in OPERATIONAL_TABLES}
+    found = together(
+        spark, {t: partial(silver_table, spark, layout, c, order[t]) for t, c in OPERATIONAL_TABLES.items()}
+    )
+    require_stored(spark, layout, SILVER, {t: seen["rows"] for t, seen in found.items()})
+    if keep_rejected:
+        rejected = together(
+            spark, {t: partial(quarantine_table, spark, layout, c, order[t]) for t, c in OPERATIONAL_TABLES.items()}
+        )
+        require_stored(spark, layout, QUARANTINE, rejected)
+    bronze = stored_counts(spark, layout, BRONZE, OPERATIONAL_TABLES)
+    return {
+        t: SilverCounts(
+            bronze=bronze[t],
+            duplicates=bronze[t] - seen["keys"],
+            invalid=seen["keys"] - seen["rows"],
+            silver=seen["rows"],
+            by_rule={rule: seen[rule] for rule in OPERATIONAL_TABLES[t].rules()},
+        )
+        for t, seen in found.items()
+    }
+
+
+def quarantine_table(
+    spark: SparkSession, layout: Layout, contract: TableContract, tie_break: Sequence[str] = ()
+) -> int:
+    bronze = read_layer(spark, layout, BRONZE, contract.name)
+    return write_counted(quarantine(bronze, contract, tie_break), layout, QUARANTINE, contract.name)
 
 
 def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
@@ -145,22 +166,18 @@ def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """
     silver = {t: read_layer(spark, layout, SILVER, t) for t in OPERATIONAL_TABLES}
     keyed = {**marts.build_dimensions(silver), **marts.build_facts(silver)}
-    counts = {}
-    for table, key in {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}.items():
-        require_unique(keyed[table], table, key)
-        counts[table] = _write_gold(keyed[table], layout, table)
+    require_unique(keyed, {**marts.DIMENSION_KEYS, **marts.FACT_KEYS})
+    counts = _write_gold(spark, keyed, layout)
     machines = read_layer(spark, layout, GOLD, "dim_machines")
     facts = {t: read_layer(spark, layout, GOLD, t) for t in marts.FACT_KEYS}
-    for table, kpi in marts.build_kpis(machines, facts).items():
-        counts[table] = _write_gold(kpi, layout, table)
+    counts |= _write_gold(spark, marts.build_kpis(machines, facts), layout)
+    require_stored(spark, layout, GOLD, counts)
     return counts
 
 
 def run_validate(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Every Gold table must be there and hold rows; returns their counts."""
-    tables = {t: read_layer(spark, layout, GOLD, t) for t in marts.GOLD_TABLES}
-    report = stack_reports([row_count(df, t) for t, df in tables.items()])
-    counts = {row["table"]: row["rows"] for row in report.toLocalIterator()}
+    counts = stored_counts(spark, layout, GOLD, marts.GOLD_TABLES)
     empty = [t for t, n in counts.items() if not n]
     if empty:
         raise QualityError(f"no rows in {', '.join(empty)}")
@@ -234,6 +251,8 @@ def stream_report(spark: SparkSession, layout: Layout) -> tuple[int, DataFrame]:
     return bronze.count(), latest_events(bronze)
 
 
-def _write_gold(df: DataFrame, layout: Layout, table: str) -> int:
-    return write_checked(stamp(df, "_gold_processed_at"), layout, GOLD, table)
+def _write_gold(spark: SparkSession, frames: Mapping[str, DataFrame], layout: Layout) -> dict[str, int]:
+    def write(table: str) -> int:
+        return write_counted(stamp(frames[table], "_gold_processed_at"), layout, GOLD, table)
 
+    return together(spark, {t: partial(write, t) for t in frames})

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
+
+Result = TypeVar("Result")
 
 # Settings every job relies on. Partition counts are left to AQE and to the cluster's own defaults.
 RUNTIME_SETTINGS = {
@@ -50,3 +56,11 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent actions side by side, so small tables fill the gaps large ones leave on the cluster."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
+        return {name: future.result() for name, future in running.items()}

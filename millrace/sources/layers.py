@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.insert import absent_rows
-from millrace.operators.quality import require_count
+from millrace.operators.quality import require_count, row_count, stack_reports
 
 
 @dataclass(frozen=True)
@@ -54,17 +55,31 @@ def write_layer(df: DataFrame, layout: Layout, layer: str, table: str, mode: str
     writer.save(layout.path(layer, table))
 
 
-def write_checked(df: DataFrame, layout: Layout, layer: str, table: str) -> int:
-    """Overwrite a table, count the rows on their way out, and compare with what can be read back.
-
-    The expected count is an observed metric of the write itself, so the frame is computed once; the re-read
-    count of a columnar table comes from its footers.
-    """
+def write_counted(df: DataFrame, layout: Layout, layer: str, table: str) -> int:
+    """Overwrite a table and count the rows on their way out, as an observed metric of the write itself."""
     seen = Observation()
     write_layer(df.observe(seen, F.expr("count(1) as rows")), layout, layer, table)
-    expected = seen.get["rows"]
-    require_count(f"{layer}.{table}", expected, read_layer(df.sparkSession, layout, layer, table).count())
-    return expected
+    return seen.get["rows"]
+
+
+def stored_counts(spark: SparkSession, layout: Layout, layer: str, tables: Iterable[str]) -> dict[str, int]:
+    """Rows per stored table, in one job; columnar formats answer from their footers."""
+    report = stack_reports([row_count(read_layer(spark, layout, layer, t), t) for t in tables])
+    return {row["table"]: row["rows"] for row in report.toLocalIterator()}
+
+
+def require_stored(spark: SparkSession, layout: Layout, layer: str, expected: Mapping[str, int]) -> None:
+    """What was counted while writing must be what can be read back."""
+    found = stored_counts(spark, layout, layer, expected)
+    for table, rows in expected.items():
+        require_count(f"{layer}.{table}", rows, found[table])
+
+
+def write_checked(df: DataFrame, layout: Layout, layer: str, table: str) -> int:
+    """Write one table, computing the frame once, and compare with what can be read back."""
+    rows = write_counted(df, layout, layer, table)
+    require_stored(df.sparkSession, layout, layer, {table: rows})
+    return rows
 
 
 def insert_if_absent(new: DataFrame, layout: Layout, layer: str, table: str, key: str) -> None:

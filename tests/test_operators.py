@@ -217,8 +217,8 @@ def test_null_counts_and_uniqueness(spark):
     (u,) = quality.key_uniqueness(df, "t", "k").collect()
     assert (u.rows, u["keys"]) == (3, 2)
     with pytest.raises(quality.QualityError):
-        quality.require_unique(df, "t", "k")
-    quality.require_unique(df.where("`odd name` = 'a'"), "t", "k")
+        quality.require_unique({"t": df}, {"t": "k"})
+    quality.require_unique({"t": df.where("`odd name` = 'a'")}, {"t": "k"})
     with pytest.raises(quality.QualityError):
         quality.require_rows(df.limit(0), "t")
 

@@ -91,3 +91,63 @@ def test_publish_checks_counts(spark, layout):
         jdbc.publish(spark.range(7), FolderTarget(layout, lose=1), "t")
     with pytest.raises(QualityError):
         jdbc.publish(spark.range(0), FolderTarget(layout), "t")
+
+
+class RecordingReader:
+    """Takes the place of ``spark.read``: keeps what was asked of it and answers with a prepared frame."""
+
+    def __init__(self, answers):
+        self.answers, self.asked = answers, []
+
+    def format(self, fmt):
+        self.fmt = fmt
+        return self
+
+    def options(self, **options):
+        self.current = options
+        return self
+
+    def load(self):
+        self.asked.append((self.fmt, self.current))
+        return self.answers[len(self.asked) - 1]
+
+
+class StubSession:
+    def __init__(self, spark, *answers):
+        self.read = self.readStream = RecordingReader(answers)
+        self.sparkContext = spark.sparkContext
+
+
+def test_read_jdbc_asks_for_bounds_then_scans_in_ranges(spark):
+    stub = StubSession(spark, spark.createDataFrame([(5, 900)], "low long, high long"), spark.range(3))
+    assert jdbc.read_jdbc(stub, CONN, "alerts", "alert_id", 12).count() == 3
+    (_, bounds), (fmt, scan) = stub.read.asked
+    assert bounds["dbtable"] == "(select min(alert_id) as low, max(alert_id) as high from industrial.alerts) bounds"
+    assert fmt == "jdbc" and (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("5", "900", "12")
+
+
+def test_read_jdbc_of_an_empty_or_unsplit_table_is_one_scan(spark):
+    stub = StubSession(spark, spark.createDataFrame([(None, None)], "low long, high long"), spark.range(0))
+    jdbc.read_jdbc(stub, CONN, "alerts", "alert_id")
+    assert "partitionColumn" not in stub.read.asked[1][1]
+    stub = StubSession(spark, spark.range(1))
+    jdbc.JdbcSource(CONN, {"alerts": "alert_id"}).read(stub, "workshops")
+    assert len(stub.read.asked) == 1
+
+
+def test_read_kafka_subscribes(spark):
+    from millrace.streaming.events import read_kafka
+
+    stub = StubSession(spark, spark.range(1))
+    read_kafka(stub, "h:9092", "sensor-readings")
+    assert stub.read.asked == [
+        (
+            "kafka",
+            {
+                "kafka.bootstrap.servers": "h:9092",
+                "subscribe": "sensor-readings",
+                "startingOffsets": "earliest",
+                "failOnDataLoss": "false",
+            },
+        )
+    ]
