@@ -21,12 +21,13 @@ from millrace.operators.dedupe import dedupe
 from millrace.plans import marts, pipeline
 from millrace.plans.contract import clean, standardised
 from millrace.plans.tables import OPERATIONAL_TABLES
-from millrace.session import prepare, scratch_folder
+from millrace.session import fit_shuffles, partitions_for, prepare, scratch_folder, stored_bytes
 from millrace.sources.layers import Layout, read_layer, write_checked, write_layer
 from millrace.streaming.events import RECORD_SCHEMA, bronze_events
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
+_SIZES: dict[str, int] = {}
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -89,7 +90,9 @@ def silver_sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
     pipeline.start_bronze_stream(records, layout, drain=True).awaitTermination()
     schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
-    pipeline.start_silver_stream(spark, layout, schema, drain=True).awaitTermination()
+    backlog = partitions_for(stored_bytes(spark, layout.path(pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)))
+    states = max(backlog, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pipeline.start_silver_stream(spark, layout, schema, drain=True, state_partitions=states).awaitTermination()
     # Which of several copies arrives first is not defined, so what tells copies apart is left out.
     return read_layer(spark, layout, pipeline.SILVER_EVENTS, pipeline.EVENT_TABLE).drop("raw_value", "kafka_offset")
 
@@ -214,7 +217,14 @@ def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registered(query: Query) -> Query:
-    return lambda spark, sf_dir: present(query(prepare(spark), sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        if sf_dir not in _SIZES:
+            _SIZES[sf_dir] = stored_bytes(spark, *(f"{sf_dir}/{t}.parquet" for t in testbed.SCHEMAS))
+        fit_shuffles(spark, _SIZES[sf_dir])
+        return present(query(spark, sf_dir))
+
+    return run
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -22,7 +22,7 @@ from millrace.plans import marts
 from millrace.plans.contract import TableContract, quarantine, standardised, with_derived
 from millrace.plans.tables import OPERATIONAL_TABLES
 from millrace.sources.jdbc import JdbcConnection, JdbcSource, publish
-from millrace.session import together
+from millrace.session import sized_shuffles, stored_bytes, together
 from millrace.sources.layers import (
     Layout,
     read_layer,
@@ -129,15 +129,15 @@ def run_silver(
 ) -> dict[str, SilverCounts]:
     """Clean every Bronze table; ``keep_rejected`` also writes the invalid rows with the rules they broke."""
     order = {t: tuple((tie_breaks or {}).get(t, ())) for t in OPERATIONAL_TABLES}
-    found = together(
-        spark, {t: partial(silver_table, spark, layout, c, order[t]) for t, c in OPERATIONAL_TABLES.items()}
-    )
-    require_stored(spark, layout, SILVER, {t: seen["rows"] for t, seen in found.items()})
-    if keep_rejected:
-        rejected = together(
-            spark, {t: partial(quarantine_table, spark, layout, c, order[t]) for t, c in OPERATIONAL_TABLES.items()}
-        )
-        require_stored(spark, layout, QUARANTINE, rejected)
+
+    def for_each_table(job):
+        return together(spark, {t: partial(job, spark, layout, c, order[t]) for t, c in OPERATIONAL_TABLES.items()})
+
+    with _shuffles_for(spark, layout, BRONZE):
+        found = for_each_table(silver_table)
+        require_stored(spark, layout, SILVER, {t: seen["rows"] for t, seen in found.items()})
+        if keep_rejected:
+            require_stored(spark, layout, QUARANTINE, for_each_table(quarantine_table))
     bronze = stored_counts(spark, layout, BRONZE, OPERATIONAL_TABLES)
     return {
         t: SilverCounts(
@@ -166,11 +166,12 @@ def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """
     silver = {t: read_layer(spark, layout, SILVER, t) for t in OPERATIONAL_TABLES}
     keyed = {**marts.build_dimensions(silver), **marts.build_facts(silver)}
-    require_unique(keyed, {**marts.DIMENSION_KEYS, **marts.FACT_KEYS})
-    counts = _write_gold(spark, keyed, layout)
-    machines = read_layer(spark, layout, GOLD, "dim_machines")
-    facts = {t: read_layer(spark, layout, GOLD, t) for t in marts.FACT_KEYS}
-    counts |= _write_gold(spark, marts.build_kpis(machines, facts), layout)
+    with _shuffles_for(spark, layout, SILVER):
+        require_unique(keyed, {**marts.DIMENSION_KEYS, **marts.FACT_KEYS})
+        counts = _write_gold(spark, keyed, layout)
+        machines = read_layer(spark, layout, GOLD, "dim_machines")
+        facts = {t: read_layer(spark, layout, GOLD, t) for t in marts.FACT_KEYS}
+        counts |= _write_gold(spark, marts.build_kpis(machines, facts), layout)
     require_stored(spark, layout, GOLD, counts)
     return counts
 
@@ -256,3 +257,7 @@ def _write_gold(spark: SparkSession, frames: Mapping[str, DataFrame], layout: La
         return write_counted(stamp(frames[table], "_gold_processed_at"), layout, GOLD, table)
 
     return together(spark, {t: partial(write, t) for t in frames})
+
+
+def _shuffles_for(spark: SparkSession, layout: Layout, layer: str):
+    return sized_shuffles(spark, stored_bytes(spark, *(layout.path(layer, t) for t in OPERATIONAL_TABLES)))

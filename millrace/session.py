@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -28,6 +29,11 @@ RUNTIME_SETTINGS = {
 # Only settable before the session starts: no call-site lookup for every column expression built.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+# More reducers than this cost more in shuffle blocks than smaller partitions save; beyond it tasks spill.
+MOST_SHUFFLE_PARTITIONS = 40_000
+
 
 def build_session(app_name: str = "millrace", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -54,10 +60,50 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files below the paths, from a distributed listing; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.selectExpr("coalesce(sum(length), 0L) as bytes").first()["bytes"]
+
+
+def partitions_for(size: int) -> int:
+    """Shuffle partitions for so many stored bytes, taken to double once they are rows again."""
+    return min(-(-2 * size // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+
+
+def fit_shuffles(spark: SparkSession, size: int) -> None:
+    """As :func:`sized_shuffles`, for frames that run later; streams keep ``spark.sql.shuffle.partitions``."""
+    wanted = partitions_for(size)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    else:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
+    """Start shuffles with partitions fit for ``size`` stored bytes; AQE merges what turns out small.
+
+    Never goes below the session's own count, and puts the setting back afterwards.
+    """
+    before, wanted = spark.conf.get(INITIAL_PARTITIONS, None), partitions_for(size)
+    own = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted <= own:
+        yield
+        return
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def together(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
     """Run independent actions side by side, so small tables fill the gaps large ones leave on the cluster."""
     inherit = inheritable_thread_target(spark)

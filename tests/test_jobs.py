@@ -1,0 +1,41 @@
+"""The command line: arguments, and the jobs that need no outside system."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SMALL
+from test_streaming import payload, records
+
+from millrace import testbed
+from millrace.__main__ import arguments, run
+from millrace.plans import marts, pipeline
+from millrace.streaming.events import RECORD_SCHEMA
+
+
+def test_jobs_name_what_they_miss(capsys):
+    for argv, missing in (
+        (["bronze", "--root", "x"], "--jdbc-url, --user"),
+        (["stream-bronze", "--root", "x", "--servers", "h"], "--topic"),
+    ):
+        with pytest.raises(SystemExit):
+            arguments(argv)
+        assert missing in capsys.readouterr().err
+
+
+def test_silver_gold_validate(spark, layout):
+    pipeline.run_bronze(spark, layout, testbed.GivenTables(SMALL))
+    silver = run(spark, arguments(["silver", "--root", layout.root, "--keep-rejected"]))
+    assert silver["workshops"].silver == 25
+    gold = run(spark, arguments(["gold", "--root", layout.root]))
+    assert run(spark, arguments(["validate", "--root", layout.root])) == gold
+    assert set(gold) == set(marts.GOLD_TABLES)
+
+
+def test_streams(spark, layout):
+    records(spark, [payload("a"), payload("a"), payload("b")]).write.parquet(layout.path("topic", "records"))
+    source = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    pipeline.start_bronze_stream(source, layout, drain=True).awaitTermination()
+    run(spark, arguments(["stream-silver", "--root", layout.root, "--drain"]))
+    assert run(spark, arguments(["stream-report", "--root", layout.root])) == 3
+    stored = spark.read.parquet(layout.path(pipeline.SILVER_EVENTS, pipeline.EVENT_TABLE))
+    assert sorted(r.event_id for r in stored.collect()) == ["a", "b"]

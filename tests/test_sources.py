@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from millrace import session
 from millrace.operators.quality import QualityError
 from millrace.sources import jdbc, layers
 from millrace.session import scratch_folder
@@ -151,3 +152,27 @@ def test_read_kafka_subscribes(spark):
             },
         )
     ]
+
+
+def test_target_counts_in_the_database(spark):
+    stub = StubSession(spark, spark.createDataFrame([(41,)], "n long"))
+    assert jdbc.JdbcTarget(CONN).count(stub, "dim_machines") == 41
+    assert stub.read.asked[0][1]["dbtable"] == "(select count(*) as n from industrial.dim_machines) counted"
+
+
+def test_shuffles_are_sized_from_stored_bytes(spark, layout):
+    layers.write_layer(spark.range(10_000), layout, "bronze", "t")
+    size = session.stored_bytes(spark, layout.path("bronze", "t"))
+    assert size > 10_000
+    assert session.partitions_for(0) == 0 and session.partitions_for(1) == 1
+    assert session.partitions_for(10 * 2**30) == 80
+    assert session.partitions_for(100 * 2**40) == session.MOST_SHUFFLE_PARTITIONS
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.sized_shuffles(spark, size):
+        assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    with session.sized_shuffles(spark, 10 * 2**30):
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "80"
+        plan = spark.range(10).selectExpr("id % 3 as k").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(k" in plan and ", 80)" in plan
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
