@@ -91,7 +91,7 @@ def silver_sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipeline.start_bronze_stream(records, layout, drain=True).awaitTermination()
     schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
     backlog = partitions_for(stored_bytes(spark, layout.path(pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)))
-    states = max(backlog, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    states = max(backlog, spark.sparkContext.defaultParallelism)
     pipeline.start_silver_stream(spark, layout, schema, drain=True, state_partitions=states).awaitTermination()
     # Which of several copies arrives first is not defined, so what tells copies apart is left out.
     return read_layer(spark, layout, pipeline.SILVER_EVENTS, pipeline.EVENT_TABLE).drop("raw_value", "kafka_offset")

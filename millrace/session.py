@@ -75,12 +75,14 @@ def partitions_for(size: int) -> int:
 
 
 def fit_shuffles(spark: SparkSession, size: int) -> None:
-    """As :func:`sized_shuffles`, for frames that run later; streams keep ``spark.sql.shuffle.partitions``."""
+    """As :func:`sized_shuffles`, for frames that run later: the raised setting stays."""
     wanted = partitions_for(size)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if wanted > _initial_partitions(spark):
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    else:
-        spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def _initial_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 @contextmanager
@@ -90,8 +92,7 @@ def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
     Never goes below the session's own count, and puts the setting back afterwards.
     """
     before, wanted = spark.conf.get(INITIAL_PARTITIONS, None), partitions_for(size)
-    own = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted <= own:
+    if wanted <= _initial_partitions(spark):
         yield
         return
     spark.conf.set(INITIAL_PARTITIONS, str(wanted))

@@ -11,6 +11,8 @@ from millrace.operators.quality import QualityError, require_count
 
 FETCH_ROWS = 10_000
 BATCH_ROWS = 5_000
+# A cluster has more cores than a database takes connections.
+CONNECTIONS = 64
 
 
 @dataclass(frozen=True)
@@ -77,20 +79,18 @@ def read_jdbc(
     """A table scan; split over ``partition_on`` (an indexed key) so that one connection is not the limit."""
     split = None
     if partition_on:
-        n = partitions or spark.sparkContext.defaultParallelism
+        n = partitions or min(spark.sparkContext.defaultParallelism, CONNECTIONS)
         split = key_range(spark, conn, table, partition_on, n)
     return spark.read.format("jdbc").options(**scan_options(conn, table, split)).load()
 
 
-def publish_options(conn: JdbcConnection, table: str, truncate: bool, connections: int | None) -> dict[str, str]:
-    options = {
+def publish_options(conn: JdbcConnection, table: str, truncate: bool, connections: int) -> dict[str, str]:
+    return {
         **conn.options(conn.table(table)),
         "batchsize": str(BATCH_ROWS),
         "truncate": str(truncate).lower(),
+        "numPartitions": str(connections),
     }
-    if connections:
-        options["numPartitions"] = str(connections)
-    return options
 
 
 @dataclass(frozen=True)
@@ -119,7 +119,7 @@ class JdbcTarget:
 
     conn: JdbcConnection
     truncate: bool = False
-    connections: int | None = None
+    connections: int = CONNECTIONS
 
     def write(self, df: DataFrame, table: str) -> None:
         options = publish_options(self.conn, table, self.truncate, self.connections)

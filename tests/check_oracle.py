@@ -39,7 +39,25 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), kind="stable").reset_index(drop=True)
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(spark_df, sql: str, con) -> list[str]:
+    want = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    return [f"{c}: {kind} != {want.get(c)}" for c, kind in spark_df.dtypes if TYPES.get(kind) != want.get(c)]
+
+
 def differences(spark_df, sql: str, con) -> tuple[str | None, int]:
+    types = type_differences(spark_df, sql, con)
+    if types:
+        return f"types {types}", -1
     got = canonical(spark_df.toPandas())
     want = canonical(con.execute(sql).df())
     if list(got.columns) != list(want.columns):

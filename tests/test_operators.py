@@ -104,6 +104,30 @@ def test_enrich_broadcasts_only_when_told(spark, silver):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_hot_key_of_a_large_join_is_split(spark):
+    """A third of all rows on one key, neither side broadcast: AQE divides the hot partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 90_000, 1, 8).selectExpr("if(id % 3 = 0, 7, id % 5000) as k", "uuid() as v")
+        dim = spark.range(5000).selectExpr("id as k", "id * 2 as twice")
+        out = enrich(fact, dim, "k", ("twice",))
+        rows = out.collect()
+        assert len(rows) == 90_000 and all(r.twice == 2 * r.k for r in rows)
+        assert "skew=true" in plan_of(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_enrich_keeps_orphans_with_nulls(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     dim = spark.createDataFrame([(1, "one"), (None, "none")], "k int, label string")

@@ -66,7 +66,7 @@ def test_scan_options():
 def test_publish_options():
     options = jdbc.publish_options(CONN, "dim_machines", truncate=True, connections=8)
     assert options["batchsize"] == "5000" and options["truncate"] == "true" and options["numPartitions"] == "8"
-    assert "numPartitions" not in jdbc.publish_options(CONN, "dim_machines", False, None)
+    assert jdbc.JdbcTarget(CONN).connections == jdbc.CONNECTIONS
 
 
 def test_password_is_not_shown():
