@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -94,8 +95,9 @@ def insert_if_absent(new: DataFrame, layout: Layout, layer: str, table: str, key
     if layout.fmt != "delta":
         write_layer(fresh, layout, layer, table, mode="append")
         return
-    fresh.createOrReplaceTempView("_insert_if_absent")
+    view = f"fresh_{uuid.uuid4().hex}"
+    fresh.createOrReplaceTempView(view)
     spark.sql(
-        f"MERGE INTO delta.`{layout.path(layer, table)}` t USING _insert_if_absent s "
+        f"MERGE INTO delta.`{layout.path(layer, table)}` t USING {view} s "
         f"ON t.`{key}` = s.`{key}` WHEN NOT MATCHED THEN INSERT *"
     )
