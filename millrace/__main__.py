@@ -30,12 +30,15 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--user")
     parser.add_argument("--password-env", default="MILLRACE_PASSWORD")
-    parser.add_argument("--source-schema", default="industrial")
+    parser.add_argument("--source-schema", default="operations")
     parser.add_argument("--target-schema", default="analytics")
     parser.add_argument("--partitions", type=int, help="range queries per scan of a growing table")
     parser.add_argument("--keep-rejected", action="store_true", help="also write rejected rows")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--topic")
+    parser.add_argument("--max-offsets", type=int, help="records per micro-batch from Kafka")
+    parser.add_argument("--max-files", type=int, help="files per micro-batch from the streaming Bronze table")
+    parser.add_argument("--state-partitions", type=int, help="partitions of the dedup state, fixed by the first start")
     parser.add_argument("--drain", action="store_true", help="work off what is there and stop")
     found = parser.parse_args(argv)
     needed = ["jdbc_url", "user"] if found.job in STORE_JOBS else []
@@ -71,10 +74,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         newest.show(truncate=False)
         return count
     if args.job == "stream-bronze":
-        query = pipeline.start_bronze_stream(read_kafka(spark, args.servers, args.topic), layout, drain=args.drain)
+        topic = read_kafka(spark, args.servers, args.topic, args.max_offsets)
+        query = pipeline.start_bronze_stream(topic, layout, drain=args.drain)
     else:
         bronze = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)
-        query = pipeline.start_silver_stream(spark, layout, bronze.schema, drain=args.drain)
+        query = pipeline.start_silver_stream(
+            spark, layout, bronze.schema, args.drain, args.max_files, args.state_partitions
+        )
     query.awaitTermination()
     return query.id
 

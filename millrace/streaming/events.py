@@ -37,6 +37,7 @@ EVENT_SCHEMA = T.StructType(
 LATENESS = "10 minutes"
 PACE = "5 seconds"
 
+RECORDS_PER_TASK = 500_000
 EVENT_KEY = ("event_id", "event_timestamp")
 
 
@@ -46,6 +47,7 @@ def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> d
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
+        "maxRecordsPerPartition": str(RECORDS_PER_TASK),
     }
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
@@ -53,7 +55,11 @@ def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> d
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
-    """The topic as a stream; ``max_offsets`` keeps the first batches of a long backlog bounded."""
+    """The topic as a stream.
+
+    ``max_offsets`` keeps the first batches of a long backlog bounded. Records are keyed by machine, so one
+    topic partition may hold most of them; its offset range is cut into tasks of bounded length.
+    """
     return spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets)).load()
 
 

@@ -50,12 +50,12 @@ def test_scratch_folder_is_below_the_session_setting(spark):
     assert first.startswith(root) and first != second
 
 
-CONN = jdbc.JdbcConnection("jdbc:postgresql://host/db", "u", "secret", schema="industrial")
+CONN = jdbc.JdbcConnection("jdbc:postgresql://host/db", "u", "secret", schema="operations")
 
 
 def test_scan_options():
     plain = jdbc.scan_options(CONN, "alerts")
-    assert plain["dbtable"] == "industrial.alerts" and plain["fetchsize"] == "10000"
+    assert plain["dbtable"] == "operations.alerts" and plain["fetchsize"] == "10000"
     assert "partitionColumn" not in plain
     split = jdbc.scan_options(CONN, "alerts", jdbc.Partitioning("alert_id", 1, 900, 16))
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
@@ -123,7 +123,7 @@ def test_read_jdbc_asks_for_bounds_then_scans_in_ranges(spark):
     stub = StubSession(spark, spark.createDataFrame([(5, 900)], "low long, high long"), spark.range(3))
     assert jdbc.read_jdbc(stub, CONN, "alerts", "alert_id", 12).count() == 3
     (_, bounds), (fmt, scan) = stub.read.asked
-    assert bounds["dbtable"] == "(select min(alert_id) as low, max(alert_id) as high from industrial.alerts) bounds"
+    assert bounds["dbtable"] == "(select min(alert_id) as low, max(alert_id) as high from operations.alerts) bounds"
     assert fmt == "jdbc" and (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("5", "900", "12")
 
 
@@ -149,6 +149,7 @@ def test_read_kafka_subscribes(spark):
                 "subscribe": "sensor-readings",
                 "startingOffsets": "earliest",
                 "failOnDataLoss": "false",
+                "maxRecordsPerPartition": "500000",
             },
         )
     ]
@@ -157,7 +158,7 @@ def test_read_kafka_subscribes(spark):
 def test_target_counts_in_the_database(spark):
     stub = StubSession(spark, spark.createDataFrame([(41,)], "n long"))
     assert jdbc.JdbcTarget(CONN).count(stub, "dim_machines") == 41
-    assert stub.read.asked[0][1]["dbtable"] == "(select count(*) as n from industrial.dim_machines) counted"
+    assert stub.read.asked[0][1]["dbtable"] == "(select count(*) as n from operations.dim_machines) counted"
 
 
 def test_shuffles_are_sized_from_stored_bytes(spark, layout):
