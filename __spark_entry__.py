@@ -263,8 +263,20 @@ def queries() -> dict[str, Query]:
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
     }
-    return {name: _registered(query) for name, query in found.items()}
+    return {name: _registered(query) for name, query in found.items()} | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    return oracle.oracle_sql() | _text_queries()[1]
+
+
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the text operators and their pipeline, if that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from millrace.llm import queries as text
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "millrace.llm", "millrace.llm.queries"):
+            raise
+        return {}, {}
+    return text.QUERIES | {"pipeline": corpus_pipeline.run}, text.ORACLE_SQL | corpus_pipeline.oracles()
