@@ -7,17 +7,60 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.line_dedup import dedup_lines
+from millrace.llm.mixing import mix_plan
 from millrace.llm.shared import documents
 from millrace.llm.simhash import simhash_groups
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=("chunks_removed", "lines_removed"))
+    return clean.select("doc_id", "chunks_removed", "lines_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix_plan(documents(spark, sf_dir).select("doc_id", "source", "text"), (3, 1, 2), share=1.5, most=2.0)
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(documents(spark, sf_dir), shingle=4, distance=4)
     return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
+    "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The level of the targets: sources in order of size / weight fill up until the rest can share what is left.
+OP6_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, text, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT k, CAST(sum(size) AS DOUBLE) AS s, [3, 1, 2][CAST((row_number() OVER (ORDER BY k) - 1) % 3 + 1 AS INT)] AS w
+  FROM sized GROUP BY k
+), filled AS (
+  SELECT *, coalesce(sum(2.0 * s) OVER before, 0) AS c, sum(s) OVER () AS t,
+         sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS r
+  FROM sources WINDOW before AS (ORDER BY s / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT 1.5 * t - c AS rest, r FROM filled WHERE NOT 2.0 * s * r < w * (1.5 * t - c) ORDER BY s / w, k LIMIT 1
+), aimed AS (
+  SELECT k, CAST(s AS BIGINT) AS source_size,
+         CASE WHEN 2.0 * s * level.r < w * rest THEN 2.0 * s ELSE w * rest / level.r END AS target
+  FROM sources LEFT JOIN level ON true
+), rated AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size END AS rate,
+         CAST('0x' || md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, ''))[:13] AS BIGINT)
+           / 4503599627370496.0 AS u
+  FROM sized JOIN aimed USING (k)
+)
+SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rated
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_mix_sources": OP6_SQL}
