@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
 from millrace.llm.shared import documents
@@ -28,10 +29,15 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 # The level of the targets: sources in order of size / weight fill up until the rest can share what is left.
