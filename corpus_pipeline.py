@@ -6,20 +6,54 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import langid
+from millrace.llm.decontaminate import decontaminate
+from millrace.llm.line_dedup import dedup_lines
+from millrace.llm.mixing import mix
 from millrace.llm.shared import documents, shared_folder
 from millrace.llm.simhash import keep_one
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+# The product of two probabilities, of family and language: even odds in both steps.
+LEAST_LANGUAGE_SCORE = 0.25
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: no letter in them, or a guess no better than chance."""
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    return langid.keep_identified(docs, model, LEAST_LANGUAGE_SCORE)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line chunks that an earlier document has are taken out of the texts; no document goes."""
+    return dedup_lines(docs)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return keep_one(docs, shingle=4, distance=4)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks, numbered in ``copy``."""
+    return mix(docs, copy_column="copy", weights=(3, 1, 2), share=1.5, most=2.0)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
 ]
 
 # Language prediction and fingerprints have no counterpart in SQL; the stages are tested one by one.

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import langid
 from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
@@ -14,6 +15,13 @@ from millrace.llm.shared import documents
 from millrace.llm.simhash import simhash_groups
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=("chunks_removed", "lines_removed"))
     return clean.select("doc_id", "chunks_removed", "lines_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -34,6 +42,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
