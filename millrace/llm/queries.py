@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid
+from millrace.llm import langid, pii
 from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
@@ -27,6 +27,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "chunks_removed", "lines_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find_personal(docs, pii.fit(docs))
+    counts = [F.expr(f"long(size(filter(base, x -> x.kind = {k})))").alias(f"n_{n}") for k, n in enumerate(pii.KINDS)]
+    base = F.sha2(pii.listed("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.listed("spans").alias("spans"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(documents(spark, sf_dir).select("doc_id", "source", "text"), (3, 1, 2), share=1.5, most=2.0)
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -44,6 +52,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op4_personal_data": op4_personal_data,
     "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_decontaminate": op8_decontaminate,
