@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, pii
+from millrace.llm import fertility, langid, pii
 from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
@@ -49,6 +49,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op9_tokeniser_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(documents(spark, sf_dir)).drop("key", "size").withColumnRenamed("grp", "band")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_line_dedup": op3_line_dedup,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_tokeniser_quality": op9_tokeniser_quality,
 }
 
 # The level of the targets: sources in order of size / weight fill up until the rest can share what is left.
