@@ -11,6 +11,7 @@ from millrace.llm import fertility, langid, pii
 from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
+from millrace.llm.paragraph_dedup import repeated_paragraphs
 from millrace.llm.shared import documents
 from millrace.llm.simhash import simhash_groups
 
@@ -53,6 +54,10 @@ def op9_tokeniser_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(documents(spark, sf_dir)).drop("key", "size").withColumnRenamed("grp", "band")
 
 
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(documents(spark, sf_dir)).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_line_dedup": op3_line_dedup,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_tokeniser_quality": op9_tokeniser_quality,
+    "op10_paragraph_dedup": op10_paragraph_dedup,
 }
 
 # The level of the targets: sources in order of size / weight fill up until the rest can share what is left.
