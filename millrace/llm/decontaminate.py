@@ -21,13 +21,12 @@ from functools import reduce
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.shared import columns_of, quoted
+from millrace.llm.shared import columns_of, quoted, values
 
 SIMILARITY = 0.8
 RECALL = 0.98
@@ -268,7 +267,7 @@ def _searcher(index: Index, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, hits = [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
+            for k, text in enumerate(values(batch.column(1))):
                 own = index.search(text)
                 of += [k] * len(own)
                 hits += own
@@ -295,8 +294,8 @@ def decontaminate(
 
 
 def _holder(index: Index):
-    @F.pandas_udf("boolean")
-    def holds(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: bool(index.search(t)))
+    @F.arrow_udf("boolean")
+    def holds(text: pa.Array) -> pa.Array:
+        return pa.array((bool(index.search(t)) for t in values(text)), pa.bool_())
 
     return holds

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import checkpointed, free_name, quoted, row_key
+from millrace.llm.shared import checkpointed, free_name, quoted, row_key, values
 
 TOKENIZERS = "/opt/tokenizers"
 WINDOW = 5
@@ -151,13 +151,13 @@ def measures(docs: DataFrame, vocabularies: tuple[Vocabulary, ...] = PRODUCTION)
 
     def run(batches):
         for batch in batches:
-            texts, langs = batch.column(3).to_pylist(), batch.column(2).to_pylist()
-            group = [lang or f"script:{script_of(t or '')}" for lang, t in zip(langs, texts)]
-            fixed = list(zip(*map(base_measures, texts))) or [[]] * len(base)
-            size = pa.array([int(n).bit_length() for n in fixed[0]], pa.int32())
-            own = []
-            for v in vocabularies:
-                own += list(zip(*(v.measure(t or "") for t in texts))) or [[]] * len(MEASURES)
+            group, fixed, own = [], [], []
+            for lang, text in zip(values(batch.column(2)), values(batch.column(3))):
+                group.append(lang or f"script:{script_of(text or '')}")
+                fixed.append(base_measures(text))
+                own.append([m for v in vocabularies for m in v.measure(text or "")])
+            size = pa.array([f[0].bit_length() for f in fixed], pa.int32())
+            fixed, own = ([list(c) for c in zip(*rows)] or [[]] * n for rows, n in ((fixed, len(base)), (own, len(named))))
             columns = [batch.column(0), batch.column(1), pa.array(group, pa.string()), size]
             columns += [pa.array(c, pa.int64()) for c in fixed] + [pa.array(c, pa.float64()) for c in own]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "grp", "size", *base, *named])

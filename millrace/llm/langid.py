@@ -15,10 +15,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import free_name, quoted
+from millrace.llm.shared import free_name, quoted, values
 
 UNKNOWN = "und"
 PER_LANGUAGE = 800  # labelled rows a language gives at most; families share them out among their languages
@@ -167,10 +168,14 @@ class Model:
     def column(self, text: Column) -> Column:
         """A struct of ``lang_pred`` and ``score``."""
 
-        @F.pandas_udf("lang_pred string, score double")
-        def run(texts: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([self.predict(t) for t in texts], columns=["lang_pred", "score"])
+        @F.arrow_udf("struct<lang_pred:string,score:double>")
+        def run(texts: pa.Array) -> pa.Array:
+            found = [self.predict(t) for t in values(texts)]
+            columns = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
+            return pa.StructArray.from_arrays(columns, ["lang_pred", "score"])
 
+        # Not a function to be run twice: a filter on its answer would otherwise be pushed below it as a copy.
+        run = run.asNondeterministic()
         return run(text)
 
 

@@ -10,13 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import checkpointed, columns_of, free_name, quoted, row_key
+from millrace.llm.shared import checkpointed, columns_of, free_name, quoted, row_key, values
 
 WINDOW = 2  # lines that decide about a boundary
 LINES = 3  # mean lines of a chunk
@@ -46,7 +45,7 @@ def chunks(docs: DataFrame, window: int, mean: int, with_bytes: bool, hash_bits:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, start, end, digests, parts = [], [], [], [], []
-            for k, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
+            for k, text in enumerate(values(batch.column(2), pa.binary())):
                 lines = text.split(b"\n")
                 begin = 0
                 for stop in boundaries(lines, window, mean):
@@ -98,20 +97,20 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, mean: int = LINES, ha
     return clear.unionAll(exact.join(kept, "chunk").where(place != F.col("first")).select("key", "start", "end"))
 
 
-@F.pandas_udf("string")
-def without_lines(text: pd.Series, cuts: pd.Series) -> pd.Series:
+@F.arrow_udf("string")
+def without_lines(text: pa.Array, cuts: pa.Array) -> pa.Array:
     """The text without the line spans ``start << 32 | end``."""
 
-    def cut(body: str | None, spans) -> str | None:
+    def cut(body: str | None, spans: list[int] | None) -> str | None:
         if spans is None or body is None:
             return body
         lines, kept, at = body.split("\n"), [], 0
-        for span in sorted(map(int, spans)):
+        for span in sorted(spans):
             kept += lines[at : span >> 32]
             at = max(at, span & 0xFFFFFFFF)
         return "\n".join(kept + lines[at:])
 
-    return pd.Series([cut(t, c) for t, c in zip(text, cuts)], dtype=object)
+    return pa.array(map(cut, values(text), values(cuts)), pa.string())
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, mean: int = LINES, counts: tuple[str, str] | None = None) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,13 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(part(doc_id), F.lit("\x00"), part(text)).cast("binary")))
 
 
+def values(column: pa.Array, kind: pa.DataType | None = None, lot: int = 256) -> Iterator:
+    """The values of an Arrow column as Python objects, a few at a time: a batch is never copied whole."""
+    for start in range(0, len(column), lot):
+        part = column.slice(start, lot)
+        yield from (part if kind is None else part.cast(kind)).to_pylist()
+
+
 def columns_of(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that others cannot clash with what an operator adds."""
     return df.select(*(quoted(n).alias(n) for n in names))

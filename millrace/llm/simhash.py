@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import checkpointed, columns_of, free_name, quoted, row_key
+from millrace.llm.shared import checkpointed, columns_of, free_name, quoted, row_key, values
 
 SEED = 42
 BLOCK = 1 << 20  # fingerprints in a block: 8 MB
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t, shingle) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            found = [fingerprint(t, shingle) for t in values(batch.column(2), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["doc_id", "key", "fingerprint"]
             )
