@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import fertility, langid, pii
+from millrace.llm import fertility, langid, licenses, pii, toxicity
 from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
@@ -23,6 +23,25 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def labelled(spark: SparkSession, sf_dir: str, most: int = 2 * toxicity.PER_CLASS) -> DataFrame:
+    """Texts with their label: at most ``most`` labelled ids of each class, by hash; those are few enough to send everywhere."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null and doc_id is not null")
+    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    few = labels.withColumn("place", place).where(F.col("place") <= most).select("doc_id", "toxic")
+    return documents(spark, sf_dir).select("doc_id", "text").join(F.broadcast(few), "doc_id")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(toxicity.with_kinds(labelled(spark, sf_dir)), [*toxicity.SEEDS, "toxic"])
+    return toxicity.score(documents(spark, sf_dir), model)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    return found.select("doc_id", *(F.array_join(c, ",").alias(c) for c in ("sentences", "licenses")))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=("chunks_removed", "lines_removed"))
     return clean.select("doc_id", "chunks_removed", "lines_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -60,8 +79,10 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_personal_data": op4_personal_data,
+    "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_decontaminate": op8_decontaminate,
@@ -98,4 +119,44 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN u
 FROM rated
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_mix_sources": OP6_SQL}
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def op5_sql() -> str:
+    """Sentence by sentence with positions, then one step a rule."""
+    known = ", ".join(f"({_quote(s)}, {_quote(i)})" for s, i in licenses.SENTENCES.items())
+    steps, names = [], []
+    for k, (name, rule) in enumerate(licenses.RULES):
+        pattern = _quote(licenses.rule_pattern(rule))
+        steps.append(
+            f"r{k + 1} AS (SELECT * REPLACE (regexp_replace(s, {pattern}, ',', 'g') AS s),"
+            f" regexp_matches(s, {pattern}) AS h{k} FROM r{k})"
+        )
+        names.append((name, f"h{k}"))
+    found = ", ".join(f"CASE WHEN {h} THEN {_quote(n)} END" for n, h in names)
+    return rf"""
+WITH known(sentence, id) AS (VALUES {known}),
+cut AS (
+  SELECT doc_id, row_number() OVER () AS row_no, string_split(lower(regexp_replace(regexp_replace(coalesce(text, ''),
+    '
+[ 	#*/;-]*([a-z(])', ' ', 'g'), '([.!?;:]+)[ 	]+', '' || chr(10), 'g')), chr(10)) AS parts
+  FROM documents
+), said AS (
+  SELECT row_no, place, regexp_replace(regexp_replace(parts[place], '[^a-z0-9.-]+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g') AS sentence
+  FROM (SELECT row_no, parts, unnest(range(1, len(parts) + 1)) AS place FROM cut)
+), ids AS (
+  SELECT row_no, string_agg(id, ',' ORDER BY place) AS sentences FROM said JOIN known USING (sentence) GROUP BY row_no
+), r0 AS (
+  SELECT doc_id, coalesce(sentences, '') AS sentences, ',' || coalesce(sentences, '') || ',' AS s
+  FROM cut LEFT JOIN ids USING (row_no)
+), {", ".join(steps)}
+SELECT doc_id, sentences, CASE WHEN sentences = '' THEN '' ELSE array_to_string(list_distinct_ordered, ',') END AS licenses
+FROM (SELECT *, list_filter(hits, lambda x, i: list_position(hits, x) = i) AS list_distinct_ordered
+      FROM (SELECT *, list_filter([{found}], lambda x: x IS NOT NULL) AS hits FROM r{len(licenses.RULES)}))
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op5_license_scan": op5_sql(), "op6_mix_sources": OP6_SQL}
