@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import checkpointed, columns_of, free_name, quoted, row_key, values
+from millrace.llm.shared import columns_of, free_name, quoted, row_key, values
 
 WINDOW = 2  # lines that decide about a boundary
 LINES = 3  # mean lines of a chunk
@@ -82,7 +82,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, mean: int = LINES, ha
     first = found.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     again = found.join(first, "hash").where(place != F.col("first"))
     texts = chunks(docs, window, mean, True, hash_bits).distinct()
-    mixed = checkpointed(texts.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    mixed = texts.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     if mixed.isEmpty():
         return again.select("key", "start", "end")
     clear = again.join(mixed, "hash", "left_anti").select("key", "start", "end")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import WORD, checkpointed, columns_of, free_name, quoted
+from millrace.llm.shared import ROWS_A_FILE, WORD, checkpointed, columns_of, free_name, quoted
 
 BROADCAST_BYTES = 16 << 20  # a table of sources above this is joined by a shuffle
 
@@ -44,7 +44,7 @@ def cyclic_weights(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     The order is found by ranges: each partition numbers its own sources, and only the partitions' row counts
     go to the driver.
     """
-    parts = sizes.sparkSession.sparkContext.defaultParallelism
+    parts = -(-sizes.count() // ROWS_A_FILE) or 1
     placed = checkpointed(sizes.repartitionByRange(parts, "source_key").withColumn("part", F.spark_partition_id()))
     before, offsets = 0, []
     for part, rows in sorted(map(tuple, placed.groupBy("part").count().collect())):
@@ -63,7 +63,8 @@ def targets(weighted: DataFrame, share: float, most: float) -> DataFrame:
     What a full source leaves is shared again among the others by weight until none is above. The driver sees
     two sums a round. Adds ``target``; a source without words has target 0.
     """
-    weighted = checkpointed(weighted)
+    sources = weighted.count()
+    weighted = checkpointed(weighted, sources)
     full = F.col("source_size") * F.lit(float(most))
     words_, weight = weighted.agg(F.sum("source_size"), F.sum("weight")).first()
     total, left, rest = share * (words_ or 0), share * (words_ or 0), float(weight or 0)
@@ -99,7 +100,7 @@ def mix_plan(
     """
     size, source_size, target, copies = names
     rates = targets(cyclic_weights(source_sizes(columns_of(docs, "source", "text")), weights), share, most)
-    rates = checkpointed(rates.select("source_key", "source_size", "target"))
+    rates = rates.select("source_key", "source_size", "target")
     bytes_ = rates.agg(F.sum(F.octet_length("source_key") + 64)).first()[0] or 0
     key = free_name([*docs.columns, *names], "source_key")
     rates = rates.select(*(F.col(c).alias(n) for c, n in zip(rates.columns, (key, source_size, target))))

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS_A_FILE = 250_000
 # White space of all word rules here: ASCII only, as ``bytes.split()`` sees it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,8 +34,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and go on from there, without the plan that made them."""
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Write the rows to the shared checkpoint folder and go on from there, without the plan that made them.
+
+    Where it is known how many small rows there are at most, they go to as few files as hold them well.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     context = df.sparkSession.sparkContext
     folder = shared_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
