@@ -89,7 +89,7 @@ def identified(text: Column) -> Column:
     stops followed by white space.
     """
     body = F.regexp_replace(text, r"\n[ \t#*/;-]*([a-z(])", " $1")
-    body = F.lower(F.regexp_replace(body, r"([.!?;:]+)[ \t\r]+", "$1\n"))
+    body = F.lower(F.regexp_replace(body, r"([.!?;]+)[ \t\r]+", "$1\n"))
     near = F.filter(F.split(body, "\n", -1), lambda s: _any(s))
     plain = F.transform(
         near,

@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.shared import columns_of, free_name, quoted, row_key, values
 
@@ -97,7 +98,7 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, mean: int = LINES, ha
     return clear.unionAll(exact.join(kept, "chunk").where(place != F.col("first")).select("key", "start", "end"))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def without_lines(text: pa.Array, cuts: pa.Array) -> pa.Array:
     """The text without the line spans ``start << 32 | end``."""
 

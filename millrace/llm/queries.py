@@ -141,8 +141,7 @@ def op5_sql() -> str:
 WITH known(sentence, id) AS (VALUES {known}),
 cut AS (
   SELECT doc_id, row_number() OVER () AS row_no, string_split(lower(regexp_replace(regexp_replace(coalesce(text, ''),
-    '
-[ 	#*/;-]*([a-z(])', ' ', 'g'), '([.!?;:]+)[ 	]+', '' || chr(10), 'g')), chr(10)) AS parts
+    '\n[ \t#*/;-]*([a-z(])', ' \1', 'g'), '([.!?;]+)[ \t\r]+', '\1' || chr(10), 'g')), chr(10)) AS parts
   FROM documents
 ), said AS (
   SELECT row_no, place, regexp_replace(regexp_replace(parts[place], '[^a-z0-9.-]+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g') AS sentence

@@ -1,0 +1,58 @@
+import pytest
+
+import corpus_pipeline as cp
+import __spark_entry__ as entry
+from millrace.llm.decontaminate import matches
+from millrace.llm.simhash import simhash_groups
+
+from cases import SMALL, edge_docs
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What each stage gave, stored and read again."""
+    docs, found = spark.read.parquet(f"{SMALL}/documents.parquet"), []
+    folder = tmp_path_factory.mktemp("stages")
+    for k, (_, stage) in enumerate(cp.STAGES):
+        stage(spark, docs, SMALL).write.parquet(f"{folder}/{k}")
+        found.append((docs, out := spark.read.parquet(f"{folder}/{k}")))
+        docs = out
+    return found
+
+
+def test_columns_of_documents(stages):
+    first = stages[0][0]
+    assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "source_mixing"]
+    assert all(out.dtypes == first.dtypes for _, out in stages[:-1])
+    assert stages[-1][1].columns == [*first.columns, "copy"]
+
+
+def test_decisions_take_effect(spark, stages):
+    (docs, identified), (_, lines), (_, single), (_, clean), (_, mixed) = stages
+    assert identified.count() == docs.count() == lines.count()
+    groups = {r["component_id"] for r in simhash_groups(lines).collect()}
+    assert {r["doc_id"] for r in single.select("doc_id").collect()} == groups and single.count() == len(groups) < lines.count()
+    leaks = {r["doc_id"] for r in matches(single, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
+    assert leaks and {r["doc_id"] for r in clean.select("doc_id").collect()} == groups - leaks
+    assert mixed.groupBy("doc_id").count().where("count > 2").isEmpty()
+
+
+def test_run_equals_the_stages(spark, stages):
+    rows = lambda df: sorted((r["doc_id"], r["copy"], r["text"]) for r in df.collect())
+    assert rows(entry.queries()["pipeline"](spark, SMALL)) == rows(stages[-1][1])
+
+
+def test_odd_documents_pass_through(spark):
+    docs = edge_docs(spark)
+    for _, stage in cp.STAGES:
+        docs = stage(spark, docs, SMALL)
+    assert docs.count() > 0 and docs.where("text is null").isEmpty()
+    empty = edge_docs(spark).where("doc_id < 0")
+    for _, stage in cp.STAGES:
+        empty = stage(spark, empty, SMALL)
+        assert empty.isEmpty()
+
+
+def test_each_operator_has_a_query():
+    names = list(entry.queries())
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
