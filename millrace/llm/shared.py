@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,16 @@ def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table of the shared folder: for wide rows that several steps read in parts.
+
+    The table is scratch data of the session, to be removed with the folder it is in.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def free_name(taken: Iterable[str], wish: str) -> str:
     """A column name that is not among those taken; Spark compares names without case."""
     used, name = {t.lower() for t in taken}, wish
