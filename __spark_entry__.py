@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 import oracle
-from millrace import testbed
+import testbed
 from millrace.operators import quality
 from millrace.operators.enrich import orphans
 from millrace.operators.insert import append_new
@@ -21,13 +21,15 @@ from millrace.operators.dedupe import dedupe
 from millrace.plans import marts, pipeline
 from millrace.plans.contract import clean, standardised
 from millrace.plans.tables import OPERATIONAL_TABLES
-from millrace.session import fit_shuffles, partitions_for, prepare, scratch_folder, stored_bytes
+from millrace.session import prepare, scratch_folder
+from millrace.sources import layers
 from millrace.sources.layers import Layout, read_layer, write_checked, write_layer
 from millrace.streaming.events import RECORD_SCHEMA, bronze_events
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
-_SIZES: dict[str, int] = {}
+# Partitions of the event stream's dedup state, fixed by its first start.
+STATE_PARTITIONS = 8
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -78,21 +80,23 @@ def gold_keyed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def bronze_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = bronze(spark, sf_dir, "production")
-    stamped = pipeline.stamp_bronze(raw, "testbed", "production", "run")
-    return stamped.drop("_source_system", "_source_table", "_ingestion_id")
+    return pipeline.stamp_bronze(bronze(spark, sf_dir, "production"), "testbed", "production", "run")
 
 
-def silver_sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drained_events(spark: SparkSession, sf_dir: str) -> Layout:
     """Records in a folder, drained into streaming Bronze and from there into streaming Silver."""
     layout = Layout(scratch_folder(spark, "events"))
     write_layer(testbed.sensor_records(spark, sf_dir), layout, "topic", "records")
     records = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
     pipeline.start_bronze_stream(records, layout, drain=True).awaitTermination()
     schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
-    backlog = partitions_for(stored_bytes(spark, layout.path(pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)))
-    states = max(backlog, spark.sparkContext.defaultParallelism)
-    pipeline.start_silver_stream(spark, layout, schema, drain=True, state_partitions=states).awaitTermination()
+    silver_stream = pipeline.start_silver_stream(spark, layout, schema, drain=True, state_partitions=STATE_PARTITIONS)
+    silver_stream.awaitTermination()
+    return layout
+
+
+def silver_sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = drained_events(spark, sf_dir)
     # Which of several copies arrives first is not defined, so what tells copies apart is left out.
     return read_layer(spark, layout, pipeline.SILVER_EVENTS, pipeline.EVENT_TABLE).drop("raw_value", "kafka_offset")
 
@@ -116,12 +120,12 @@ fact_alerts = _from_silver(marts.fact_alerts, "alerts")
 
 def kpi_daily_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     machines = marts.machine_reference(dim_machines(spark, sf_dir))
-    return marts.kpi_daily_production(fact_production(spark, sf_dir), *machines)
+    return marts.kpi_daily_production(fact_production(spark, sf_dir), machines)
 
 
 def kpi_workshop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     machines = marts.machine_reference(dim_machines(spark, sf_dir))
-    return marts.kpi_workshop_performance(fact_production(spark, sf_dir), *machines)
+    return marts.kpi_workshop_performance(fact_production(spark, sf_dir), machines)
 
 
 def kpi_machine_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +139,23 @@ def kpi_machine_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_maintenance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     machines = marts.machine_reference(dim_machines(spark, sf_dir))
-    return marts.kpi_maintenance_summary(fact_maintenance(spark, sf_dir), *machines)
+    return marts.kpi_maintenance_summary(fact_maintenance(spark, sf_dir), machines)
+
+
+def stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = drained_events(spark, sf_dir)
+    stored = (read_layer(spark, layout, layer, pipeline.EVENT_TABLE) for layer in (pipeline.BRONZE_EVENTS, pipeline.SILVER_EVENTS))
+    return pipeline.stream_quality(*stored)
+
+
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest events of the stored streaming Bronze table, each with the table's row count."""
+    layout = Layout(scratch_folder(spark, "events"))
+    write_layer(testbed.sensor_records(spark, sf_dir), layout, "topic", "records")
+    records = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    pipeline.start_bronze_stream(records, layout, drain=True).awaitTermination()
+    rows, newest = pipeline.stream_report(spark, layout)
+    return newest.selectExpr("*", f"{rows}L as total_rows")
 
 
 def _per_table(report: Callable[[DataFrame, str, str, str, tuple[str, ...]], DataFrame]) -> Query:
@@ -183,15 +203,15 @@ def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = gold_keyed(spark, sf_dir)
     frames |= marts.build_kpis(frames["dim_machines"], frames)
-    return quality.stack_reports([quality.row_count(frames[t], t) for t in marts.GOLD_TABLES])
+    return quality.with_total(quality.stack_reports([quality.row_count(frames[t], t) for t in marts.GOLD_TABLES]))
 
 
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.latest_events(bronze_events(testbed.sensor_records(spark, sf_dir)))
 
 
-def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Register the sensors that raised alerts without being known."""
+def known_and_seen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The sensors there are, and one row for each sensor that raised an alert."""
     known = silver(spark, sf_dir, "sensors").select("sensor_id", "sensor_code", "machine_id", "status")
     seen = bronze(spark, sf_dir, "alerts").selectExpr(
         "sensor_id",
@@ -199,7 +219,22 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
         "machine_id",
         "'INACTIVE' as status",
     )
-    return append_new(known, seen, "sensor_id")
+    return known, seen
+
+
+def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register the sensors that raised alerts without being known."""
+    return append_new(*known_and_seen(spark, sf_dir), "sensor_id")
+
+
+def stored_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a stored table, twice: the second time nothing is new."""
+    layout = Layout(scratch_folder(spark, "insert"))
+    known, seen = known_and_seen(spark, sf_dir)
+    write_layer(known, layout, "silver", "sensors")
+    for _ in range(2):
+        layers.insert_if_absent(seen, layout, "silver", "sensors", "sensor_id")
+    return read_layer(spark, layout, "silver", "sensors")
 
 
 def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,19 +245,38 @@ def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole batch chain through stored layers; answers with one of its Gold tables."""
+    """The whole batch chain through stored layers; a row for every table it stored.
+
+    ``measure`` is the sum of a whole-number column, ``unstamped`` the rows without the layer's time stamp.
+    """
     layout = Layout(scratch_folder(spark, "batch"))
     pipeline.run_batch(spark, layout, testbed.GivenTables(sf_dir), tie_breaks=testbed.TIE_BREAKS)
-    return read_layer(spark, layout, pipeline.GOLD, "kpi_daily_production")
+    stamps = {"bronze": "_ingestion_timestamp", "silver": "_silver_processed_at", "gold": "_gold_processed_at"}
+    tables = [(layer, t) for layer in ("bronze", "silver") for t in OPERATIONAL_TABLES]
+    tables += [("gold", t) for t in marts.GOLD_TABLES]
+    keys = {t: c.key for t, c in OPERATIONAL_TABLES.items()} | marts.DIMENSION_KEYS | marts.FACT_KEYS
+    measures = keys | {
+        "kpi_daily_production": "production_records",
+        "kpi_workshop_performance": "workshop_id",
+        "kpi_machine_performance": "alert_count",
+        "kpi_maintenance_summary": "intervention_count",
+    }
+    reports = [
+        read_layer(spark, layout, layer, t)
+        .selectExpr(
+            "count(1) as rows",
+            f"bigint(coalesce(sum({measures[t]}), 0)) as measure",
+            f"count_if({stamps[layer]} is null) as unstamped",
+        )
+        .selectExpr(f"'{layer}' as layer", f"'{t}' as table", "*")
+        for layer, t in tables
+    ]
+    return quality.stack_reports(reports)
 
 
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prepare(spark)
-        if sf_dir not in _SIZES:
-            _SIZES[sf_dir] = stored_bytes(spark, *(f"{sf_dir}/{t}.parquet" for t in testbed.SCHEMAS))
-        fit_shuffles(spark, _SIZES[sf_dir])
-        return present(query(spark, sf_dir))
+        return present(query(prepare(spark), sf_dir))
 
     return run
 
@@ -251,7 +305,7 @@ def queries() -> dict[str, Query]:
         "kpi_workshop_performance": kpi_workshop_performance,
         "kpi_machine_performance": kpi_machine_performance,
         "kpi_maintenance_summary": kpi_maintenance_summary,
-        "dq_row_counts": _per_table(quality.row_accounting),
+        "dq_row_counts": lambda spark, sf_dir: quality.with_total(_per_table(quality.row_accounting)(spark, sf_dir)),
         "dq_rejections": dq_rejections,
         "dq_duplicates": _per_table(quality.duplicate_report),
         "dq_orphans": dq_orphans,
@@ -260,6 +314,9 @@ def queries() -> dict[str, Query]:
         "gold_row_counts": gold_row_counts,
         "latest_events": latest_events,
         "insert_if_absent": insert_if_absent,
+        "stored_insert_if_absent": stored_insert_if_absent,
+        "stream_quality": stream_quality,
+        "stream_report": stream_report,
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
     }

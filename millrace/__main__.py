@@ -7,6 +7,7 @@ the process ends with a non-zero exit code.
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 from collections.abc import Sequence
 
@@ -24,7 +25,8 @@ STREAM_JOBS = ("stream-bronze", "stream-silver")
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="millrace", description=__doc__)
-    parser.add_argument("job", choices=(*STORE_JOBS, "silver", "gold", "validate", *STREAM_JOBS, "stream-report"))
+    others = ("silver", "gold", "validate", "stream-report", "stream-status")
+    parser.add_argument("job", choices=(*STORE_JOBS, *others, *STREAM_JOBS))
     parser.add_argument("--root", required=True, help="folder of the layers")
     parser.add_argument("--format", default="parquet", help="table format of the layers")
     parser.add_argument("--jdbc-url")
@@ -32,16 +34,19 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--password-env", default="MILLRACE_PASSWORD")
     parser.add_argument("--source-schema", default="operations")
     parser.add_argument("--target-schema", default="analytics")
-    parser.add_argument("--partitions", type=int, help="range queries per scan of a growing table")
+    parser.add_argument("--connections", type=int, help="what the databases take at once, reading and writing")
+    parser.add_argument("--shuffle-partitions", type=int, help="shuffle partitions AQE starts from before it merges")
     parser.add_argument("--keep-rejected", action="store_true", help="also write rejected rows")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--topic")
     parser.add_argument("--max-offsets", type=int, help="records per micro-batch from Kafka")
+    parser.add_argument("--records-per-task", type=int, default=500_000, help="cut longer Kafka offset ranges")
+    parser.add_argument("--fail-on-data-loss", action="store_true", help="stop when Kafka records expired unread")
     parser.add_argument("--max-files", type=int, help="files per micro-batch from the streaming Bronze table")
     parser.add_argument("--state-partitions", type=int, help="partitions of the dedup state, fixed by the first start")
     parser.add_argument("--drain", action="store_true", help="work off what is there and stop")
     found = parser.parse_args(argv)
-    needed = ["jdbc_url", "user"] if found.job in STORE_JOBS else []
+    needed = ["jdbc_url", "user", "connections"] if found.job in STORE_JOBS else []
     needed += ["servers", "topic"] if found.job == "stream-bronze" else []
     missing = [f"--{n.replace('_', '-')}" for n in needed if not getattr(found, n)]
     if missing:
@@ -57,37 +62,45 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
             JdbcConnection(args.jdbc_url, args.user, password, schema=schema)
             for schema in (args.source_schema, args.target_schema)
         )
-        store, target = pipeline.operational_store(source, args.partitions), JdbcTarget(serving)
+        store = pipeline.operational_store(source, args.connections)
+        target = JdbcTarget(serving, args.connections)
         if args.job == "bronze":
             return pipeline.run_bronze(spark, layout, store)
         if args.job == "publish":
             return pipeline.run_publish(spark, layout, target)
-        return pipeline.run_batch(spark, layout, store, target)
+        return pipeline.run_batch(spark, layout, store, target, keep_rejected=args.keep_rejected)
     if args.job == "silver":
-        return pipeline.run_silver(spark, layout, keep_rejected=args.keep_rejected)
-    if args.job == "gold":
-        return pipeline.run_gold(spark, layout)
-    if args.job == "validate":
-        return pipeline.run_validate(spark, layout)
+        counts = pipeline.run_silver(spark, layout, keep_rejected=args.keep_rejected)
+        return {**counts, "total": pipeline.total(counts)}
+    if args.job in ("gold", "validate"):
+        counts = (pipeline.run_gold if args.job == "gold" else pipeline.run_validate)(spark, layout)
+        return {**counts, "total": sum(counts.values())}
+    if args.job == "stream-status":
+        for layer in (pipeline.BRONZE_EVENTS, pipeline.SILVER_EVENTS):
+            pipeline.stream_status(spark, layout, layer).show(truncate=False)
+        return None
     if args.job == "stream-report":
         count, newest = pipeline.stream_report(spark, layout)
         newest.show(truncate=False)
         return count
     if args.job == "stream-bronze":
-        topic = read_kafka(spark, args.servers, args.topic, args.max_offsets)
+        limits = {"records_per_task": args.records_per_task, "fail_on_data_loss": args.fail_on_data_loss}
+        topic = read_kafka(spark, args.servers, args.topic, args.max_offsets, **limits)
         query = pipeline.start_bronze_stream(topic, layout, drain=args.drain)
     else:
         bronze = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)
         query = pipeline.start_silver_stream(
             spark, layout, bronze.schema, args.drain, args.max_files, args.state_partitions
         )
-    query.awaitTermination()
+    layer = pipeline.BRONZE_EVENTS if args.job == "stream-bronze" else pipeline.SILVER_EVENTS
+    pipeline.follow_stream(spark, layout, layer, query)
     return query.id
 
 
 def main() -> None:
     args = arguments()
-    spark = build_session(f"millrace-{args.job}")
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
+    spark = build_session(f"millrace-{args.job}", args.shuffle_partitions)
     try:
         print(f"{args.job}: {run(spark, args)}")
     finally:

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 
 
 def name(column: str) -> str:
-    return f"`{column}`"
+    return "`" + column.replace("`", "``") + "`"
 
 
 def literal(value: str) -> str:

@@ -1,4 +1,4 @@
-"""Group-by reports declared as measures, in one step or in two."""
+"""Group-by reports declared as measures, in one step or, across a join, in two."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.expressions import mean_from_parts
+from millrace.functions.expressions import mean_from_parts, name
 from millrace.operators.enrich import enrich
 
 
@@ -23,29 +23,33 @@ class Measure:
     digits: int | None = None
 
     def direct(self) -> str:
-        return self._final(f"{self.how}({self.column})")
+        return self._final(f"{self.how}({name(self.column)})")
 
     def partial(self) -> list[str]:
+        column = name(self.column)
         if self.how == "avg":
-            return [f"sum({self.column}) as {self.alias}__sum", f"count({self.column}) as {self.alias}__n"]
-        return [f"{self.how}({self.column}) as {self.alias}"]
+            return [f"sum({column}) as {self._part('sum')}", f"count({column}) as {self._part('n')}"]
+        return [f"{self.how}({column}) as {name(self.alias)}"]
 
     def merged(self, source: T.DataType) -> str:
         """The value :meth:`direct` would give, in the same type, from rows of :meth:`partial`."""
         decimal = isinstance(source, T.DecimalType)
         if self.how == "avg":
-            total, n = f"sum({self.alias}__sum)", f"sum({self.alias}__n)"
+            total, n = f"sum({self._part('sum')})", f"sum({self._part('n')})"
             if not decimal:
                 return self._final(mean_from_parts(total, n, None))
             precision, scale = min(source.precision + 4, 38), min(source.scale + 4, 38)
             return self._final(f"cast({mean_from_parts(total, n, scale)} as decimal({precision},{scale}))")
-        value = f"{'sum' if self.how == 'count' else self.how}({self.alias})"
+        value = f"{'sum' if self.how == 'count' else self.how}({name(self.alias)})"
         if self.how == "sum" and decimal:
             value = f"cast({value} as decimal({min(source.precision + 10, 38)},{source.scale}))"
         return self._final(value)
 
     def _final(self, value: str) -> str:
-        return f"{value if self.digits is None else f'round({value}, {self.digits})'} as {self.alias}"
+        return f"{value if self.digits is None else f'round({value}, {self.digits})'} as {name(self.alias)}"
+
+    def _part(self, which: str) -> str:
+        return name(f"{self.alias}__{which}")
 
 
 def summarise(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
@@ -59,17 +63,13 @@ def summarise_enriched(
     fact_keys: Sequence[str],
     dim_keys: Sequence[str],
     measures: Sequence[Measure],
-    small: bool,
 ) -> DataFrame:
     """Group facts by columns of their own and columns of a joined dimension.
 
-    A dimension proven small is broadcast: no fact row is shuffled before its partial aggregate. A larger one
-    is joined only after the facts were summed up per join key, so the join moves sums instead of rows and a
-    hot key arrives as a handful of rows. The dimension must be unique on the join key.
+    Facts are summed up per join key before the join, so it moves sums instead of rows and a hot key arrives as a
+    handful of rows. One program for every size of the dimension, which must be unique on the join key.
     """
     keys = [*fact_keys, *dim_keys]
-    if small:
-        return summarise(enrich(fact, dim, join_key, dim_keys, small=True), keys, measures)
     partials = _grouped(fact, [join_key, *fact_keys], [c for m in measures for c in m.partial()])
     joined = enrich(partials, dim, join_key, dim_keys)
     kinds = {f.name: f.dataType for f in fact.schema.fields}

@@ -9,32 +9,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.expressions import name
 
-# A broadcast side must be proven smaller than this; it is counted, not estimated.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# What a row and a value cost in a broadcast hash table on top of their text.
-_ROW_OVERHEAD = 64
-_VALUE_OVERHEAD = 16
 
-
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the frame's size in a hash table, from one aggregate over the data itself."""
-    text = " + ".join(f"coalesce(octet_length(cast({name(c)} as string)), 0)" for c in df.columns)
-    overhead = _ROW_OVERHEAD + _VALUE_OVERHEAD * len(df.columns)
-    return df.selectExpr(f"coalesce(sum({text} + {overhead}L), 0L) as bytes").first()["bytes"]
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
-
-
-def enrich(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], small: bool = False) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """``fact`` with ``columns`` of ``dim``; facts without a match keep NULLs.
 
-    ``small`` may be true only after :func:`fits_broadcast`. Otherwise the join is left to Catalyst, and AQE
-    splits a partition that one hot key has swollen.
+    No hint: AQE broadcasts a side whose size it has seen at run time, and otherwise splits a partition that one
+    hot key has swollen.
     """
-    side = dim.select(key, *columns)
-    return fact.join(F.broadcast(side) if small else side, key, "left")
+    return fact.join(dim.select(key, *columns), key, "left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -20,6 +20,12 @@ def stack_reports(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def with_total(report: DataFrame) -> DataFrame:
+    """A last row ``total`` over all tables of a report of counts."""
+    sums = [f"sum({name(c)}) as {name(c)}" for c in report.columns if c != "table"]
+    return report.unionByName(report.selectExpr("'total' as table", *sums))
+
+
 def row_count(df: DataFrame, table: str) -> DataFrame:
     return df.selectExpr("count(1) as rows").selectExpr(f"{literal(table)} as table", "rows")
 

@@ -35,9 +35,9 @@ class TableContract:
 
     def rules(self) -> dict[str, str]:
         """Rule name to a predicate that is TRUE or FALSE, never NULL."""
-        rules = {f"required:{c}": f"({c} is not null)" for c in self.required}
-        rules |= {f"domain:{c}": holds(one_of(c, values)) for c, values in self.domains.items()}
-        rules |= {f"range:{c}": holds(within(c, *bounds)) for c, bounds in self.ranges.items()}
+        rules = {f"required:{c}": f"({name(c)} is not null)" for c in self.required}
+        rules |= {f"domain:{c}": holds(one_of(name(c), values)) for c, values in self.domains.items()}
+        rules |= {f"range:{c}": holds(within(name(c), *bounds)) for c, bounds in self.ranges.items()}
         rules |= {f"cross:{label}": holds(rule) for label, rule in self.cross.items()}
         return rules
 
@@ -53,11 +53,11 @@ class TableContract:
 def standardised(df: DataFrame, contract: TableContract) -> DataFrame:
     """Tidy the text columns in one projection; NULLs stay NULL and blanks become empty strings."""
     tidy = contract.standardise
-    return df.selectExpr(*(f"{tidy[c](c)} as {c}" if c in tidy else name(c) for c in df.columns))
+    return df.selectExpr(*(f"{tidy[c](name(c))} as {name(c)}" if c in tidy else name(c) for c in df.columns))
 
 
 def with_derived(df: DataFrame, contract: TableContract) -> DataFrame:
-    return df.selectExpr("*", *(f"{sql} as {c}" for c, sql in contract.derived.items()))
+    return df.selectExpr("*", *(f"{sql} as {name(c)}" for c, sql in contract.derived.items()))
 
 
 def accept(df: DataFrame, contract: TableContract) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 
 from millrace.functions.expressions import elapsed_hours, flag, one_of
 from millrace.operators.aggregate import Measure, summarise, summarise_enriched
-from millrace.operators.enrich import enrich, fits_broadcast
+from millrace.operators.enrich import enrich
 
+# Tables, keys, columns and measures of the serving model, here and in the functions below.
 DIMENSION_KEYS = {
     "dim_workshops": "workshop_id",
     "dim_machines": "machine_id",
@@ -188,7 +189,7 @@ def build_facts(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def kpi_daily_production(production: DataFrame, machines: DataFrame, small: bool) -> DataFrame:
+def kpi_daily_production(production: DataFrame, machines: DataFrame) -> DataFrame:
     return summarise_enriched(
         production,
         machines,
@@ -196,11 +197,10 @@ def kpi_daily_production(production: DataFrame, machines: DataFrame, small: bool
         ["production_date"],
         ["workshop_id", "workshop_name"],
         DAILY_PRODUCTION,
-        small,
     )
 
 
-def kpi_workshop_performance(production: DataFrame, machines: DataFrame, small: bool) -> DataFrame:
+def kpi_workshop_performance(production: DataFrame, machines: DataFrame) -> DataFrame:
     return summarise_enriched(
         production,
         machines,
@@ -208,7 +208,6 @@ def kpi_workshop_performance(production: DataFrame, machines: DataFrame, small:
         [],
         ["workshop_id", "workshop_name", "location"],
         WORKSHOP_PERFORMANCE,
-        small,
     )
 
 
@@ -232,11 +231,11 @@ def kpi_machine_performance(
     return totals.fillna(0, subset=zero_filled).selectExpr(*ordered)
 
 
-def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame, small: bool) -> DataFrame:
+def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame) -> DataFrame:
     keys = ["maintenance_date", "maintenance_type", "status"]
     workshop = ["workshop_id", "workshop_name"]
     summary = summarise_enriched(
-        maintenance, machines, "machine_id", keys, workshop, MAINTENANCE_SUMMARY, small
+        maintenance, machines, "machine_id", keys, workshop, MAINTENANCE_SUMMARY
     )
     return summary.selectExpr(
         "maintenance_date",
@@ -247,20 +246,19 @@ def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame, small:
     )
 
 
-def machine_reference(machines: DataFrame) -> tuple[DataFrame, bool]:
-    """The machine columns the KPI tables join, and whether they are proven small enough to broadcast."""
-    reference = machines.selectExpr("machine_id", *MACHINE_ATTRIBUTES)
-    return reference, fits_broadcast(reference)
+def machine_reference(machines: DataFrame) -> DataFrame:
+    """The machine columns the KPI tables join."""
+    return machines.selectExpr("machine_id", *MACHINE_ATTRIBUTES)
 
 
 def build_kpis(machines: DataFrame, facts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    reference, small = machine_reference(machines)
+    reference = machine_reference(machines)
     production, maintenance = facts["fact_production"], facts["fact_maintenance"]
     return {
-        "kpi_daily_production": kpi_daily_production(production, reference, small),
-        "kpi_workshop_performance": kpi_workshop_performance(production, reference, small),
+        "kpi_daily_production": kpi_daily_production(production, reference),
+        "kpi_workshop_performance": kpi_workshop_performance(production, reference),
         "kpi_machine_performance": kpi_machine_performance(
             production, maintenance, facts["fact_alerts"], reference
         ),
-        "kpi_maintenance_summary": kpi_maintenance_summary(maintenance, reference, small),
+        "kpi_maintenance_summary": kpi_maintenance_summary(maintenance, reference),
     }

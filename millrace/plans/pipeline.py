@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import logging
+import time
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.expressions import literal, name
 from millrace.operators.dedupe import dedupe
 from millrace.operators.quality import (
     QualityError,
@@ -19,10 +23,10 @@ from millrace.operators.quality import (
     require_unique,
 )
 from millrace.plans import marts
-from millrace.plans.contract import TableContract, quarantine, standardised, with_derived
-from millrace.plans.tables import OPERATIONAL_TABLES
+from millrace.plans.contract import TableContract, standardised, with_derived
+from millrace.plans.tables import OPERATIONAL_TABLES, SENSOR_EVENTS
 from millrace.sources.jdbc import JdbcConnection, JdbcSource, publish
-from millrace.session import sized_shuffles, stored_bytes, together
+from millrace.session import prepare, together
 from millrace.sources.layers import (
     Layout,
     read_layer,
@@ -30,13 +34,26 @@ from millrace.sources.layers import (
     require_stored,
     stored_counts,
     write_counted,
+    write_layer,
 )
-from millrace.streaming.events import bronze_events, clean_events, start_append
+from millrace.streaming.events import (
+    PROGRESS_SCHEMA,
+    bronze_events,
+    clean_events,
+    follow,
+    start_append,
+    stream_totals,
+)
+
+T = TypeVar("T")
+log = logging.getLogger(__name__)
 
 BRONZE, SILVER, GOLD, QUARANTINE = "bronze", "silver", "gold", "quarantine"
+JUDGED = "judged"
 BRONZE_EVENTS = "bronze_streaming"
 SILVER_EVENTS = "silver_streaming"
 EVENT_TABLE = "sensor_readings"
+PROGRESS = "stream_progress"
 LATEST_EVENT_COLUMNS = (
     "event_id",
     "sensor_id",
@@ -69,10 +86,18 @@ def stamp_bronze(df: DataFrame, system: str, table: str, ingestion_id: str) -> D
     )
 
 
-def operational_store(conn: JdbcConnection, partitions: int | None = None) -> JdbcSource:
-    """The store as a Bronze source; the tables that grow without end are scanned in key ranges."""
+def operational_store(conn: JdbcConnection, connections: int) -> JdbcSource:
+    """The store as a Bronze source; the tables that grow without end are scanned in ``connections`` key ranges."""
     keys = {t: OPERATIONAL_TABLES[t].key for t in ("production", "maintenance", "alerts")}
-    return JdbcSource(conn, keys, partitions)
+    return JdbcSource(conn, connections, keys)
+
+
+def _logged(layer: str, table: str, job: Callable[[], T]) -> T:
+    """Run a table's job and log what it did and how long it took."""
+    begun = time.perf_counter()
+    found = job()
+    log.info("%s.%s: %s in %.1f s", layer, table, found, time.perf_counter() - begun)
+    return found
 
 
 def run_bronze(spark: SparkSession, layout: Layout, source, now: datetime | None = None) -> dict[str, int]:
@@ -83,7 +108,7 @@ def run_bronze(spark: SparkSession, layout: Layout, source, now: datetime | None
         raw = stamp_bronze(source.read(spark, table), source.system, table, ingestion_id)
         return write_counted(raw, layout, BRONZE, table)
 
-    counts = together(spark, {t: partial(copy, t) for t in OPERATIONAL_TABLES})
+    counts = together(spark, {t: partial(_logged, BRONZE, t, partial(copy, t)) for t in OPERATIONAL_TABLES})
     require_stored(spark, layout, BRONZE, counts)
     return counts
 
@@ -104,21 +129,34 @@ class SilverCounts:
 
 
 def silver_table(
-    spark: SparkSession, layout: Layout, contract: TableContract, tie_break: Sequence[str] = ()
+    spark: SparkSession,
+    layout: Layout,
+    contract: TableContract,
+    tie_break: Sequence[str] = (),
+    keep_rejected: bool = False,
 ) -> dict[str, int]:
     """Dedup, check and write one table in a single job.
 
     The distinct-key count and the failures per rule are observed between dedup and filter, in the same
-    stage that writes, so no count re-runs the shuffle.
+    stage that writes, so no count re-runs the shuffle. With ``keep_rejected`` all judged rows are stored once and
+    Silver and quarantine are both filtered from there, so the dedup is not repeated either.
     """
     bronze = read_layer(spark, layout, BRONZE, contract.name)
     tidy = standardised(dedupe(bronze, contract.key, tie_break), contract)
     seen = Observation()
     failures = (F.expr(f"count_if(not {rule})").alias(label) for label, rule in contract.rules().items())
     watched = tidy.observe(seen, F.expr("count(1) as keys"), *failures)
-    rows = stamp(with_derived(watched.where(contract.accepted()), contract), "_silver_processed_at")
+    if keep_rejected:
+        judged = watched.selectExpr("*", f"{contract.violations()} as violations")
+        write_layer(judged, layout, JUDGED, contract.name)
+        judged = read_layer(spark, layout, JUDGED, contract.name)
+        kept = write_counted(judged.where("size(violations) > 0"), layout, QUARANTINE, contract.name)
+        accepted = judged.where("size(violations) = 0").drop("violations")
+    else:
+        kept, accepted = 0, watched.where(contract.accepted())
+    rows = stamp(with_derived(accepted, contract), "_silver_processed_at")
     written = write_counted(rows, layout, SILVER, contract.name)
-    return {**seen.get, "rows": written}
+    return {**seen.get, "rows": written, "quarantined": kept}
 
 
 def run_silver(
@@ -128,16 +166,15 @@ def run_silver(
     keep_rejected: bool = False,
 ) -> dict[str, SilverCounts]:
     """Clean every Bronze table; ``keep_rejected`` also writes the invalid rows with the rules they broke."""
-    order = {t: tuple((tie_breaks or {}).get(t, ())) for t in OPERATIONAL_TABLES}
 
-    def for_each_table(job):
-        return together(spark, {t: partial(job, spark, layout, c, order[t]) for t, c in OPERATIONAL_TABLES.items()})
+    def job(table: str, contract: TableContract) -> dict[str, int]:
+        order = tuple((tie_breaks or {}).get(table, ()))
+        return _logged(SILVER, table, partial(silver_table, spark, layout, contract, order, keep_rejected))
 
-    with _shuffles_for(spark, layout, BRONZE):
-        found = for_each_table(silver_table)
-        require_stored(spark, layout, SILVER, {t: seen["rows"] for t, seen in found.items()})
-        if keep_rejected:
-            require_stored(spark, layout, QUARANTINE, for_each_table(quarantine_table))
+    found = together(spark, {t: partial(job, t, c) for t, c in OPERATIONAL_TABLES.items()})
+    require_stored(spark, layout, SILVER, {t: seen["rows"] for t, seen in found.items()})
+    if keep_rejected:
+        require_stored(spark, layout, QUARANTINE, {t: seen["quarantined"] for t, seen in found.items()})
     bronze = stored_counts(spark, layout, BRONZE, OPERATIONAL_TABLES)
     return {
         t: SilverCounts(
@@ -151,27 +188,24 @@ def run_silver(
     }
 
 
-def quarantine_table(
-    spark: SparkSession, layout: Layout, contract: TableContract, tie_break: Sequence[str] = ()
-) -> int:
-    bronze = read_layer(spark, layout, BRONZE, contract.name)
-    return write_counted(quarantine(bronze, contract, tie_break), layout, QUARANTINE, contract.name)
+def total(counts: Mapping[str, SilverCounts]) -> SilverCounts:
+    """The sum over all tables; failures by rule stay with their tables."""
+    fields = ("bronze", "duplicates", "invalid", "silver")
+    return SilverCounts(**{f: sum(getattr(c, f) for c in counts.values()) for f in fields}, by_rule={})
 
 
 def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    """Build, check and write the serving model.
+    """Build, write and check the serving model.
 
-    Dimensions and facts are written first and the KPI tables read them back, so no lineage is computed twice
-    and the size check behind the broadcast choice scans a stored dimension.
+    Dimensions and facts are written first; their keys are checked on the stored tables and the KPI tables read
+    those back, so no lineage is computed twice.
     """
     silver = {t: read_layer(spark, layout, SILVER, t) for t in OPERATIONAL_TABLES}
-    keyed = {**marts.build_dimensions(silver), **marts.build_facts(silver)}
-    with _shuffles_for(spark, layout, SILVER):
-        require_unique(keyed, {**marts.DIMENSION_KEYS, **marts.FACT_KEYS})
-        counts = _write_gold(spark, keyed, layout)
-        machines = read_layer(spark, layout, GOLD, "dim_machines")
-        facts = {t: read_layer(spark, layout, GOLD, t) for t in marts.FACT_KEYS}
-        counts |= _write_gold(spark, marts.build_kpis(machines, facts), layout)
+    counts = _write_gold(spark, {**marts.build_dimensions(silver), **marts.build_facts(silver)}, layout)
+    keys = {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}
+    stored = {t: read_layer(spark, layout, GOLD, t) for t in keys}
+    require_unique(stored, keys)
+    counts |= _write_gold(spark, marts.build_kpis(stored["dim_machines"], stored), layout)
     require_stored(spark, layout, GOLD, counts)
     return counts
 
@@ -205,11 +239,12 @@ def run_batch(
     source,
     target=None,
     tie_breaks: Mapping[str, Sequence[str]] | None = None,
+    keep_rejected: bool = False,
 ) -> BatchResult:
     """Bronze, Silver, Gold, validation, publication; the first failure stops the chain."""
     return BatchResult(
         bronze=run_bronze(spark, layout, source),
-        silver=run_silver(spark, layout, tie_breaks),
+        silver=run_silver(spark, layout, tie_breaks, keep_rejected),
         gold=run_gold(spark, layout),
         validated=run_validate(spark, layout),
         published=run_publish(spark, layout, target) if target else {},
@@ -231,13 +266,49 @@ def start_silver_stream(
     max_files: int | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Streaming Bronze into streaming Silver. File formats need the Bronze ``schema``."""
-    bronze = read_layer_stream(spark, layout, BRONZE_EVENTS, EVENT_TABLE, schema, max_files)
+    """Streaming Bronze into streaming Silver. File formats need the Bronze ``schema``.
+
+    ``state_partitions`` is fixed by a stream's first start. It is a setting of a session made for this query, so
+    other queries and streams do not see it. Unset, the given session's shuffle partitions count.
+    """
+    own = prepare(spark.newSession())
+    partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    bronze = read_layer_stream(own, layout, BRONZE_EVENTS, EVENT_TABLE, schema, max_files)
     path = layout.path(SILVER_EVENTS, EVENT_TABLE)
     checkpoint = layout.checkpoint(SILVER_EVENTS, EVENT_TABLE)
-    return start_append(
-        clean_events(bronze), path, checkpoint, layout.fmt, drain=drain, state_partitions=state_partitions
-    )
+    return start_append(clean_events(bronze), path, checkpoint, layout.fmt, drain=drain)
+
+
+def follow_stream(spark: SparkSession, layout: Layout, layer: str, query: StreamingQuery, poll: float = 1.0) -> None:
+    """Wait for a stream and keep the progress of all its batches in a table of the layer."""
+
+    def store(rows: list[tuple]) -> None:
+        # One small file for many batches; never more rows than batches since the last flush.
+        write_layer(spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1), layout, layer, PROGRESS, mode="append")
+
+    follow(query, store, poll)
+
+
+def stream_status(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
+    """Batches, rows in, late rows and watermark over a stream's whole life."""
+    return stream_totals(read_layer(spark, layout, layer, PROGRESS))
+
+
+def stream_quality(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """How a drained event stream came through: rows, rows refused by each rule, copies, accepted.
+
+    ``bronze`` and ``silver`` are the stored tables; a row may break several rules. Every accepted row that is
+    not in Silver was a copy or late.
+    """
+    rules = SENSOR_EVENTS.rules()
+    tidy = standardised(bronze, SENSOR_EVENTS)
+    parts = ["count(1) as rows", f"count_if({SENSOR_EVENTS.accepted()}) as valid"]
+    parts += [f"count_if(not {rule}) as {name(label)}" for label, rule in rules.items()]
+    pairs = ["'rows', rows", "'copies', valid", *(f"{literal(f'refused {label}')}, {name(label)}" for label in rules)]
+    came = tidy.selectExpr(*parts).selectExpr(f"stack({len(pairs)}, {', '.join(pairs)}) as (what, n)")
+    kept = silver.selectExpr("count(1) as n").selectExpr("stack(2, 'accepted', n, 'copies', -n) as (what, n)")
+    return came.unionAll(kept).groupBy("what").agg(F.expr("sum(n) as n"))
 
 
 def latest_events(bronze: DataFrame, n: int = 10) -> DataFrame:
@@ -256,8 +327,4 @@ def _write_gold(spark: SparkSession, frames: Mapping[str, DataFrame], layout: La
     def write(table: str) -> int:
         return write_counted(stamp(frames[table], "_gold_processed_at"), layout, GOLD, table)
 
-    return together(spark, {t: partial(write, t) for t in frames})
-
-
-def _shuffles_for(spark: SparkSession, layout: Layout, layer: str):
-    return sized_shuffles(spark, stored_bytes(spark, *(layout.path(layer, t) for t in OPERATIONAL_TABLES)))
+    return together(spark, {t: partial(_logged, GOLD, t, partial(write, t)) for t in frames})

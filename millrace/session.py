@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -14,7 +13,8 @@ from pyspark.util import inheritable_thread_target
 
 Result = TypeVar("Result")
 
-# Settings every job relies on. Partition counts are left to AQE and to the cluster's own defaults.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Settings every job relies on. AQE merges shuffle partitions up to the advisory size; nothing measures tables.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,16 +26,21 @@ RUNTIME_SETTINGS = {
     ),
 }
 
-# Only settable before the session starts: no call-site lookup for every column expression built.
-START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# For sessions of our own: the size AQE merges to, and no call-site lookup for every column expression built.
+START_SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-# More reducers than this cost more in shuffle blocks than smaller partitions save; beyond it tasks spill.
-MOST_SHUFFLE_PARTITIONS = 40_000
 
+def build_session(app_name: str = "millrace", shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
+    """A session with the settings above.
 
-def build_session(app_name: str = "millrace", **settings: str) -> SparkSession:
+    ``shuffle_partitions`` is the number AQE starts from before it merges small ones. Give the largest table's
+    shuffled bytes over the advisory size of 128 MB; unset, the cluster's own setting holds.
+    """
+    if shuffle_partitions:
+        settings = {INITIAL_PARTITIONS: str(shuffle_partitions), **settings}
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**RUNTIME_SETTINGS, **START_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
@@ -50,7 +55,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the cluster's shared checkpoint folder; whoever runs the job removes it afterwards.
 
     Only a local session without that setting falls back to a temporary folder of this machine, because
     there driver and executors are the same process.
@@ -63,48 +68,6 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Size of all files below the paths, from a distributed listing; no content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    return files.selectExpr("coalesce(sum(length), 0L) as bytes").first()["bytes"]
-
-
-def partitions_for(size: int) -> int:
-    """Shuffle partitions for so many stored bytes, taken to double once they are rows again."""
-    return min(-(-2 * size // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
-
-
-def fit_shuffles(spark: SparkSession, size: int) -> None:
-    """As :func:`sized_shuffles`, for frames that run later: the raised setting stays."""
-    wanted = partitions_for(size)
-    if wanted > _initial_partitions(spark):
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-
-
-def _initial_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-@contextmanager
-def sized_shuffles(spark: SparkSession, size: int) -> Iterator[None]:
-    """Start shuffles with partitions fit for ``size`` stored bytes; AQE merges what turns out small.
-
-    Never goes below the session's own count, and puts the setting back afterwards.
-    """
-    before, wanted = spark.conf.get(INITIAL_PARTITIONS, None), partitions_for(size)
-    if wanted <= _initial_partitions(spark):
-        yield
-        return
-    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
-
-
 def together(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
     """Run independent actions side by side, so small tables fill the gaps large ones leave on the cluster."""
     inherit = inheritable_thread_target(spark)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +11,6 @@ from millrace.operators.quality import QualityError, require_count
 
 FETCH_ROWS = 10_000
 BATCH_ROWS = 5_000
-# A cluster has more cores than a database takes connections.
-CONNECTIONS = 64
 
 
 @dataclass(frozen=True)
@@ -38,50 +36,39 @@ class JdbcConnection:
         }
 
 
-@dataclass(frozen=True)
-class Partitioning:
-    """Split a scan into ``partitions`` range queries over a numeric, date or timestamp column."""
+def scan_options(conn: JdbcConnection, table: str) -> dict[str, str]:
+    return {**conn.options(conn.table(table)), "fetchsize": str(FETCH_ROWS)}
 
-    column: str
-    low: object
-    high: object
-    partitions: int
 
-    def options(self) -> dict[str, str]:
-        return {
-            "partitionColumn": self.column,
-            "lowerBound": str(self.low),
-            "upperBound": str(self.high),
-            "numPartitions": str(self.partitions),
-        }
+def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """Conditions that cut a table at the bounds, each row into exactly one part; NULLs go with the first."""
+    cuts = [str(b) if isinstance(b, (int, float)) else f"'{b}'" for b in dict.fromkeys(bounds)]
+    if not cuts:
+        return ["1 = 1"]
+    first = f"{column} <= {cuts[0]} or {column} is null"
+    between = [f"{column} > {low} and {column} <= {high}" for low, high in zip(cuts, cuts[1:])]
+    return [first, *between, f"{column} > {cuts[-1]}"]
 
 
-def scan_options(conn: JdbcConnection, table: str, split: Partitioning | None = None) -> dict[str, str]:
-    options = {**conn.options(conn.table(table)), "fetchsize": str(FETCH_ROWS)}
-    return {**options, **split.options()} if split else options
+def quantile_predicates(spark: SparkSession, conn: JdbcConnection, table: str, column: str, parts: int) -> list[str]:
+    """Ranges with about equally many rows, however the values are spread; the store finds the bounds.
 
-
-def key_range(spark: SparkSession, conn: JdbcConnection, table: str, column: str, partitions: int) -> Partitioning | None:
-    """Ask the store for the column's bounds; ``None`` for an empty table. One row comes back."""
-    bounds = f"(select min({column}) as low, max({column}) as high from {conn.table(table)}) bounds"
-    row = spark.read.format("jdbc").options(**conn.options(bounds)).load().first()
-    low, high = row[0], row[1]
-    return None if low is None else Partitioning(column, low, high, partitions)
+    ``parts`` rows come back. An outlier or a gap in the keys moves a bound and no rows.
+    """
+    tiles = f"select {column} as k, ntile({parts}) over (order by {column}) as tile from {conn.table(table)} where {column} is not null"
+    query = f"(select tile, max(k) as high from ({tiles}) tiles group by tile) bounds"
+    rows = spark.read.format("jdbc").options(**conn.options(query)).load().collect()
+    bounds = [r["high"] for r in sorted(rows, key=lambda r: r["tile"])]
+    return range_predicates(column, bounds[:-1])
 
 
-def read_jdbc(
-    spark: SparkSession,
-    conn: JdbcConnection,
-    table: str,
-    partition_on: str | None = None,
-    partitions: int | None = None,
-) -> DataFrame:
-    """A table scan; split over ``partition_on`` (an indexed key) so that one connection is not the limit."""
-    split = None
-    if partition_on:
-        n = partitions or min(spark.sparkContext.defaultParallelism, CONNECTIONS)
-        split = key_range(spark, conn, table, partition_on, n)
-    return spark.read.format("jdbc").options(**scan_options(conn, table, split)).load()
+def read_jdbc(spark: SparkSession, conn: JdbcConnection, table: str, predicates: Sequence[str] | None = None) -> DataFrame:
+    """A table scan over one connection, or over one for each predicate."""
+    options = scan_options(conn, table)
+    if not predicates:
+        return spark.read.format("jdbc").options(**options).load()
+    properties = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=list(predicates), properties=properties)
 
 
 def publish_options(conn: JdbcConnection, table: str, truncate: bool, connections: int) -> dict[str, str]:
@@ -97,29 +84,34 @@ def publish_options(conn: JdbcConnection, table: str, truncate: bool, connection
 class JdbcSource:
     """The operational store as a source of the Bronze layer.
 
-    Tables listed in ``keys`` are scanned in ranges of that numeric column, the others over one connection.
+    Tables listed in ``keys`` are scanned in ``connections`` ranges of that column, those in ``predicates`` by the
+    given conditions, the others over one connection.
     """
 
     conn: JdbcConnection
+    connections: int
     keys: Mapping[str, str] = field(default_factory=dict)
-    partitions: int | None = None
+    predicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
     system: str = "postgresql"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return read_jdbc(spark, self.conn, table, self.keys.get(table), self.partitions)
+        parts = self.predicates.get(table)
+        if not parts and table in self.keys and self.connections > 1:
+            parts = quantile_predicates(spark, self.conn, table, self.keys[table], self.connections)
+        return read_jdbc(spark, self.conn, table, parts)
 
 
 @dataclass(frozen=True)
 class JdbcTarget:
     """A serving database the Gold layer is published to.
 
-    ``truncate`` keeps the tables' own definitions and grants instead of dropping them; ``connections`` caps
-    how many tasks write at once.
+    ``connections`` is how many tasks write at once, by what the database takes. ``truncate`` keeps the tables'
+    own definitions and grants instead of dropping them.
     """
 
     conn: JdbcConnection
+    connections: int
     truncate: bool = False
-    connections: int = CONNECTIONS
 
     def write(self, df: DataFrame, table: str) -> None:
         options = publish_options(self.conn, table, self.truncate, self.connections)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,30 +37,37 @@ EVENT_SCHEMA = T.StructType(
 LATENESS = "10 minutes"
 PACE = "5 seconds"
 
-RECORDS_PER_TASK = 500_000
 EVENT_KEY = ("event_id", "event_timestamp")
 
 
-def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
+def kafka_options(
+    servers: str,
+    topic: str,
+    max_offsets: int | None = None,
+    records_per_task: int = 500_000,
+    fail_on_data_loss: bool = False,
+) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
-        "maxRecordsPerPartition": str(RECORDS_PER_TASK),
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+        "maxRecordsPerPartition": str(records_per_task),
     }
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
+def read_kafka(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, **limits) -> DataFrame:
     """The topic as a stream.
 
     ``max_offsets`` keeps the first batches of a long backlog bounded. Records are keyed by machine, so one
-    topic partition may hold most of them; its offset range is cut into tasks of bounded length.
+    topic partition may hold most of them; ``records_per_task`` cuts its offset range into bounded tasks and
+    drops nothing. With ``fail_on_data_loss`` the stream stops when records expired before they were read;
+    otherwise it goes on without them.
     """
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets)).load()
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets, **limits)).load()
 
 
 def decode_envelope(records: DataFrame) -> DataFrame:
@@ -111,43 +118,90 @@ def clean_events(bronze: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def start_append(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    fmt: str = "parquet",
-    pace: str = PACE,
-    drain: bool = False,
-    state_partitions: int | None = None,
+    df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", pace: str = PACE, drain: bool = False
 ) -> StreamingQuery:
     """Append a stream to a table, resuming from ``checkpoint`` with every row written once.
 
-    ``drain`` works off what is there and stops; otherwise a micro-batch starts every ``pace``. A query's
-    state partition count is fixed by its first start, hence the argument.
+    ``drain`` works off what is there and stops; otherwise a micro-batch starts every ``pace``. File formats get
+    one file a partition and batch: at a short pace use a table format that compacts.
     """
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=pace)
-    if state_partitions is None:
-        return writer.start(path)
-    conf, setting = df.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(setting)
-    conf.set(setting, str(state_partitions))
+    return writer.start(path)
+
+
+PROGRESS_SCHEMA = (
+    "query_id string, run_id string, batch_id long, batch_timestamp string, input_rows long, late_rows long, watermark string"
+)
+
+
+def progress_rows(query: StreamingQuery, after: int) -> list[tuple]:
+    """What the query still knows of batches later than ``after``."""
+    return [
+        (
+            str(p.id),
+            str(p.runId),
+            p.batchId,
+            p.timestamp,
+            p.numInputRows,
+            sum(op.numRowsDroppedByWatermark for op in p.stateOperators),
+            p.eventTime.get("watermark"),
+        )
+        for p in query.recentProgress
+        if p.batchId > after
+    ]
+
+
+def follow(query: StreamingQuery, store: Callable[[list[tuple]], None], poll: float = 1.0, flush: int = 50) -> None:
+    """Wait for a query to end and hand the progress of every batch to ``store``.
+
+    A query remembers its last 100 batches only (``spark.sql.streaming.numRecentProgressUpdates``), so it is asked
+    every ``poll`` seconds, and ``flush`` batches are stored at a time; the rest when the query ends, also by an
+    error. An interrupt stops the query in order first. Batches that passed unseen leave a gap in the stored
+    numbers, which ``stream_totals`` reports.
+    """
+    waiting, last = [], -1
     try:
-        return writer.start(path)
+        ended = False
+        while not ended:
+            ended = query.awaitTermination(poll)
+            new = progress_rows(query, last)
+            waiting += new
+            last = max([last, *(r[2] for r in new)])
+            if len(waiting) >= flush:
+                store(waiting)
+                waiting = []
     finally:
-        conf.set(setting, before)
+        if query.isActive:
+            query.stop()
+        waiting += progress_rows(query, last)
+        if waiting:
+            store(waiting)
+
+
+def stream_totals(progress: DataFrame) -> DataFrame:
+    """One row over the stored progress of a stream's whole life, restarts included.
+
+    A batch that was repeated after a restart counts once, by its latest attempt that saw rows. ``missing_batches``
+    is how many batch numbers were never stored.
+    """
+    attempt = "max_by(struct(input_rows, late_rows, watermark), struct(input_rows > 0, batch_timestamp)) as b"
+    batches = progress.groupBy("query_id", "batch_id").agg(F.expr(attempt))
+    return batches.selectExpr("query_id", "batch_id", "b.*").groupBy("query_id").agg(
+        F.expr("count(1) as batches"),
+        F.expr("max(batch_id) + 1 - count(1) as missing_batches"),
+        F.expr("sum(input_rows) as input_rows"),
+        F.expr("sum(late_rows) as late_rows"),
+        F.expr("max(watermark) as watermark"),
+    )
 
 
 def stream_status(query: StreamingQuery) -> dict[str, object]:
-    """What the query's recent progress says: batches, rows in, rows dropped as late, current watermark."""
-    progress = query.recentProgress
-    operators = [op for p in progress for op in p.stateOperators]
+    """State of a running query; its totals are in the stored progress."""
     error = query.exception()
     return {
         "active": query.isActive,
         "status": query.status.get("message"),
         "error": str(error) if error else None,
-        "batches": len(progress),
-        "input_rows": sum(p.numInputRows for p in progress),
-        "late_rows": sum(op.numRowsDroppedByWatermark for op in operators),
-        "watermark": progress[-1].eventTime.get("watermark") if progress else None,
+        "last_batch": query.lastProgress.batchId if query.lastProgress else None,
     }

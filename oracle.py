@@ -6,7 +6,7 @@ mapping (what the test tables stand for) is shared.
 
 from __future__ import annotations
 
-from millrace.testbed import MAPPINGS, TIE_BREAKS, select_list
+from testbed import MAPPINGS, TIE_BREAKS, select_list
 
 KEYS = {
     "workshops": "workshop_id",
@@ -168,14 +168,18 @@ def _flagged(table: str) -> str:
     )
 
 
+def _quotient(numerator: str) -> str:
+    """Of two decimals with three digits, in whole units of the 18th digit, rounded half up; both are >= 0."""
+    n, d = f"cast(({numerator}) * 1000 as hugeint)", "cast(quantity_produced * 1000 as hugeint)"
+    return f"case when quantity_produced > 0 then (2 * {n} * 1000000000000000000::hugeint + {d}) // (2 * {d}) end"
+
+
 def _silver(table: str) -> str:
     ratios = ""
     if table == "production":
         ratios = (
-            ", case when quantity_produced > 0 then cast(quantity_produced - rejected_quantity as double)"
-            " / cast(quantity_produced as double) end as quality_rate"
-            ", case when quantity_produced > 0 then cast(energy_consumption as double)"
-            " / cast(quantity_produced as double) end as energy_per_unit"
+            f", {_quotient('quantity_produced - rejected_quantity')} as quality_rate"
+            f", {_quotient('energy_consumption')} as energy_per_unit"
         )
     return f"select * exclude (copy_rank, is_valid){ratios} from flagged_{table} where copy_rank = 1 and is_valid"
 
@@ -234,8 +238,21 @@ CTES["fact_alerts"] = (
 )
 
 
-def _avg(column: str, digits: int) -> str:
-    return f"cast(round(cast(avg({column}) as decimal(38,9)), {digits}) as double)"
+def _mean(total: str, n: str, digits: int) -> str:
+    """Integers divided, with ``digits`` more digits, rounded half up."""
+    return f"((2 * ({total}) * {10**digits}::hugeint + ({n})) // (2 * ({n})))"
+
+
+def _ratio_avg(column: str) -> str:
+    """Averages of ratios have 22 digits before they are rounded to four."""
+    at_22 = _mean(f"cast(sum({column}) as hugeint)", f"count({column})", 4)
+    return f"cast(({at_22} + {5 * 10**17}::hugeint) // {10**18}::hugeint as double) / 10000"
+
+
+def _decimal_avg(column: str) -> str:
+    """Averages of decimals with two digits have six before they are rounded to two."""
+    at_6 = _mean(f"cast(sum({column}) * 100 as hugeint)", f"count({column})", 4)
+    return f"cast(({at_6} + 5000) // 10000 as double) / 100"
 
 
 def _sum(column: str) -> str:
@@ -243,7 +260,13 @@ def _sum(column: str) -> str:
 
 
 def _hour_stat(function: str, column: str) -> str:
-    return f"cast(round(cast({function}({column}) as decimal(38,9)), 2) as double)"
+    """Hours are whole seconds / 3600."""
+    seconds = f"cast(round({column} * 3600) as hugeint)"
+    if function == "avg":
+        total, n = f"cast(sum({seconds}) as hugeint)", f"(3600 * count({column}))"
+    else:
+        total, n = f"{function}({seconds})", "3600"
+    return f"cast({_mean(total, n, 2)} as double) / 100"
 
 
 CTES["kpi_daily_production"] = (
@@ -253,8 +276,8 @@ CTES["kpi_daily_production"] = (
     f" {_sum('accepted_quantity')} as total_accepted_quantity,"
     f" {_sum('rejected_quantity')} as total_rejected_quantity,"
     f" {_sum('energy_consumption')} as total_energy_consumption,"
-    f" {_avg('quality_rate', 4)} as average_quality_rate,"
-    f" {_avg('energy_per_unit', 4)} as average_energy_per_unit,"
+    f" {_ratio_avg('quality_rate')} as average_quality_rate,"
+    f" {_ratio_avg('energy_per_unit')} as average_energy_per_unit,"
     " count(production_id) as production_records"
     " from fact_production p left join dim_machines m on p.machine_id = m.machine_id group by 1, 2, 3",
 )
@@ -264,9 +287,9 @@ CTES["kpi_workshop_performance"] = (
     f" {_sum('quantity_produced')} as total_production,"
     f" {_sum('rejected_quantity')} as total_rejected,"
     f" {_sum('energy_consumption')} as total_energy,"
-    f" {_avg('quality_rate', 4)} as average_quality_rate,"
-    f" {_avg('energy_per_unit', 4)} as average_energy_per_unit,"
-    f" {_avg('operating_hours', 2)} as average_operating_hours"
+    f" {_ratio_avg('quality_rate')} as average_quality_rate,"
+    f" {_ratio_avg('energy_per_unit')} as average_energy_per_unit,"
+    f" {_decimal_avg('operating_hours')} as average_operating_hours"
     " from fact_production p left join dim_machines m on p.machine_id = m.machine_id group by 1, 2, 3",
 )
 CTES["kpi_machine_performance"] = (
@@ -277,8 +300,8 @@ CTES["kpi_machine_performance"] = (
     " average_alert_resolution_hours from ("
     "select p.machine_id, machine_name, machine_type, workshop_id, workshop_name,"
     f" {_sum('quantity_produced')} as total_production, {_sum('energy_consumption')} as total_energy,"
-    f" {_avg('quality_rate', 4)} as average_quality_rate,"
-    f" {_avg('energy_per_unit', 4)} as average_energy_per_unit,"
+    f" {_ratio_avg('quality_rate')} as average_quality_rate,"
+    f" {_ratio_avg('energy_per_unit')} as average_energy_per_unit,"
     f" {_sum('operating_hours')} as total_operating_hours"
     " from fact_production p left join dim_machines m on p.machine_id = m.machine_id group by 1, 2, 3, 4, 5) p"
     " left join (select machine_id, count(maintenance_id) as maintenance_count,"
@@ -343,19 +366,19 @@ def _union(parts: list[str]) -> str:
     return " union all ".join(parts)
 
 
-# Decimal columns leave as doubles; division results are rounded to nine digits.
+# Decimal columns leave as doubles; ratios, kept in units of the 18th digit, are rounded to nine.
 _PRODUCTION_OUT = (
     "* replace (cast(quantity_produced as double) as quantity_produced,"
     " cast(energy_consumption as double) as energy_consumption,"
     " cast(operating_hours as double) as operating_hours,"
     " cast(rejected_quantity as double) as rejected_quantity"
 )
-_RATIOS_OUT = (
-    ", cast(round(cast(quality_rate as decimal(38,12)), 9) as double) as quality_rate"
-    ", cast(round(cast(energy_per_unit as decimal(38,12)), 9) as double) as energy_per_unit"
+_RATIOS_OUT = "".join(
+    f", cast(({c} + 500000000) // 1000000000 as double) / 1000000000 as {c}" for c in ("quality_rate", "energy_per_unit")
 )
 OUTPUTS = {
-    "bronze_production": _PRODUCTION_OUT + ")",
+    "bronze_production": _PRODUCTION_OUT
+    + "), 'testbed' as _source_system, 'production' as _source_table, 'run' as _ingestion_id",
     "silver_production": _PRODUCTION_OUT + _RATIOS_OUT + ")",
     "fact_production": _PRODUCTION_OUT + _RATIOS_OUT + ", cast(accepted_quantity as double) as accepted_quantity)",
     "silver_sensors": "* replace (cast(minimum_threshold as double) as minimum_threshold,"
@@ -396,7 +419,9 @@ def _row_counts() -> str:
         f" count(*) filter (copy_rank = 1 and is_valid) as silver from flagged_{t}"
         for t in KEYS
     ]
-    return _with([f"flagged_{t}" for t in KEYS], _union(parts))
+    counts = ", ".join(f"cast(sum({c}) as bigint) as {c}" for c in ("bronze", "duplicates", "invalid", "silver"))
+    each = _union(parts)
+    return _with([f"flagged_{t}" for t in KEYS], f"{each} union all select 'total' as \"table\", {counts} from ({each}) t")
 
 
 def _rejections() -> str:
@@ -454,6 +479,55 @@ def _completeness() -> str:
     return _with([f"bronze_{t}" for t in KEYS], _union(parts))
 
 
+# What a stored table is summed up by.
+MEASURES = {
+    **KEYS,
+    **dict(zip(GOLD, KEYS.values())),
+    "kpi_daily_production": "production_records",
+    "kpi_workshop_performance": "workshop_id",
+    "kpi_machine_performance": "alert_count",
+    "kpi_maintenance_summary": "intervention_count",
+}
+
+
+def _batch() -> str:
+    layers = [("bronze", t, f"bronze_{t}") for t in KEYS] + [("silver", t, f"silver_{t}") for t in KEYS]
+    layers += [("gold", t, t) for t in GOLD]
+    parts = [
+        f"select '{layer}' as layer, '{t}' as \"table\", count(*) as rows,"
+        f" cast(coalesce(sum({MEASURES[t]}), 0) as bigint) as measure, cast(0 as bigint) as unstamped from {cte}"
+        for layer, t, cte in layers
+    ]
+    return _with([cte for _, _, cte in layers], _union(parts))
+
+
+EVENT_RULES = [
+    *_required("event_id", "sensor_id", "machine_id", "event_timestamp", "value"),
+    ("domain:sensor_type", f"upper(trim(sensor_type)) in {SENSOR_TYPES}"),
+    (
+        "cross:value_in_type_range",
+        "case upper(trim(sensor_type)) when 'TEMPERATURE' then value between -20 and 180 when 'VIBRATION' then"
+        " value between 0 and 50 when 'PRESSURE' then value between 0 and 40 when 'ENERGY' then value between 0 and"
+        " 2000 end",
+    ),
+]
+
+
+def _stream_quality() -> str:
+    valid = " and ".join(_ok(rule) for _, rule in EVENT_RULES)
+    parts = [
+        "select 'rows' as what, count(*) as n from bronze_sensor_events",
+        "select 'accepted' as what, count(*) as n from silver_sensor_events",
+        f"select 'copies' as what, count(*) filter ({valid}) - (select count(*) from silver_sensor_events) as n"
+        " from bronze_sensor_events",
+        *(
+            f"select 'refused {label}' as what, count(*) filter (not {_ok(rule)}) as n from bronze_sensor_events"
+            for label, rule in EVENT_RULES
+        ),
+    ]
+    return _with(["bronze_sensor_events", "silver_sensor_events"], _union(parts))
+
+
 def _insert_if_absent() -> str:
     return _with(
         ["silver_sensors", "bronze_alerts"],
@@ -481,9 +555,9 @@ def oracle_sql() -> dict[str, str]:
     statements["dq_orphans"] = _orphans()
     statements["dq_key_uniqueness"] = _key_uniqueness()
     statements["dq_completeness"] = _completeness()
-    statements["gold_row_counts"] = _with(
-        GOLD, _union([f"select '{t}' as \"table\", count(*) as rows from {t}" for t in GOLD])
-    )
+    gold = _union([f"select '{t}' as \"table\", count(*) as rows from {t}" for t in GOLD])
+    every = f"select 'total' as \"table\", cast(sum(rows) as bigint) as rows from ({gold}) t"
+    statements["gold_row_counts"] = _with(GOLD, f"{gold} union all {every}")
     statements["latest_events"] = _with(
         ["bronze_sensor_events"],
         "select event_id, sensor_id, machine_id, sensor_type, value, unit, event_timestamp, kafka_partition,"
@@ -492,5 +566,12 @@ def oracle_sql() -> dict[str, str]:
     )
     statements["insert_if_absent"] = _insert_if_absent()
     statements["layer_round_trip"] = statements["fact_production"]
-    statements["batch_pipeline"] = statements["kpi_daily_production"]
+    statements["batch_pipeline"] = _batch()
+    statements["stored_insert_if_absent"] = statements["insert_if_absent"]
+    statements["stream_quality"] = _stream_quality()
+    newest = statements["latest_events"]
+    statements["stream_report"] = newest.replace(
+        "kafka_offset from bronze_sensor_events order",
+        "kafka_offset, (select count(*) from bronze_sensor_events) as total_rows from bronze_sensor_events order",
+    )
     return statements

@@ -90,7 +90,7 @@ def main() -> int:
     con = oracle_connection(sf_dir)
     statements, failed = entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in statements:
             continue
         begun = time.time()
         try:

@@ -6,15 +6,16 @@ import pytest
 from conftest import SMALL
 from test_streaming import payload, records
 
-from millrace import testbed
+import testbed
 from millrace.__main__ import arguments, run
 from millrace.plans import marts, pipeline
+from millrace.plans.tables import OPERATIONAL_TABLES
 from millrace.streaming.events import RECORD_SCHEMA
 
 
 def test_jobs_name_what_they_miss(capsys):
     for argv, missing in (
-        (["bronze", "--root", "x"], "--jdbc-url, --user"),
+        (["bronze", "--root", "x"], "--jdbc-url, --user, --connections"),
         (["stream-bronze", "--root", "x", "--servers", "h"], "--topic"),
     ):
         with pytest.raises(SystemExit):
@@ -28,14 +29,29 @@ def test_silver_gold_validate(spark, layout):
     assert silver["workshops"].silver == 25
     gold = run(spark, arguments(["gold", "--root", layout.root]))
     assert run(spark, arguments(["validate", "--root", layout.root])) == gold
-    assert set(gold) == set(marts.GOLD_TABLES)
+    assert set(gold) == {*marts.GOLD_TABLES, "total"} and gold["total"] == sum(gold[t] for t in marts.GOLD_TABLES)
+    assert silver["total"].bronze == sum(silver[t].bronze for t in OPERATIONAL_TABLES)
+    assert silver["total"].rejected == silver["total"].duplicates + silver["total"].invalid > 0
+
+
+def test_batch_keeps_rejected_rows_when_asked(spark, layout, monkeypatch):
+    asked = {}
+    monkeypatch.setenv("MILLRACE_PASSWORD", "x")
+    monkeypatch.setattr(pipeline, "run_batch", lambda *a, **k: asked.update(k))
+    argv = ["batch", "--root", layout.root, "--jdbc-url", "u", "--user", "v", "--connections", "4"]
+    run(spark, arguments([*argv, "--keep-rejected"]))
+    assert asked == {"keep_rejected": True}
 
 
 def test_streams(spark, layout):
     records(spark, [payload("a"), payload("a"), payload("b")]).write.parquet(layout.path("topic", "records"))
     source = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
-    pipeline.start_bronze_stream(source, layout, drain=True).awaitTermination()
+    bronze = pipeline.start_bronze_stream(source, layout, drain=True)
+    pipeline.follow_stream(spark, layout, pipeline.BRONZE_EVENTS, bronze)
     run(spark, arguments(["stream-silver", "--root", layout.root, "--drain"]))
+    run(spark, arguments(["stream-status", "--root", layout.root]))
+    total = pipeline.stream_status(spark, layout, pipeline.BRONZE_EVENTS).first()
+    assert (total.input_rows, total.late_rows, total.missing_batches) == (3, 0, 0)
     assert run(spark, arguments(["stream-report", "--root", layout.root])) == 3
     stored = spark.read.parquet(layout.path(pipeline.SILVER_EVENTS, pipeline.EVENT_TABLE))
     assert sorted(r.event_id for r in stored.collect()) == ["a", "b"]

@@ -9,7 +9,7 @@ from conftest import SMALL
 from test_sources import FolderTarget
 
 import __spark_entry__ as entry
-from millrace import testbed
+import testbed
 from millrace.operators.quality import QualityError
 from millrace.plans import marts, pipeline
 from millrace.plans.tables import OPERATIONAL_TABLES

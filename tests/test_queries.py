@@ -8,8 +8,10 @@ from conftest import SMALL, plan_of
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# The text operators, which may be missing, have tests of their own in tests/llm.
+TEXT, TEXT_SQL = entry._text_queries()
+QUERIES = {name: q for name, q in entry.queries().items() if name not in TEXT}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name not in TEXT_SQL}
 
 
 @pytest.fixture(scope="module")
@@ -46,3 +48,22 @@ def test_scans_read_only_needed_columns(spark):
     counts = plan_of(QUERIES["dq_key_uniqueness"](spark, SMALL))
     nation = next(line for line in counts.splitlines() if "nation.parquet" in line)
     assert "n_name" in nation  # the name is required by the contract, so even a count reads it
+
+
+STORING = {
+    "silver_sensor_events", "layer_round_trip", "batch_pipeline", "stored_insert_if_absent", "stream_quality", "stream_report"
+}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in STORING])
+def test_building_a_query_runs_no_job_and_changes_no_setting(spark, name):
+    context, conf = spark.sparkContext, spark._jsparkSession.conf()
+    group, settings = f"build-{name}", lambda: str(context._jvm.scala.jdk.javaapi.CollectionConverters.asJava(conf.getAll()))
+    before = settings()
+    context.setJobGroup(group, name)
+    try:
+        QUERIES[name](spark, SMALL).schema  # noqa: B018
+        assert not list(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert settings() == before

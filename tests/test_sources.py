@@ -57,16 +57,25 @@ def test_scan_options():
     plain = jdbc.scan_options(CONN, "alerts")
     assert plain["dbtable"] == "operations.alerts" and plain["fetchsize"] == "10000"
     assert "partitionColumn" not in plain
-    split = jdbc.scan_options(CONN, "alerts", jdbc.Partitioning("alert_id", 1, 900, 16))
-    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
-        "alert_id", "1", "900", "16"
-    )
+
+
+def test_ranges_hold_every_row_once(spark):
+    # One outlier key, gaps, copies and a null: quantile bounds keep the parts even.
+    keys = [*range(1, 400), 10**15, 500, 500, None]
+    tiles = [keys[:-1][k * 402 // 8 : (k + 1) * 402 // 8] for k in range(8)]
+    predicates = jdbc.range_predicates("k", [max(t) for t in (sorted(t) for t in tiles)][:-1])
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    parts = [df.where(p).count() for p in predicates]
+    assert sum(parts) == len(keys) and max(parts) <= 2 * len(keys) / len(predicates)
+    assert jdbc.range_predicates("k", []) == ["1 = 1"]
+    assert jdbc.range_predicates("d", ["2024-01-01"]) == ["d <= '2024-01-01' or d is null", "d > '2024-01-01'"]
 
 
 def test_publish_options():
     options = jdbc.publish_options(CONN, "dim_machines", truncate=True, connections=8)
     assert options["batchsize"] == "5000" and options["truncate"] == "true" and options["numPartitions"] == "8"
-    assert jdbc.JdbcTarget(CONN).connections == jdbc.CONNECTIONS
+    with pytest.raises(TypeError):
+        jdbc.JdbcTarget(CONN)
 
 
 def test_password_is_not_shown():
@@ -108,6 +117,10 @@ class RecordingReader:
         self.current = options
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append(("jdbc", {"url": url, "dbtable": table, "predicates": predicates, **properties}))
+        return self.answers[len(self.asked) - 1]
+
     def load(self):
         self.asked.append((self.fmt, self.current))
         return self.answers[len(self.asked) - 1]
@@ -119,21 +132,27 @@ class StubSession:
         self.sparkContext = spark.sparkContext
 
 
-def test_read_jdbc_asks_for_bounds_then_scans_in_ranges(spark):
-    stub = StubSession(spark, spark.createDataFrame([(5, 900)], "low long, high long"), spark.range(3))
-    assert jdbc.read_jdbc(stub, CONN, "alerts", "alert_id", 12).count() == 3
-    (_, bounds), (fmt, scan) = stub.read.asked
-    assert bounds["dbtable"] == "(select min(alert_id) as low, max(alert_id) as high from operations.alerts) bounds"
-    assert fmt == "jdbc" and (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("5", "900", "12")
+def test_source_asks_for_quantiles_then_scans_in_ranges(spark):
+    bounds = spark.createDataFrame([(2, 900), (1, 40), (3, 10**15)], "tile int, high long")
+    stub = StubSession(spark, bounds, spark.range(3))
+    assert jdbc.JdbcSource(CONN, 3, {"alerts": "alert_id"}).read(stub, "alerts").count() == 3
+    (_, asked), (fmt, scan) = stub.read.asked
+    assert "ntile(3) over (order by alert_id)" in asked["dbtable"] and "operations.alerts" in asked["dbtable"]
+    assert fmt == "jdbc" and scan["dbtable"] == "operations.alerts" and scan["fetchsize"] == "10000"
+    assert scan["predicates"] == ["alert_id <= 40 or alert_id is null", "alert_id > 40 and alert_id <= 900", "alert_id > 900"]
 
 
-def test_read_jdbc_of_an_empty_or_unsplit_table_is_one_scan(spark):
-    stub = StubSession(spark, spark.createDataFrame([(None, None)], "low long, high long"), spark.range(0))
-    jdbc.read_jdbc(stub, CONN, "alerts", "alert_id")
-    assert "partitionColumn" not in stub.read.asked[1][1]
+def test_given_predicates_empty_and_unsplit_tables(spark):
     stub = StubSession(spark, spark.range(1))
-    jdbc.JdbcSource(CONN, {"alerts": "alert_id"}).read(stub, "workshops")
-    assert len(stub.read.asked) == 1
+    jdbc.JdbcSource(CONN, 3, {"alerts": "alert_id"}, {"alerts": ["a = 1", "a <> 1"]}).read(stub, "alerts")
+    assert stub.read.asked[0][1]["predicates"] == ["a = 1", "a <> 1"]
+    stub = StubSession(spark, spark.createDataFrame([], "tile int, high long"), spark.range(0))
+    jdbc.JdbcSource(CONN, 3, {"alerts": "alert_id"}).read(stub, "alerts")
+    assert stub.read.asked[1][1]["predicates"] == ["1 = 1"]
+    for source, table in ((jdbc.JdbcSource(CONN, 3, {"alerts": "alert_id"}), "workshops"), (jdbc.JdbcSource(CONN, 1, {"t": "k"}), "t")):
+        stub = StubSession(spark, spark.range(1))
+        source.read(stub, table)
+        assert len(stub.read.asked) == 1 and "predicates" not in stub.read.asked[0][1]
 
 
 def test_read_kafka_subscribes(spark):
@@ -157,23 +176,5 @@ def test_read_kafka_subscribes(spark):
 
 def test_target_counts_in_the_database(spark):
     stub = StubSession(spark, spark.createDataFrame([(41,)], "n long"))
-    assert jdbc.JdbcTarget(CONN).count(stub, "dim_machines") == 41
+    assert jdbc.JdbcTarget(CONN, 4).count(stub, "dim_machines") == 41
     assert stub.read.asked[0][1]["dbtable"] == "(select count(*) as n from operations.dim_machines) counted"
-
-
-def test_shuffles_are_sized_from_stored_bytes(spark, layout):
-    layers.write_layer(spark.range(10_000), layout, "bronze", "t")
-    size = session.stored_bytes(spark, layout.path("bronze", "t"))
-    assert size > 10_000
-    assert session.partitions_for(0) == 0 and session.partitions_for(1) == 1
-    assert session.partitions_for(10 * 2**30) == 80
-    assert session.partitions_for(100 * 2**40) == session.MOST_SHUFFLE_PARTITIONS
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with session.sized_shuffles(spark, size):
-        assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
-    with session.sized_shuffles(spark, 10 * 2**30):
-        assert spark.conf.get(session.INITIAL_PARTITIONS) == "80"
-        plan = spark.range(10).selectExpr("id % 3 as k").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(k" in plan and ", 80)" in plan
-    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before

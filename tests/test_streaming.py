@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -93,7 +94,9 @@ def test_late_rows_restart_and_status(spark, layout):
     ids = sorted(r.event_id for r in silver(spark, layout).collect())
     assert ids == ["a", "new", "over"]
     status = ev.stream_status(query)
-    assert status["late_rows"] == 2 and status["input_rows"] == 4 and not status["active"] and status["error"] is None
+    assert not status["active"] and status["error"] is None
+    seen = ev.progress_rows(query, -1)
+    assert (sum(r[4] for r in seen), sum(r[5] for r in seen)) == (4, 2)
     drain(spark, layout)
     assert silver(spark, layout).count() == 3
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
@@ -111,7 +114,6 @@ def test_hot_event_collapses_with_and_without_salt(spark, layout, salts):
         layout.path("silver", "t"),
         layout.checkpoint("silver", "t"),
         drain=True,
-        state_partitions=2,
     )
     query.awaitTermination()
     assert sorted(r.event_id for r in read_layer(spark, layout, "silver", "t").collect()) == sorted(
@@ -122,3 +124,51 @@ def test_hot_event_collapses_with_and_without_salt(spark, layout, salts):
 def test_cleaning_works_on_a_batch_frame_too(spark):
     out = ev.clean_events(ev.bronze_events(records(spark, [payload("a"), payload("a"), payload("b", value=9999)])))
     assert [r.event_id for r in out.collect()] == ["a"]
+
+
+def test_totals_over_more_batches_than_a_query_remembers(spark, layout):
+    """130 batches of one file each; rows in the first ones are late. Only the last 100 are in recentProgress."""
+    # A batch's watermark holds from the batch after the next one on.
+    files = [[payload("first", 7200)], [payload("second", 7250)]]
+    files += [[payload("late1"), payload("late2")], [payload("late3"), payload("x", 7300)]]
+    files += [[payload(f"e{k}", 7300 + k)] for k in range(126)]
+    for k, values in enumerate(files):
+        records(spark, values, 10 * k).coalesce(1).write.mode("append").parquet(layout.path("topic", "records"))
+        if k < 4:
+            time.sleep(1.1)  # files are taken in the order of their times
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "1")
+    source = own.readStream.schema(ev.RECORD_SCHEMA).option("maxFilesPerTrigger", 1).parquet(layout.path("topic", "records"))
+    clean = ev.clean_events(ev.bronze_events(source), salts=1)
+    query = ev.start_append(clean, layout.path("silver", "t"), layout.checkpoint("silver", "t"), drain=True)
+    pipeline.follow_stream(spark, layout, "silver", query, poll=0.2)
+    (total,) = pipeline.stream_status(spark, layout, "silver").collect()
+    assert len(query.recentProgress) <= 100 < total.batches
+    assert (total.input_rows, total.late_rows, total.missing_batches) == (132, 3, 0)
+
+
+def test_interrupt_stops_the_query_and_keeps_its_progress(spark, layout):
+    put(spark, layout, [payload("a"), payload("b")])
+    source = spark.readStream.schema(ev.RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    query = pipeline.start_bronze_stream(source, layout)
+    stored = []
+
+    class Interrupted:
+        def __getattr__(self, name):
+            return getattr(query, name)
+
+        def awaitTermination(self, timeout):
+            query.processAllAvailable()
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        ev.follow(Interrupted(), stored.extend)
+    assert not query.isActive and sum(r[4] for r in stored) == 2
+
+
+def test_two_streams_do_not_share_their_settings(spark, layout):
+    put(spark, layout, [payload("a")])
+    before = dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll()))
+    drain(spark, layout)
+    after = dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll()))
+    assert before == after
