@@ -38,6 +38,7 @@ def value_in_type_range() -> str:
     return f"case sensor_type {' '.join(cases)} end"
 
 
+# Columns, keys and rules of the operational tables and the event payload.
 WORKSHOPS = TableContract(
     name="workshops",
     key="workshop_id",
