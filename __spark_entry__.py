@@ -144,8 +144,11 @@ def kpi_maintenance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = drained_events(spark, sf_dir)
-    stored = (read_layer(spark, layout, layer, pipeline.EVENT_TABLE) for layer in (pipeline.BRONZE_EVENTS, pipeline.SILVER_EVENTS))
-    return pipeline.stream_quality(*stored)
+    came, kept = (
+        read_layer(spark, layout, layer, pipeline.EVENT_TABLE)
+        for layer in (pipeline.BRONZE_EVENTS, pipeline.SILVER_EVENTS)
+    )
+    return pipeline.stream_quality(came, kept)
 
 
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:

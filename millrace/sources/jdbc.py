@@ -55,14 +55,17 @@ def quantile_predicates(spark: SparkSession, conn: JdbcConnection, table: str, c
 
     ``parts`` rows come back. An outlier or a gap in the keys moves a bound and no rows.
     """
-    tiles = f"select {column} as k, ntile({parts}) over (order by {column}) as tile from {conn.table(table)} where {column} is not null"
+    tile = f"{column} as k, ntile({parts}) over (order by {column}) as tile"
+    tiles = f"select {tile} from {conn.table(table)} where {column} is not null"
     query = f"(select tile, max(k) as high from ({tiles}) tiles group by tile) bounds"
     rows = spark.read.format("jdbc").options(**conn.options(query)).load().collect()
     bounds = [r["high"] for r in sorted(rows, key=lambda r: r["tile"])]
     return range_predicates(column, bounds[:-1])
 
 
-def read_jdbc(spark: SparkSession, conn: JdbcConnection, table: str, predicates: Sequence[str] | None = None) -> DataFrame:
+def read_jdbc(
+    spark: SparkSession, conn: JdbcConnection, table: str, predicates: Sequence[str] | None = None
+) -> DataFrame:
     """A table scan over one connection, or over one for each predicate."""
     options = scan_options(conn, table)
     if not predicates:

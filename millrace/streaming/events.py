@@ -131,7 +131,8 @@ def start_append(
 
 
 PROGRESS_SCHEMA = (
-    "query_id string, run_id string, batch_id long, batch_timestamp string, input_rows long, late_rows long, watermark string"
+    "query_id string, run_id string, batch_id long, batch_timestamp string, input_rows long, late_rows long,"
+    " watermark string"
 )
 
 
