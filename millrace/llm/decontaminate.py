@@ -154,7 +154,8 @@ class Index:
             changed = list(words)
             for _ in range(edits(len(words), self.similarity)):
                 at, kind = int(rng.integers(0, len(changed))), int(rng.integers(0, 3))
-                changed[at : at + (kind != 1)] = [] if kind == 2 else [len(self.vocabulary) + 1 + int(rng.integers(0, 1 << 20))]
+                new = len(self.vocabulary) + 1 + int(rng.integers(0, 1 << 20))
+                changed[at : at + (kind != 1)] = [] if kind == 2 else [new]
                 changed = changed or [PAD]
             changed = (changed + [PAD] * len(words))[: len(words)]
             found = signatures(np.array([words, changed], np.int64), range(MOST_WALKS))
@@ -190,8 +191,9 @@ class Index:
                     continue
                 else:
                     reach = n + edits(n, self.similarity) - 2
-                    stop = np.minimum(np.arange(len(ids)) + reach, len(total) - 1)
-                    starts = np.nonzero(total[stop] - total[np.minimum(np.arange(len(ids)), len(total) - 1)] >= bound)[0]
+                    begin, last = np.arange(len(ids)), len(total) - 1
+                    shared = total[np.minimum(begin + reach, last)] - total[np.minimum(begin, last)]
+                    starts = np.nonzero(shared >= bound)[0]
                 if len(starts):
                     self._match(ids, n, starts, found)
         return [(self.items[k][0], v[0], len(self.items[k][1]), *v[1:]) for k, v in found.items()]

@@ -30,7 +30,13 @@ LEAST_DOCUMENTS = 200  # of a group, for its own band
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 SYMBOLS = "#*$%&|<>"
 # First code points of blocks by script, for texts without a language.
-SCRIPTS = ((0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "other"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "kana"), (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xAC00, "hangul"), (0xD7B0, "other"))
+SCRIPTS = (
+    (0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "other"),
+    (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "other"),
+    (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "kana"),
+    (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xAC00, "hangul"),
+    (0xD7B0, "other"),
+)
 
 
 @dataclass
@@ -135,12 +141,13 @@ def script_of(text: str) -> str:
 
 
 def measures(docs: DataFrame, vocabularies: tuple[Vocabulary, ...] = PRODUCTION) -> DataFrame:
-    """``doc_id, key, grp, size, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` and three measures a vocabulary.
+    """``doc_id, key, grp, size``, the five base measures, and three measures for each vocabulary.
 
     ``grp`` is the language, or the script of a text without one; ``size`` the class of its length.
     """
     lang = quoted("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(quoted("doc_id").alias("doc_id"), row_key(quoted("doc_id"), quoted("text")).alias("key"), lang.alias("lang"), quoted("text").alias("text"))
+    key = row_key(quoted("doc_id"), quoted("text")).alias("key")
+    rows = docs.select(quoted("doc_id").alias("doc_id"), key, lang.alias("lang"), quoted("text").alias("text"))
     named = [f"{m}_{k}" for k in range(len(vocabularies)) for m in MEASURES]
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     shape = ", ".join(
@@ -157,7 +164,8 @@ def measures(docs: DataFrame, vocabularies: tuple[Vocabulary, ...] = PRODUCTION)
                 fixed.append(base_measures(text))
                 own.append([m for v in vocabularies for m in v.measure(text or "")])
             size = pa.array([f[0].bit_length() for f in fixed], pa.int32())
-            fixed, own = ([list(c) for c in zip(*rows)] or [[]] * n for rows, n in ((fixed, len(base)), (own, len(named))))
+            fixed = [list(c) for c in zip(*fixed)] or [[]] * len(base)
+            own = [list(c) for c in zip(*own)] or [[]] * len(named)
             columns = [batch.column(0), batch.column(1), pa.array(group, pa.string()), size]
             columns += [pa.array(c, pa.int64()) for c in fixed] + [pa.array(c, pa.float64()) for c in own]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "grp", "size", *base, *named])
@@ -171,7 +179,8 @@ def bands(measured: DataFrame, names: list[str], width: float, least_documents:
     A measure that hardly varies in a group gets some room: a hundredth of its median at least.
     """
     quartiles = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(f"q_{n}") for n in names]
-    found = measured.groupBy("grp", "size").agg(F.count("*").alias("n"), *quartiles).where(F.col("n") >= least_documents)
+    found = measured.groupBy("grp", "size").agg(F.count("*").alias("n"), *quartiles)
+    found = found.where(F.col("n") >= least_documents)
     out = [F.col("grp"), F.col("size")]
     for n in names:
         q = F.col(f"q_{n}")

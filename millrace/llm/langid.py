@@ -88,7 +88,8 @@ def logistic(margins: np.ndarray, positive: np.ndarray, rounds: int = 50) -> tup
     x, beta = np.stack([margins, np.ones(n)], axis=1), np.array([1.0, 0.0])
     for _ in range(rounds):
         at = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (at * (1 - at) + 1e-6)[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (aims - at) - 1e-3 * beta)
+        curve = (x * (at * (1 - at) + 1e-6)[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (aims - at) - 1e-3 * beta)
         beta = beta + step
         if np.abs(step).max() < 1e-6:
             break
@@ -122,8 +123,8 @@ def train_pair(frame: pd.DataFrame) -> pd.DataFrame:
     tested = [k for k in range(len(rows)) if spare_[k]] or list(range(len(rows)))
     margins = np.array([weights[rows[k][0]] @ rows[k][1] + weights[-1] for k in tested])
     slope, offset = logistic(margins, signs_[tested] > 0)
-    packed = weights.astype(np.float32).tobytes()
-    return pd.DataFrame({"node": [frame["node"].iloc[0]], "a": [frame["a"].iloc[0]], "b": [frame["b"].iloc[0]], "weights": [packed], "slope": [slope], "offset": [offset]})
+    found = frame[["node", "a", "b"]].iloc[:1].reset_index(drop=True)
+    return found.assign(weights=[weights.astype(np.float32).tobytes()], slope=slope, offset=offset)
 
 
 @dataclass
@@ -179,7 +180,9 @@ class Model:
         return run(text)
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, families: Mapping[str, tuple[str, ...]] = FAMILIES) -> Model:
+def fit(
+    labelled: DataFrame, per_language: int = PER_LANGUAGE, families: Mapping[str, tuple[str, ...]] = FAMILIES
+) -> Model:
     """Learn from columns ``text`` and ``lang``; rows without either do not count.
 
     The sample is bounded: ``per_language`` rows a language, those with the smallest text hash. The driver sees
@@ -200,20 +203,30 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, families: Mapping
     near = hashed.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20) + 1)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     sample = near.withColumn("place", place).where(F.col("place") <= per_language)
-    jobs = [("", f, g, c, k, len(members[family[c]])) for f, g in combinations(members, 2) for k, h in ((True, f), (False, g)) for c in members[h]]
+    # Which language is on which side of which SVM: between families, then within each.
+    jobs = [
+        ("", f, g, c, side == f, len(members[side]))
+        for f, g in combinations(members, 2)
+        for side in (f, g)
+        for c in members[side]
+    ]
     jobs += [(f, a, b, c, c == a, 1) for f, own in within.items() for a, b in own for c in (a, b)]
-    nodes = {"": Node(list(members), [], *(np.zeros(0),) * 4)} | {f: Node(own, [], *(np.zeros(0),) * 4) for f, own in members.items()}
+    nodes = {"": list(members)} | members
+    nodes = {n: Node(classes, [], *(np.zeros(0),) * 4) for n, classes in nodes.items()}
     if jobs:
-        wanted = F.broadcast(labelled.sparkSession.createDataFrame(jobs, "node string, a string, b string, lang string, positive boolean, among int"))
+        sides = "node string, a string, b string, lang string, positive boolean, among int"
+        wanted = F.broadcast(labelled.sparkSession.createDataFrame(jobs, sides))
         # A family's share is dealt out evenly to its languages.
         joined = sample.join(wanted, "lang").where(F.col("place") <= F.ceil(F.lit(per_language) / F.col("among")))
         shape = "node string, a string, b string, weights binary, slope double, offset double"
-        for r in joined.select("node", "a", "b", "positive", "text").groupBy("node", "a", "b").applyInPandas(train_pair, shape).collect():
+        groups = joined.select("node", "a", "b", "positive", "text").groupBy("node", "a", "b")
+        for r in groups.applyInPandas(train_pair, shape).collect():
             node = nodes[r["node"]]
             w = np.frombuffer(r["weights"], np.float32)
             node.pairs.append((node.classes.index(r["a"]), node.classes.index(r["b"])))
             node.weights = np.vstack([node.weights.reshape(-1, SLOTS), w[None, :-1]]).astype(np.float32)
-            node.bias, node.slope, node.offset = (np.append(x, y) for x, y in ((node.bias, w[-1]), (node.slope, r["slope"]), (node.offset, r["offset"])))
+            node.bias = np.append(node.bias, w[-1])
+            node.slope, node.offset = np.append(node.slope, r["slope"]), np.append(node.offset, r["offset"])
     return Model(nodes[""], {f: nodes[f] for f in members})
 
 
@@ -228,7 +241,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     Null texts and texts without a letter are "und" with score 0; repeated rows get equal answers; an empty
     table gives an empty result. Only ``doc_id`` and ``text`` are looked at.
     """
-    return docs.select(quoted("doc_id").alias("doc_id"), model.column(quoted("text")).alias("p")).select("doc_id", "p.*")
+    found = docs.select(quoted("doc_id").alias("doc_id"), model.column(quoted("text")).alias("p"))
+    return found.select("doc_id", "p.*")
 
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float) -> DataFrame:

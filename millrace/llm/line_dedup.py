@@ -40,7 +40,8 @@ def chunks(docs: DataFrame, window: int, mean: int, with_bytes: bool, hash_bits:
     """Chunks of LEAST_LINES or more: ``doc_id, key, start, end, hash`` or, with bytes, ``hash, chunk``."""
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     rows = rows.where("text is not null and instr(text, '\\n') > 0")
-    shape = "hash long, chunk binary" if with_bytes else f"doc_id {dict(rows.dtypes)['doc_id']}, key binary, start int, end int, hash long"
+    shape = f"doc_id {dict(rows.dtypes)['doc_id']}, key binary, start int, end int, hash long"
+    shape = "hash long, chunk binary" if with_bytes else shape
     shift = np.uint64(64 - hash_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +65,8 @@ def chunks(docs: DataFrame, window: int, mean: int, with_bytes: bool, hash_bits:
                 yield pa.RecordBatch.from_arrays([hashed, pa.array(parts, pa.binary())], ["hash", "chunk"])
             else:
                 at = pa.array(of, pa.int64())
-                columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(start, pa.int32()), pa.array(end, pa.int32()), hashed]
+                lines = [pa.array(start, pa.int32()), pa.array(end, pa.int32())]
+                columns = [batch.column(0).take(at), batch.column(1).take(at), *lines, hashed]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "start", "end", "hash"])
 
     return rows.mapInArrow(run, shape)
@@ -114,7 +116,9 @@ def without_lines(text: pa.Array, cuts: pa.Array) -> pa.Array:
     return pa.array(map(cut, values(text), values(cuts)), pa.string())
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, mean: int = LINES, counts: tuple[str, str] | None = None) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, window: int = WINDOW, mean: int = LINES, counts: tuple[str, str] | None = None
+) -> DataFrame:
     """The documents with repeated chunks taken out of ``text``; all rows and columns stay.
 
     A text all of which is repeated becomes empty, a null text stays null, and an ``n_chars`` column is brought

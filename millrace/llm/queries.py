@@ -24,7 +24,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str, most: int = 2 * toxicity.PER_CLASS) -> DataFrame:
-    """Texts with their label: at most ``most`` labelled ids of each class, by hash; those are few enough to send everywhere."""
+    """Texts with their label: ``most`` labelled ids of each class at most, by hash, so few that all tasks get them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null and doc_id is not null")
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))

@@ -78,7 +78,8 @@ def regress(x: Rows, y: np.ndarray, weight: np.ndarray, rounds: int = 25) -> np.
     loss = np.inf
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x.times(beta), -35, 35)))
-        now = -(share * (y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12))).sum() + 0.5 * (ridge * beta * beta).sum()
+        likely = y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)
+        now = 0.5 * (ridge * beta * beta).sum() - (share * likely).sum()
         if loss - now < 1e-7 * abs(now):
             break
         loss = now
@@ -147,20 +148,25 @@ def fit(labelled: DataFrame, categories: list[str], per_class: int = PER_CLASS,
     total = sample.agg(F.count("*").alias("n"), *sums).first()
     kinds = sample.groupBy("any").agg(F.count("*").alias("n"), F.max("h").alias("top")).collect()
     if len(kinds) < 2:
-        return Model(categories, {}, [np.array([-35.0] + [0.0] * k)[::-1].copy() for k in range(len(categories))], [1.1] * len(categories), 0)
-    weight = {r["any"]: 1.0 if r["n"] < per_class else (r["n"] - 1) / (r["top"] / 2.0**64 + 0.5) / r["n"] for r in kinds}
+        never = [np.array([0.0] * k + [-35.0]) for k in range(len(categories))]
+        return Model(categories, {}, never, [1.1] * len(categories), 0)
+    # How many rows there are in all follows from the largest hash that was kept.
+    every = {r["any"]: (r["n"] - 1) / (r["top"] / 2.0**64 + 0.5) for r in kinds}
+    weight = {r["any"]: 1.0 if r["n"] < per_class else every[r["any"]] / r["n"] for r in kinds}
 
     labels = [f"y{k}" for k in range(len(categories))]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.column_stack([np.ones(batch.num_rows, np.int64), *(c.to_numpy(zero_copy_only=False) for c in batch.columns[1:])])
+            marked = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+            rows = np.column_stack([np.ones(batch.num_rows, np.int64), *marked])
             sums: dict[str, np.ndarray] = {}
             for text, row in zip(values(batch.column(0)), rows):
                 for word in parts(text):
                     sums[word] = sums[word] + row if word in sums else row
             table = np.array(list(sums.values()), np.int64).reshape(-1, rows.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), *(pa.array(c) for c in table.T)], ["word", "n", *labels])
+            columns = [pa.array(list(sums), pa.string()), *(pa.array(c) for c in table.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "n", *labels])
 
     shape = "word string, n long, " + ", ".join(f"{y} long" for y in labels)
     counts = sample.select("text", *labels).mapInArrow(counted, shape).groupBy("word").agg(F.sum("n").alias("n"), *sums)
