@@ -48,8 +48,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    found = pii.find_personal(docs, pii.fit(docs))
+    spans = pii.prepare(documents(spark, sf_dir))
+    found = pii.choose(spans, pii.fit_prepared(spans))
     counts = [F.expr(f"bigint(size(filter(base, x -> x.kind = {k})))").alias(f"n_{n}") for k, n in enumerate(pii.KINDS)]
     base = F.sha2(pii.listed("base"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, base, pii.listed("spans").alias("spans"))
