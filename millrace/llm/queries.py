@@ -24,16 +24,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str, most: int = 2 * toxicity.PER_CLASS) -> DataFrame:
-    """Texts with their label: ``most`` labelled ids of each class at most, by hash, so few that all tasks get them."""
+    """Texts with their label: ``most`` labelled ids of each class at most, by hash, so few that all tasks get them.
+
+    ``stands_for`` is how many ids of the class there are for each of these.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null and doc_id is not null")
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     few = labels.withColumn("place", place).where(F.col("place") <= most).select("doc_id", "toxic")
+    sizes = labels.groupBy("toxic").agg(F.greatest(F.count("*") / float(most), F.lit(1.0)).alias("stands_for"))
+    few = few.join(F.broadcast(sizes), "toxic")
     return documents(spark, sf_dir).select("doc_id", "text").join(F.broadcast(few), "doc_id")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(toxicity.with_kinds(labelled(spark, sf_dir)), [*toxicity.SEEDS, "toxic"])
+    texts = toxicity.with_kinds(labelled(spark, sf_dir))
+    model = toxicity.fit(texts, [*toxicity.SEEDS, "toxic"], stands_for="stands_for")
     return toxicity.score(documents(spark, sf_dir), model)
 
 

@@ -128,31 +128,39 @@ class Model:
         return run.asNondeterministic()(text)
 
 
-def fit(labelled: DataFrame, categories: list[str], per_class: int = PER_CLASS, words: int = WORDS) -> Model:
+def fit(
+    labelled: DataFrame,
+    categories: list[str],
+    per_class: int = PER_CLASS,
+    words: int = WORDS,
+    stands_for: str | None = None,
+) -> Model:
     """Learn from ``doc_id``, ``text`` and a 0/1 column for each category, in the order of the chain.
 
     The sample is bounded: ``per_class`` rows with and without any category, those with the smallest hashes. Rows
     with a null text or label do not count. Category statistics of words and the design matrix are made by
     Spark; the driver gets the chosen words and, for each sampled row, its labels and the places of its words.
-    Without labelled rows of both kinds every probability is 0 and nothing is flagged.
+    Without labelled rows of both kinds every probability is 0 and nothing is flagged. Where the rows are a sample
+    themselves, ``stands_for`` names the column that tells how many labelled rows each stands for.
     """
     marks = [quoted(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories)]
+    marks.append((quoted(stands_for).cast("double") if stands_for else F.lit(1.0)).alias("stands"))
     rows = labelled.select(row_key(quoted("doc_id"), quoted("text")).alias("key"), quoted("text").alias("text"), *marks)
     rows = rows.dropna().withColumn("h", F.xxhash64("key"))
     rows = rows.withColumn("any", F.greatest(*(f"y{k}" for k in range(len(categories))), F.lit(0)))
+    every = {r["any"]: r["n"] for r in rows.groupBy("any").agg(F.sum("stands").alias("n")).collect()}
     place = F.row_number().over(Window.partitionBy("any").orderBy("h", "key"))
     sample = rows.withColumn("place", place).where(F.col("place") <= per_class).drop("place")
     # Copies would stand in several folds and make a model look better than it is.
     sample = checkpointed(sample.dropDuplicates(["text", "any"]))
     sums = [F.sum(f"y{k}").alias(f"y{k}") for k in range(len(categories))]
     total = sample.agg(F.count("*").alias("n"), *sums).first()
-    kinds = sample.groupBy("any").agg(F.count("*").alias("n"), F.max("h").alias("top")).collect()
+    kinds = sample.groupBy("any").agg(F.count("*").alias("n")).collect()
     if len(kinds) < 2:
         never = [np.array([0.0] * k + [-35.0]) for k in range(len(categories))]
         return Model(categories, {}, never, [1.1] * len(categories), 0)
-    # How many rows there are in all follows from the largest hash that was kept.
-    every = {r["any"]: (r["n"] - 1) / (r["top"] / 2.0**64 + 0.5) for r in kinds}
-    weight = {r["any"]: 1.0 if r["n"] < per_class else every[r["any"]] / r["n"] for r in kinds}
+    # The rows left of a class stand for all of it, those cut off and the copies alike.
+    weight = {r["any"]: every[r["any"]] / r["n"] for r in kinds}
 
     labels = [f"y{k}" for k in range(len(categories))]
 

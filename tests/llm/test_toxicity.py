@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.llm import toxicity
-from millrace.llm.queries import QUERIES
+from millrace.llm.queries import QUERIES, labelled
 
 from cases import TINY, edge_docs, no_docs, prose
 
@@ -40,6 +40,27 @@ def test_sample_is_bounded_and_keeps_the_shares(spark):
     assert abs(np.mean([r["p_a"] for r in rows]) - 0.2) < 0.1
 
 
+def test_a_cut_class_with_repeated_texts_keeps_its_share(spark):
+    docs = planted(spark, 900)
+    copies = docs.where("a = 0").selectExpr("doc_id + 10000 as doc_id", "text", "a", "b")
+    docs = docs.unionAll(copies)  # 180 of 1,620 rows have a
+    shares = []
+    for per_class in (60, 300, 6000):
+        model = toxicity.fit(docs, ["a"], per_class=per_class)
+        shares.append(np.mean([r["p_a"] for r in toxicity.score(docs, model).collect()]))
+    assert np.allclose(shares, 180 / 1620, atol=0.05)
+
+
+def test_labels_beyond_the_sample_count_in_the_shares(spark, tmp_path):
+    docs = planted(spark, 900)
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    docs.selectExpr("doc_id", "a as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    few = labelled(spark, str(tmp_path), most=100)
+    assert {r["toxic"]: round(r["n"], 6) for r in few.groupBy("toxic").agg(F.sum("stands_for").alias("n")).collect()} == {0: 720, 1: 180}
+    model = toxicity.fit(few, ["toxic"], per_class=60, stands_for="stands_for")
+    assert abs(np.mean([r["p_toxic"] for r in toxicity.score(docs, model).collect()]) - 0.2) < 0.05
+
+
 def test_regression_of_known_weights():
     rng = np.random.default_rng(0)
     word = rng.random((4000, 2)) < 0.3
