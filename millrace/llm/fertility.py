@@ -3,7 +3,8 @@
 Per text and vocabulary: characters a token, the share of tokens that are bytes of characters the vocabulary does
 not know, and the entropy of the tokens. What is usual differs by script, language and length, so bands come from
 the corpus: quartiles of each measure over all documents of a language (script, where it has none) and size class.
-A text is rejected if one of its measures lies far outside.
+Where these are too few, they come from all sizes of the language, then from the script, then from all documents,
+relative to what is usual at that size. A text is rejected if one of its measures lies far outside.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import base64
 import math
 import os
+import re
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -27,6 +29,7 @@ LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent of the words
 WIDTH = 4.0  # quartile ranges beyond the quartiles
 LEAST_DOCUMENTS = 200  # of a group, for its own band
+LEAST_OF_SIZE = 20  # documents that show what is usual at a size
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 SYMBOLS = "#*$%&|<>"
 # First code points of blocks by script, for texts without a language.
@@ -38,6 +41,8 @@ SCRIPTS = (
     (0xD7B0, "other"),
 )
 
+_LETTER = re.compile("[A-Za-z]")
+
 
 @dataclass
 class Vocabulary:
@@ -127,10 +132,14 @@ def base_measures(text: str | None) -> tuple[int, int, int, int, int]:
 
 def script_of(text: str) -> str:
     """The script most letters of the text are in."""
+    if text.isascii():
+        return "latin" if _LETTER.search(text) else "none"
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = codes[(codes > 0x40) & ~((codes > 0x5A) & (codes < 0x61)) & ~((codes > 0x7A) & (codes < 0xC0))]
     if not len(codes):
         return "none"
+    if codes.max() < SCRIPTS[1][0]:
+        return "latin"
     starts = np.array([s for s, _ in SCRIPTS])
     place = np.searchsorted(starts, codes, "right") - 1
     names = [n for _, n in SCRIPTS]
@@ -141,7 +150,7 @@ def script_of(text: str) -> str:
 
 
 def measures(docs: DataFrame, vocabularies: tuple[Vocabulary, ...] = PRODUCTION) -> DataFrame:
-    """``doc_id, key, grp, size``, the five base measures, and three measures for each vocabulary.
+    """``doc_id, key, grp, script, size``, the five base measures, and three measures for each vocabulary.
 
     ``grp`` is the language, or the script of a text without one; ``size`` the class of its length.
     """
@@ -151,41 +160,77 @@ def measures(docs: DataFrame, vocabularies: tuple[Vocabulary, ...] = PRODUCTION)
     named = [f"{m}_{k}" for k in range(len(vocabularies)) for m in MEASURES]
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     shape = ", ".join(
-        [f"doc_id {dict(rows.dtypes)['doc_id']}, key binary, grp string, size int"]
+        [f"doc_id {dict(rows.dtypes)['doc_id']}, key binary, grp string, script string, size int"]
         + [f"{n} long" for n in base]
         + [f"{n} double" for n in named]
     )
 
     def run(batches):
         for batch in batches:
-            group, fixed, own = [], [], []
+            group, script, fixed, own = [], [], [], []
             for lang, text in zip(values(batch.column(2)), values(batch.column(3))):
-                group.append(lang or f"script:{script_of(text or '')}")
+                script.append(script_of(text or ""))
+                group.append(lang or f"script:{script[-1]}")
                 fixed.append(base_measures(text))
                 own.append([m for v in vocabularies for m in v.measure(text or "")])
             size = pa.array([f[0].bit_length() for f in fixed], pa.int32())
             fixed = [list(c) for c in zip(*fixed)] or [[]] * len(base)
             own = [list(c) for c in zip(*own)] or [[]] * len(named)
-            columns = [batch.column(0), batch.column(1), pa.array(group, pa.string()), size]
+            columns = [batch.column(0), batch.column(1), pa.array(group, pa.string()), pa.array(script, pa.string())]
+            columns.append(size)
             columns += [pa.array(c, pa.int64()) for c in fixed] + [pa.array(c, pa.float64()) for c in own]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "grp", "size", *base, *named])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "grp", "script", "size", *base, *named])
 
     return rows.mapInArrow(run, shape)
 
 
+def quartiles(measured: DataFrame, keys: list[str], names: list[str], tag: str) -> DataFrame:
+    """The keys, ``n_<tag>``, and quartiles ``<tag>_<name>`` of each measure over the documents of equal keys."""
+    found = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(f"{tag}_{n}") for n in names]
+    return measured.groupBy(*keys).agg(F.count("*").alias(f"n_{tag}"), *found)
+
+
+def by_size(measured: DataFrame, names: list[str], tag: str) -> DataFrame:
+    """``size`` and quartiles ``<tag>_<name>`` of all documents of that size, or of the nearest with enough of them."""
+    known = quartiles(measured, ["size"], names, tag).where(F.col(f"n_{tag}") >= LEAST_OF_SIZE)
+    known = known.select(F.col("size").alias("near"), *(f"{tag}_{n}" for n in names))
+    far = F.struct(F.abs(F.col("size") - F.col("near")), "near")
+    nearest = F.min_by(F.struct(*(f"{tag}_{n}" for n in names)), far).alias("u")
+    sizes = measured.select("size").distinct()
+    return sizes.crossJoin(F.broadcast(known)).groupBy("size").agg(nearest).select("size", "u.*")
+
+
 def bands(measured: DataFrame, names: list[str], width: float, least_documents: int) -> DataFrame:
-    """``grp, size`` and bounds ``lo_*``, ``hi_*`` from the quartiles of all documents of a group.
+    """``grp, script, size`` and bounds ``lo_*``, ``hi_*`` from the quartiles of all documents of a group.
 
-    A measure that hardly varies in a group gets some room: a hundredth of its median at least.
+    A group of too few documents takes those of its language at all sizes, its script, or all documents, whichever
+    is the first with enough; there, measures count from the median of all documents of their size, and the range is
+    that of the size inside languages if it is wider. A measure that hardly varies in a group gets some room: a
+    hundredth of its median at least.
     """
-    quartiles = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(f"q_{n}") for n in names]
-    found = measured.groupBy("grp", "size").agg(F.count("*").alias("n"), *quartiles)
-    found = found.where(F.col("n") >= least_documents)
-    out = [F.col("grp"), F.col("size")]
+    usual = by_size(measured, names, "s")
+    # Without any size of enough documents, measures count from zero.
+    mid = {n: F.coalesce(F.col(f"s_{n}")[1], F.lit(0.0)) for n in names}
+    off = measured.join(usual, "size", "left")
+    off = off.select("grp", "script", "size", *((F.col(n) - mid[n]).alias(n) for n in names))
+    own = quartiles(off, ["grp"], names, "g1")
+    inside = off.join(own, "grp").select("size", *((F.col(n) - F.col(f"g1_{n}")[1]).alias(n) for n in names))
+    found = measured.select("grp", "script", "size").distinct().join(usual, "size", "left")
+    found = found.join(by_size(inside, names, "d"), "size", "left").join(own, "grp")
+    found = found.join(quartiles(measured, ["grp", "size"], names, "g0"), ["grp", "size"])
+    found = found.join(quartiles(off, ["script"], names, "g2"), "script").crossJoin(quartiles(off, [], names, "g3"))
+    out = [F.col("grp"), F.col("script"), F.col("size")]
     for n in names:
-        q = F.col(f"q_{n}")
-        room = width * F.greatest(q[2] - q[0], F.abs(q[1]) / 100)
-        out += [(q[0] - room).alias(f"lo_{n}"), (q[2] + room).alias(f"hi_{n}")]
+        sized = F.coalesce(F.col(f"d_{n}")[2] - F.col(f"d_{n}")[0], F.lit(0.0))
+        low, middle, high, spread = [], [], [], []
+        for tag in ("g0", "g1", "g2", "g3"):
+            enough, q = F.col(f"n_{tag}") >= least_documents, F.col(f"{tag}_{n}")
+            for k, side in enumerate((low, middle, high)):
+                side.append(F.when(enough, q[k] if tag == "g0" else mid[n] + q[k]))
+            spread.append(F.when(enough, q[2] - q[0] if tag == "g0" else F.greatest(q[2] - q[0], sized)))
+        low, middle, high, spread = (F.coalesce(*side) for side in (low, middle, high, spread))
+        room = width * F.greatest(spread, F.abs(middle) / 100)
+        out += [(low - room).alias(f"lo_{n}"), (high + room).alias(f"hi_{n}")]
     return found.select(*out)
 
 
@@ -199,19 +244,20 @@ def judge(
 
     The base rules reject texts of fewer than LEAST_WORDS words, or with more than MOST_REPEATED per cent of
     them in repeated windows. ``kept`` is false for these, and for texts with a measure outside its band. Groups of
-    fewer than ``least_documents`` documents have no band and reject nothing. Null and empty texts have no words
+    fewer than ``least_documents`` documents fall back to larger ones; only a table that has fewer in all has no
+    bands. Null and empty texts have no words
     and fail. A null language is replaced by the text's script. Repeated rows are answered each, an empty table
     gives an empty result, columns other than doc_id, text and lang are not looked at.
     """
     measured = checkpointed(measures(docs, vocabularies))
     names = [f"{m}_{k}" for k in range(len(vocabularies)) for m in MEASURES]
-    judged = measured.join(bands(measured, names, width, least_documents), ["grp", "size"], "left")
+    judged = measured.join(bands(measured, names, width, least_documents), ["grp", "script", "size"], "left")
     inside = F.lit(True)
     for n in names:
         inside &= F.coalesce(F.col(n).between(F.col(f"lo_{n}"), F.col(f"hi_{n}")), F.lit(True))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     judged = judged.withColumn("base_failed", failed).withColumn("kept", ~failed & inside)
-    return judged.drop(*(f"{side}_{n}" for n in names for side in ("lo", "hi")))
+    return judged.drop("script", *(f"{side}_{n}" for n in names for side in ("lo", "hi")))
 
 
 def keep_good(docs: DataFrame, **settings) -> DataFrame:

@@ -61,6 +61,17 @@ def test_outliers_of_a_group_go_and_usual_texts_stay(spark):
     assert all(r["kept"] for r in fertility.judge(docs, least_documents=5000).collect())
 
 
+def test_rare_groups_are_judged_by_larger_ones(spark):
+    rows = [(k, prose(k, 60 + k % 60), "en") for k in range(300)]
+    rows += [(1000 + k, prose(5000 + k, 70), "xx") for k in range(3)] + [(1010, prose(77, 1500), "en"), (1011, prose(78, 18), "en")]
+    junk = lambda n: " ".join(f"q{k}x#{k * 7919}~" for k in range(n))
+    rows += [(2000, junk(80), "xx"), (2001, junk(1500), "en"), (2002, junk(30), None), (2003, junk(80), "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["kept"] for r in fertility.judge(docs, least_documents=50).collect()}
+    assert not any(got[k] for k in (2000, 2001, 2002, 2003))
+    assert all(got[k] for k in (1000, 1001, 1002)) and sum(got.values()) >= 300
+
+
 def test_edge_cases(spark):
     docs = edge_docs(spark, clashes=True)
     got = fertility.judge(docs)
