@@ -31,6 +31,8 @@ WIDTH = 4.0  # quartile ranges beyond the quartiles
 LEAST_DOCUMENTS = 200  # of a group, for its own band
 LEAST_OF_SIZE = 20  # documents that show what is usual at a size
 MEASURES = ("chars_per_token", "byte_share", "entropy")
+LEAST_ROOM = {"chars_per_token": 0.05, "byte_share": 0.02, "entropy": 0.05}  # beyond the quartiles, at least
+FEW_BYTES = 8  # byte tokens that never count against a text: two signs of up to four bytes
 SYMBOLS = "#*$%&|<>"
 # First code points of blocks by script, for texts without a language.
 SCRIPTS = (
@@ -206,7 +208,7 @@ def bands(measured: DataFrame, names: list[str], width: float, least_documents:
     A group of too few documents takes those of its language at all sizes, its script, or all documents, whichever
     is the first with enough; there, measures count from the median of all documents of their size, and the range is
     that of the size inside languages if it is wider. A measure that hardly varies in a group gets some room: a
-    hundredth of its median at least.
+    hundredth of its median and LEAST_ROOM at least.
     """
     usual = by_size(measured, names, "s")
     # Without any size of enough documents, measures count from zero.
@@ -229,7 +231,8 @@ def bands(measured: DataFrame, names: list[str], width: float, least_documents:
                 side.append(F.when(enough, q[k] if tag == "g0" else mid[n] + q[k]))
             spread.append(F.when(enough, q[2] - q[0] if tag == "g0" else F.greatest(q[2] - q[0], sized)))
         low, middle, high, spread = (F.coalesce(*side) for side in (low, middle, high, spread))
-        room = width * F.greatest(spread, F.abs(middle) / 100)
+        least = LEAST_ROOM[n.rpartition("_")[0]]
+        room = F.greatest(width * F.greatest(spread, F.abs(middle) / 100), F.lit(least))
         out += [(low - room).alias(f"lo_{n}"), (high + room).alias(f"hi_{n}")]
     return found.select(*out)
 
@@ -243,7 +246,8 @@ def judge(
     """One row per document: the measures, ``base_failed`` and ``kept``.
 
     The base rules reject texts of fewer than LEAST_WORDS words, or with more than MOST_REPEATED per cent of
-    them in repeated windows. ``kept`` is false for these, and for texts with a measure outside its band. Groups of
+    them in repeated windows. ``kept`` is false for these, and for texts with a measure outside its band (of
+    the bytes of unknown characters, FEW_BYTES are always allowed). Groups of
     fewer than ``least_documents`` documents fall back to larger ones; only a table that has fewer in all has no
     bands. Null and empty texts have no words
     and fail. A null language is replaced by the text's script. Repeated rows are answered each, an empty table
@@ -254,7 +258,14 @@ def judge(
     judged = measured.join(bands(measured, names, width, least_documents), ["grp", "script", "size"], "left")
     inside = F.lit(True)
     for n in names:
-        inside &= F.coalesce(F.col(n).between(F.col(f"lo_{n}"), F.col(f"hi_{n}")), F.lit(True))
+        fits = F.coalesce(F.col(n).between(F.col(f"lo_{n}"), F.col(f"hi_{n}")), F.lit(True))
+        if n.startswith("byte_share"):
+            # In a short text a single sign is a large share.
+            said, rate = F.col("word_chars") + F.col("n_words"), F.col(n.replace("byte_share", "chars_per_token"))
+            tokens = F.try_divide(said, rate)
+            few = F.col(n) * tokens <= FEW_BYTES
+            fits |= F.coalesce(few, F.lit(False))
+        inside &= fits
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     judged = judged.withColumn("base_failed", failed).withColumn("kept", ~failed & inside)
     return judged.drop("script", *(f"{side}_{n}" for n in names for side in ("lo", "hi")))

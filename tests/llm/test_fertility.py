@@ -72,6 +72,15 @@ def test_rare_groups_are_judged_by_larger_ones(spark):
     assert all(got[k] for k in (1000, 1001, 1002)) and sum(got.values()) >= 300
 
 
+def test_a_usual_text_with_one_foreign_sign_stays(spark):
+    rows = [(k, prose(k, 80), "en") for k in range(150)] + [(500 + k, prose(k, 20), "en") for k in range(60)]
+    rows += [(1000, prose(400, 80) + " \U0001f600", "en"), (1001, prose(401, 20) + " \U0001f600", "en"), (1002, prose(402, 80) + " \U00010900", "en")]
+    rows += [(2000, prose(403, 80) + " \U00010900\U00010901" * 60, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["kept"] for r in fertility.judge(docs, least_documents=50).collect()}
+    assert got[1000] and got[1001] and got[1002] and not got[2000]
+
+
 def test_edge_cases(spark):
     docs = edge_docs(spark, clashes=True)
     got = fertility.judge(docs)
