@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import fertility, langid, licenses, pii, toxicity
+from millrace.llm.centroids import cluster_vectors
 from millrace.llm.decontaminate import matches
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.mixing import mix_plan
+from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.paragraph_dedup import repeated_paragraphs
+from millrace.llm.resampling import importance_ranks
 from millrace.llm.shared import documents
 from millrace.llm.simhash import simhash_groups
 
@@ -83,6 +86,19 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(documents(spark, sf_dir)).drop("key")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = importance_ranks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), clusters=16, rounds=3)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=20, most=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -94,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_tokeniser_quality": op9_tokeniser_quality,
     "op10_paragraph_dedup": op10_paragraph_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 # The level of the targets: sources in order of size / weight fill up until the rest can share what is left.
@@ -164,4 +183,95 @@ FROM (SELECT *, list_filter(hits, lambda x, i: list_position(hits, x) = i) AS li
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op5_license_scan": op5_sql(), "op6_mix_sources": OP6_SQL}
+def op11_sql() -> str:
+    """CRC-32 byte by byte over the distinct features, from its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return rf"""
+WITH rows AS (
+  SELECT row_number() OVER () AS row_no, doc_id, text FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, text FROM benchmark
+), said AS (
+  SELECT row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM rows
+), features AS (
+  SELECT row_no, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature
+  FROM said
+), counted AS (SELECT row_no, feature, count(*) AS n FROM features GROUP BY ALL),
+hashed AS (
+  SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(hex(encode(feature))) // 2 + 1),
+    lambda i: CAST('0x' || hex(encode(feature))[2 * i - 1:2 * i] AS BIGINT))), lambda c, b:
+    xor([{", ".join(map(str, table))}][xor(c & 255, b) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM counted)
+), bucketed AS (SELECT row_no, bucket, sum(n) AS n FROM counted JOIN hashed USING (feature) GROUP BY ALL),
+totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (row_no > 0), 0) AS s, coalesce(sum(n) FILTER (row_no < 0), 0) AS t
+  FROM bucketed GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (sum(s) OVER () + 10000) /
+    ((CAST(s AS DOUBLE) + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+  FROM totals
+), weights AS (
+  SELECT row_no, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS g
+  FROM bucketed JOIN gains USING (bucket) GROUP BY row_no
+), scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features,
+    CASE WHEN n_features IS NULL THEN 0 ELSE (g - ((g % n_features) + n_features) % n_features) // n_features END AS weight,
+    CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[:8] AS BIGINT) AS h
+  FROM said LEFT JOIN weights USING (row_no) WHERE row_no > 0
+), noisy AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored
+), placed AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id, n_features) END AS place,
+    count(*) FILTER (n_words >= 20) OVER () * 25 // 100 AS most
+  FROM noisy
+)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN place <= most THEN place END AS rank
+FROM placed
+"""
+
+
+def op12_sql() -> str:
+    """Round by round, every vector against every centroid, component by component."""
+    steps = []
+    for k in range(4):
+        steps.append(f"""near{k} AS (
+  SELECT row_no, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d
+  FROM (SELECT row_no, cluster, sum((v.x - c.x) * (v.x - c.x)) AS d FROM parts v JOIN c{k} c USING (p) GROUP BY ALL)
+  GROUP BY row_no
+)""")
+        if k < 3:
+            steps.append(f"""c{k + 1} AS (
+  SELECT c.cluster, c.p, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM c{k} c LEFT JOIN (SELECT cluster, p, sum(x) AS s, count(*) AS n FROM parts JOIN near{k} USING (row_no) GROUP BY ALL)
+    USING (cluster, p)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row_no, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), parts AS (SELECT row_no, unnest(range(1, 65)) AS p, unnest(v) AS x FROM kept),
+firsts AS (
+  SELECT row_no, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS cluster
+  FROM kept QUALIFY cluster < 16
+), c0 AS (SELECT cluster, p, x FROM firsts JOIN parts USING (row_no)),
+{", ".join(steps)},
+named AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near3 JOIN kept USING (row_no) JOIN named USING (cluster)
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": op5_sql(),
+    "op6_mix_sources": OP6_SQL,
+    "op11_importance_resampling": op11_sql(),
+    "op12_centroid_clustering": op12_sql(),
+}

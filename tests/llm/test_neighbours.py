@@ -1,0 +1,99 @@
+import numpy as np
+import pytest
+
+from millrace.llm.neighbours import MultiIndex, best, learn, nearest_neighbours, reaches
+from millrace.llm.queries import QUERIES
+
+from cases import TINY
+
+BIG = "/root/testdata/sf0.1"
+
+
+def plain(rows, every, most):
+    """{query: [(vec_id, score)]} of distinct usable rows."""
+    rows = sorted({(i, tuple(v)) for i, v in rows})
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    found = {}
+    for i, v in rows:
+        if i % every == 0:
+            scores = (vectors * np.array(v)).sum(axis=1)
+            order = [k for k in np.lexsort((ids, -scores)) if ids[k] != i][:most]
+            found[i] = [(int(ids[k]), float(scores[k])) for k in order]
+    return found
+
+
+def answers(df):
+    got = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(got[r["query_id"]])
+    return got
+
+
+def recall(got, want):
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in w}) for q, w in want.items())
+    return hits / sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("folder", [TINY, BIG])
+def test_recall_against_brute_force(spark, folder):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    want, got = plain(rows, 20, 20), answers(QUERIES["op13_nearest_neighbours"](spark, folder))
+    assert got.keys() == want.keys() and all(len(got[q]) == 20 for q in got)
+    assert recall(got, want) >= 0.93
+    vectors = {i: np.array(v, float) for i, v in rows}
+    for q, found in got.items():
+        assert found == sorted(found, key=lambda x: (-x[1], x[0]))
+        assert all(abs(s - vectors[q] @ vectors[i]) < 1e-12 for i, s in found)
+
+
+def test_edge_cases(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, [float(x) for x in rng.normal(size=3)]) for k in range(30)]
+    rows += [(100 + k, [9.0, 1.0, 0.0]) for k in range(50)] + [(5, rows[5][1])] * 4 + [(40, [1.0, 0.0, 0.0])]
+    odd = [(60, None), (65, []), (70, [0.0, -0.0, 0.0]), (75, [1.0, None, 2.0]), (80, [float("nan"), 1.0, 1.0])]
+    odd += [(85, [float("inf"), 1.0, 1.0]), (90, [1.0, 2.0]), (None, [1.0, 2.0, 3.0])]
+    shape = "vec_id long, embedding array<double>, rank string, key int, v int, place int"
+    df = spark.createDataFrame([(i, v, "r", 1, 2, 3) for i, v in rows + odd], shape).repartition(4)
+    # As many neighbours as there are candidates: the radius has to grow until it holds all codes.
+    assert answers(nearest_neighbours(df, 5, most=200)) == plain(rows, 5, 200)
+    got, want = answers(nearest_neighbours(df, 5, most=7, recall=1.0)), plain(rows, 5, 7)
+    assert got.keys() == want.keys() and recall(got, want) > 0.9
+    # Copies: the smallest ids of equal vectors.
+    assert [i for i, _ in got[100]] == list(range(101, 108)) and [i for i, _ in got[105]][:6] == [100, 101, 102, 103, 104, 106]
+    assert answers(nearest_neighbours(df.limit(0), 5)) == {}
+    assert answers(nearest_neighbours(df.where("vec_id = 40"), 5)) == {}
+    assert answers(nearest_neighbours(df, 1000, most=3)).keys() == {0}
+
+
+@pytest.mark.parametrize("width", [4, 8, 16, None])
+@pytest.mark.parametrize("radius", [0, 3, 9, 26, 64])
+def test_probing_finds_every_code_within_the_radius(width, radius):
+    rng = np.random.default_rng(radius)
+    codes = rng.integers(0, 1 << 63, 3000, np.uint64)
+    codes[:500] = codes[0] ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64))
+    table = MultiIndex(codes, radius, width)
+    for code in codes[::300]:
+        assert table.within(code).tolist() == np.flatnonzero(np.bitwise_count(codes ^ code) <= radius).tolist()
+
+
+def test_reaches_cover_the_radius():
+    for radius in range(65):
+        for parts in (4, 8, 16):
+            # The largest sum of differences that no substring would notice.
+            assert sum(r + 1 for r in reaches(radius, parts)) > radius
+
+
+def test_ties_go_to_the_smaller_id():
+    assert best(np.array([5, 3, 9, 1]), np.array([1.0, 1.0, 2.0, 1.0]), 3).tolist() == [2, 3, 1]
+
+
+def test_codes_follow_the_inner_product_of_unequal_lengths():
+    rng = np.random.default_rng(0)
+    vectors = rng.normal(size=(2000, 8)) * rng.uniform(0.1, 3, (2000, 1))
+    coder = learn(vectors, float(np.linalg.norm(vectors, axis=1).max()))
+    codes, asked = coder.codes(vectors), rng.normal(size=(50, 8))
+    apart = np.bitwise_count(coder.codes(asked, query=True)[:, None] ^ codes)
+    scores = asked @ vectors.T
+    near = np.argsort(-scores, axis=1)[:, :20]
+    assert np.take_along_axis(apart, near, 1).mean() < apart.mean() - 4
