@@ -16,11 +16,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.expressions import literal, name
 from millrace.operators.dedupe import dedupe
+from millrace.operators.enrich import orphans
 from millrace.operators.quality import (
     QualityError,
     latest,
     require_rows,
     require_unique,
+    stack_reports,
 )
 from millrace.plans import marts
 from millrace.plans.contract import TableContract, standardised, with_derived
@@ -36,6 +38,7 @@ from millrace.sources.layers import (
     write_counted,
     write_layer,
 )
+from millrace.sources.staging import require_volume, staged
 from millrace.streaming.events import (
     PROGRESS_SCHEMA,
     bronze_events,
@@ -100,16 +103,26 @@ def _logged(layer: str, table: str, job: Callable[[], T]) -> T:
     return found
 
 
-def run_bronze(spark: SparkSession, layout: Layout, source, now: datetime | None = None) -> dict[str, int]:
-    """Copy every operational table as it is. ``source`` has ``system`` and ``read(spark, table)``."""
+def run_bronze(
+    spark: SparkSession, layout: Layout, source, now: datetime | None = None, least_share: float = 0.0
+) -> dict[str, int]:
+    """Copy every operational table as it is. ``source`` has ``system`` and ``read(spark, table)``.
+
+    The copies replace the tables of the last run together, once all of them are whole and none has fewer rows than
+    ``least_share`` of what it replaces.
+    """
     ingestion_id = run_id(now or datetime.now(timezone.utc))
 
-    def copy(table: str) -> int:
+    def copy(stage: Layout, table: str) -> int:
         raw = stamp_bronze(source.read(spark, table), source.system, table, ingestion_id)
-        return write_counted(raw, layout, BRONZE, table)
-
-    counts = together(spark, {t: partial(_logged, BRONZE, t, partial(copy, t)) for t in OPERATIONAL_TABLES})
-    require_stored(spark, layout, BRONZE, counts)
+        return write_counted(raw, stage, BRONZE, table)
+
+    with staged(spark, layout) as stage:
+        jobs = {t: partial(_logged, BRONZE, t, partial(copy, stage, t)) for t in OPERATIONAL_TABLES}
+        counts = together(spark, jobs)
+        require_stored(spark, stage, BRONZE, counts)
+        if least_share:
+            require_volume(spark, stage, layout, BRONZE, counts, least_share)
     return counts
 
 
@@ -131,11 +144,12 @@ class SilverCounts:
 def silver_table(
     spark: SparkSession,
     layout: Layout,
+    stage: Layout,
     contract: TableContract,
     tie_break: Sequence[str] = (),
     keep_rejected: bool = False,
 ) -> dict[str, int]:
-    """Dedup, check and write one table in a single job.
+    """Dedup, check and write one table in a single job, from Bronze of ``layout`` to ``stage``.
 
     The distinct-key count and the failures per rule are observed between dedup and filter, in the same
     stage that writes, so no count re-runs the shuffle. With ``keep_rejected`` all judged rows are stored once and
@@ -148,14 +162,14 @@ def silver_table(
     watched = tidy.observe(seen, F.expr("count(1) as keys"), *failures)
     if keep_rejected:
         judged = watched.selectExpr("*", f"{contract.violations()} as violations")
-        write_layer(judged, layout, JUDGED, contract.name)
-        judged = read_layer(spark, layout, JUDGED, contract.name)
-        kept = write_counted(judged.where("size(violations) > 0"), layout, QUARANTINE, contract.name)
+        write_layer(judged, stage, JUDGED, contract.name)
+        judged = read_layer(spark, stage, JUDGED, contract.name)
+        kept = write_counted(judged.where("size(violations) > 0"), stage, QUARANTINE, contract.name)
         accepted = judged.where("size(violations) = 0").drop("violations")
     else:
         kept, accepted = 0, watched.where(contract.accepted())
     rows = stamp(with_derived(accepted, contract), "_silver_processed_at")
-    written = write_counted(rows, layout, SILVER, contract.name)
+    written = write_counted(rows, stage, SILVER, contract.name)
     return {**seen.get, "rows": written, "quarantined": kept}
 
 
@@ -164,17 +178,25 @@ def run_silver(
     layout: Layout,
     tie_breaks: Mapping[str, Sequence[str]] | None = None,
     keep_rejected: bool = False,
+    orphan_limit: float | None = None,
 ) -> dict[str, SilverCounts]:
-    """Clean every Bronze table; ``keep_rejected`` also writes the invalid rows with the rules they broke."""
+    """Clean every Bronze table; ``keep_rejected`` also writes the invalid rows with the rules they broke.
 
-    def job(table: str, contract: TableContract) -> dict[str, int]:
-        order = tuple((tie_breaks or {}).get(table, ()))
-        return _logged(SILVER, table, partial(silver_table, spark, layout, contract, order, keep_rejected))
+    The tables replace those of the last run together, after all were read back whole. ``orphan_limit`` is the share
+    of a table's rows that may point to rows that are not there; without it orphans are let through.
+    """
 
-    found = together(spark, {t: partial(job, t, c) for t, c in OPERATIONAL_TABLES.items()})
-    require_stored(spark, layout, SILVER, {t: seen["rows"] for t, seen in found.items()})
-    if keep_rejected:
-        require_stored(spark, layout, QUARANTINE, {t: seen["quarantined"] for t, seen in found.items()})
+    def job(stage: Layout, table: str, contract: TableContract) -> dict[str, int]:
+        order = tuple((tie_breaks or {}).get(table, ()))
+        return _logged(SILVER, table, partial(silver_table, spark, layout, stage, contract, order, keep_rejected))
+
+    with staged(spark, layout) as stage:
+        found = together(spark, {t: partial(job, stage, t, c) for t, c in OPERATIONAL_TABLES.items()})
+        require_stored(spark, stage, SILVER, {t: seen["rows"] for t, seen in found.items()})
+        if keep_rejected:
+            require_stored(spark, stage, QUARANTINE, {t: seen["quarantined"] for t, seen in found.items()})
+        if orphan_limit is not None:
+            require_references({t: read_layer(spark, stage, SILVER, t) for t in found}, orphan_limit)
     bronze = stored_counts(spark, layout, BRONZE, OPERATIONAL_TABLES)
     return {
         t: SilverCounts(
@@ -198,18 +220,37 @@ def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Build, write and check the serving model.
 
     Dimensions and facts are written first; their keys are checked on the stored tables and the KPI tables read
-    those back, so no lineage is computed twice.
+    those back, so no lineage is computed twice. All of it happens in staging: a model that fails a check never
+    takes the place of the last good one.
     """
     silver = {t: read_layer(spark, layout, SILVER, t) for t in OPERATIONAL_TABLES}
-    counts = _write_gold(spark, {**marts.build_dimensions(silver), **marts.build_facts(silver)}, layout)
-    keys = {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}
-    stored = {t: read_layer(spark, layout, GOLD, t) for t in keys}
-    require_unique(stored, keys)
-    counts |= _write_gold(spark, marts.build_kpis(stored["dim_machines"], stored), layout)
-    require_stored(spark, layout, GOLD, counts)
+    with staged(spark, layout) as stage:
+        counts = _write_gold(spark, {**marts.build_dimensions(silver), **marts.build_facts(silver)}, stage)
+        keys = {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}
+        stored = {t: read_layer(spark, stage, GOLD, t) for t in keys}
+        require_unique(stored, keys)
+        counts |= _write_gold(spark, marts.build_kpis(stored["dim_machines"], stored), stage)
+        require_stored(spark, stage, GOLD, counts)
     return counts
 
 
+def require_references(tables: Mapping[str, DataFrame], limit: float) -> None:
+    """At most this share of a table's rows may carry a key that its parent table does not have."""
+    reports = []
+    for child, contract in OPERATIONAL_TABLES.items():
+        rows = tables[child].selectExpr("count(1) as rows")
+        for ref in contract.references:
+            lost = orphans(tables[child], tables[ref.table], ref.column, OPERATIONAL_TABLES[ref.table].key)
+            label = literal(f"{child}.{ref.column}")
+            # Two frames of one row each.
+            both = lost.selectExpr("coalesce(sum(n), 0L) as lost", "1 as one").join(rows.withColumn("one", F.lit(1)), "one")
+            reports.append(both.selectExpr(f"{label} as reference", "lost", "rows"))
+    broken = [r for r in stack_reports(reports).toLocalIterator() if r["lost"] > limit * r["rows"]]
+    if broken:
+        found = "; ".join(f"{r['reference']}: {r['lost']} of {r['rows']} rows" for r in broken)
+        raise QualityError(f"too many rows without a parent: {found}")
+
+
 def run_validate(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Every Gold table must be there and hold rows; returns their counts."""
     counts = stored_counts(spark, layout, GOLD, marts.GOLD_TABLES)
