@@ -18,12 +18,13 @@ from millrace.operators import quality
 from millrace.operators.enrich import orphans
 from millrace.operators.insert import append_new
 from millrace.operators.dedupe import dedupe
-from millrace.plans import marts, pipeline
+from millrace.plans import increments, marts, pipeline
 from millrace.plans.contract import clean, standardised
 from millrace.plans.tables import OPERATIONAL_TABLES
 from millrace.session import prepare, scratch_folder
 from millrace.sources import layers
 from millrace.sources.layers import Layout, read_layer, write_checked, write_layer
+from millrace.sources.staging import publish_checked
 from millrace.streaming.events import RECORD_SCHEMA, bronze_events
 
 ENTRY_DIR = "/root/testdata/sf0.001"
@@ -277,6 +278,47 @@ def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.stack_reports(reports)
 
 
+def loaded(spark: SparkSession, sf_dir: str, layout: Layout, tables: list[str]) -> None:
+    """Two loads of operational tables: wrong first versions, their corrections, late rows, rows sent again."""
+    machines = pipeline.stamp(dim_machines(spark, sf_dir), "_gold_processed_at")
+    publish_checked(spark, {"dim_machines": machines}, layout, pipeline.GOLD, {"dim_machines": "machine_id"})
+    loads = {t: testbed.loads(bronze(spark, sf_dir, t), t, OPERATIONAL_TABLES[t].key) for t in tables}
+    for k in range(testbed.LOADS):
+        changes = {t: parts[k] for t, parts in loads.items()}
+        increments.run_increment(spark, layout, changes, f"load-{k}", tie_breaks=testbed.TIE_BREAKS, months=12)
+
+
+def _incremental(table: str, tables: list[str], layer: str = pipeline.GOLD) -> Query:
+    """A table after increments; it equals the one a full run gives."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layout = Layout(scratch_folder(spark, "increments"))
+        loaded(spark, sf_dir, layout, tables)
+        return read_layer(spark, layout, layer, table).drop(increments.MONTH)
+
+    return run
+
+
+def staged_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of a fact table after a good run, a run refused for repeated keys, and another good one."""
+    layout, keys = Layout(scratch_folder(spark, "staged")), {"fact_production": "production_id"}
+    whole = fact_production(spark, sf_dir)
+    early = whole.where("production_date < '1998-01-01'")
+    reports = []
+    for step, rows in enumerate([early, whole.unionAll(early), whole], 1):
+        try:
+            publish_checked(spark, {"fact_production": rows}, layout, pipeline.GOLD, keys)
+            refused = False
+        except quality.QualityError:
+            refused = True
+        seen = read_layer(spark, layout, pipeline.GOLD, "fact_production")
+        seen = seen.selectExpr("count(1) as rows", "bigint(coalesce(sum(production_id), 0)) as keys")
+        report = f"{layout.root}/report/{step}"
+        seen.selectExpr(f"{step} as step", f"{str(refused).lower()} as refused", "*").write.parquet(report)
+        reports.append(spark.read.parquet(report))
+    return quality.stack_reports(reports)
+
+
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(query(prepare(spark), sf_dir))
@@ -322,6 +364,12 @@ def queries() -> dict[str, Query]:
         "stream_report": stream_report,
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
+        "staged_publication": staged_publication,
+        "incremental_daily_production": _incremental("kpi_daily_production", ["production"]),
+        "incremental_workshop_performance": _incremental("kpi_workshop_performance", ["production"]),
+        "incremental_maintenance_summary": _incremental("kpi_maintenance_summary", ["maintenance"]),
+        "incremental_machine_performance": _incremental("kpi_machine_performance", list(increments.FACTS_OF)),
+        "incremental_fact_production": _incremental("fact_production", ["production"], increments.FACTS),
     }
     return {name: _registered(query) for name, query in found.items()} | _text_queries()[0]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -69,11 +69,27 @@ def summarise_enriched(
     Facts are summed up per join key before the join, so it moves sums instead of rows and a hot key arrives as a
     handful of rows. One program for every size of the dimension, which must be unique on the join key.
     """
-    keys = [*fact_keys, *dim_keys]
-    partials = _grouped(fact, [join_key, *fact_keys], [c for m in measures for c in m.partial()])
-    joined = enrich(partials, dim, join_key, dim_keys)
-    kinds = {f.name: f.dataType for f in fact.schema.fields}
-    return _grouped(joined, keys, [m.merged(kinds[m.column]) for m in measures])
+    joined = enrich(partial_sums(fact, [join_key, *fact_keys], measures), dim, join_key, dim_keys)
+    return merge_partials(joined, [*fact_keys, *dim_keys], measures, source_types(fact))
+
+
+def source_types(fact: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in fact.schema.fields}
+
+
+def partial_sums(fact: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Rows that :func:`merge_partials` can go on with; measures of one name must be the same measure."""
+    columns = {c.rsplit(" as ", 1)[1]: c for m in measures for c in m.partial()}
+    if any(columns[c.rsplit(" as ", 1)[1]] != c for m in measures for c in m.partial()):
+        raise ValueError("two measures share a name")
+    return _grouped(fact, keys, list(columns.values()))
+
+
+def merge_partials(
+    partials: DataFrame, keys: Sequence[str], measures: Sequence[Measure], sources: Mapping[str, T.DataType]
+) -> DataFrame:
+    """The measures over rows of :func:`partial_sums`; ``sources`` are the types of the columns they were made of."""
+    return _grouped(partials, keys, [m.merged(sources[m.column]) for m in measures])
 
 
 def _grouped(df: DataFrame, keys: Sequence[str], expressions: Sequence[str]) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from millrace.functions.expressions import elapsed_hours, flag, one_of
-from millrace.operators.aggregate import Measure, summarise, summarise_enriched
+from millrace.operators.aggregate import Measure, merge_partials, summarise, summarise_enriched
 from millrace.operators.enrich import enrich
 
 # Tables, keys, columns and measures of the serving model, here and in the functions below.
@@ -219,11 +221,23 @@ def kpi_machine_performance(
     All three facts are summed up per machine before anything is joined, so every join is between
     one-row-per-machine frames that are already partitioned by machine.
     """
+    return _machine_performance(
+        summarise(production, ["machine_id"], MACHINE_PRODUCTION),
+        summarise(maintenance, ["machine_id"], MACHINE_MAINTENANCE),
+        summarise(alerts, ["machine_id"], MACHINE_ALERTS),
+        machines,
+    )
+
+
+def _machine_performance(
+    production: DataFrame, maintenance: DataFrame, alerts: DataFrame, machines: DataFrame
+) -> DataFrame:
+    """From the totals of each machine."""
     attributes = [c for c in MACHINE_ATTRIBUTES if c != "location"]
     totals = (
-        enrich(summarise(production, ["machine_id"], MACHINE_PRODUCTION), machines, "machine_id", attributes)
-        .join(summarise(maintenance, ["machine_id"], MACHINE_MAINTENANCE), "machine_id", "left")
-        .join(summarise(alerts, ["machine_id"], MACHINE_ALERTS), "machine_id", "left")
+        enrich(production, machines, "machine_id", attributes)
+        .join(maintenance, "machine_id", "left")
+        .join(alerts, "machine_id", "left")
     )
     zero_filled = ["maintenance_count", "total_maintenance_cost", "alert_count", "critical_alert_count"]
     ordered = ["machine_id", *attributes]
@@ -237,13 +251,12 @@ def kpi_maintenance_summary(maintenance: DataFrame, machines: DataFrame) -> Data
     summary = summarise_enriched(
         maintenance, machines, "machine_id", keys, workshop, MAINTENANCE_SUMMARY
     )
-    return summary.selectExpr(
-        "maintenance_date",
-        *workshop,
-        "maintenance_type",
-        "status",
-        *(m.alias for m in MAINTENANCE_SUMMARY),
-    )
+    return _ordered_summary(summary)
+
+
+def _ordered_summary(summary: DataFrame) -> DataFrame:
+    keys = ["maintenance_date", "workshop_id", "workshop_name", "maintenance_type", "status"]
+    return summary.selectExpr(*keys, *(m.alias for m in MAINTENANCE_SUMMARY))
 
 
 def machine_reference(machines: DataFrame) -> DataFrame:
@@ -262,3 +275,62 @@ def build_kpis(machines: DataFrame, facts: Mapping[str, DataFrame]) -> dict[str,
         ),
         "kpi_maintenance_summary": kpi_maintenance_summary(maintenance, reference),
     }
+
+
+@dataclass(frozen=True)
+class Partials:
+    """What is stored of a fact so that its KPI tables need not be recomputed: sums a day, machine and more."""
+
+    day: str
+    keys: tuple[str, ...]
+    measures: tuple[Measure, ...]
+
+
+FACT_PARTIALS = {
+    "fact_production": Partials(
+        "production_date",
+        ("production_date", "machine_id"),
+        (*DAILY_PRODUCTION, *WORKSHOP_PERFORMANCE, *MACHINE_PRODUCTION),
+    ),
+    "fact_maintenance": Partials(
+        "maintenance_date",
+        ("maintenance_date", "machine_id", "maintenance_type", "status"),
+        (*MACHINE_MAINTENANCE, *MAINTENANCE_SUMMARY),
+    ),
+    "fact_alerts": Partials("alert_date", ("alert_date", "machine_id"), MACHINE_ALERTS),
+}
+
+
+def kpis_from_partials(
+    machines: DataFrame, partials: Mapping[str, DataFrame], sources: Mapping[str, Mapping[str, T.DataType]]
+) -> dict[str, DataFrame]:
+    """The KPI tables :func:`build_kpis` gives, as far as there are partials for them.
+
+    Machine attributes are joined to the partials, so a machine that has moved to another workshop takes its history
+    along, as it does when everything is recomputed.
+    """
+    reference, found = machine_reference(machines), {}
+
+    def merged(fact: str, keys: list[str], attributes: list[str], measures: tuple[Measure, ...]) -> DataFrame:
+        rows = enrich(partials[fact], reference, "machine_id", attributes) if attributes else partials[fact]
+        return merge_partials(rows, [*keys, *attributes], measures, sources[fact])
+
+    workshop = ["workshop_id", "workshop_name"]
+    if "fact_production" in partials:
+        found["kpi_daily_production"] = merged("fact_production", ["production_date"], workshop, DAILY_PRODUCTION)
+        found["kpi_workshop_performance"] = merged(
+            "fact_production", [], [*workshop, "location"], WORKSHOP_PERFORMANCE
+        )
+    if "fact_maintenance" in partials:
+        keys = ["maintenance_date", "maintenance_type", "status"]
+        found["kpi_maintenance_summary"] = _ordered_summary(
+            merged("fact_maintenance", keys, workshop, MAINTENANCE_SUMMARY)
+        )
+    if partials.keys() == FACT_PARTIALS.keys():
+        found["kpi_machine_performance"] = _machine_performance(
+            merged("fact_production", ["machine_id"], [], MACHINE_PRODUCTION),
+            merged("fact_maintenance", ["machine_id"], [], MACHINE_MAINTENANCE),
+            merged("fact_alerts", ["machine_id"], [], MACHINE_ALERTS),
+            reference,
+        )
+    return found

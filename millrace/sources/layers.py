@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -56,6 +56,24 @@ def write_layer(df: DataFrame, layout: Layout, layer: str, table: str, mode: str
     writer.save(layout.path(layer, table))
 
 
+def write_partitions(df: DataFrame, layout: Layout, layer: str, table: str, columns: Sequence[str]) -> int:
+    """Write a table partitioned by some columns, and count its rows on their way out.
+
+    Rows are rebalanced by partition: AQE cuts a partition that holds most of the rows into several files and lets
+    one task write many small ones.
+    """
+    seen = Observation()
+    rows = df.observe(seen, F.expr("count(1) as rows")).hint("rebalance", *columns)
+    rows.write.format(layout.fmt).mode("overwrite").partitionBy(*columns).save(layout.path(layer, table))
+    return seen.get["rows"]
+
+
+def overwrite_partitions(df: DataFrame, layout: Layout, layer: str, table: str, columns: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows for; all others keep their files."""
+    writer = df.hint("rebalance", *columns).write.format(layout.fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).save(layout.path(layer, table))
+
+
 def write_counted(df: DataFrame, layout: Layout, layer: str, table: str) -> int:
     """Overwrite a table and count the rows on their way out, as an observed metric of the write itself."""
     seen = Observation()

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.operators.quality import QualityError, require_unique
 from millrace.sources.layers import (
     Layout,
+    overwrite_partitions,
     read_layer,
     require_stored,
     stored_counts,
@@ -29,7 +30,7 @@ from millrace.sources.layers import (
     write_layer,
 )
 
-STAGING, MOVING, REPLACED = "_staging", "_moving", "_replaced"
+STAGING, MOVING, REPLACED, PENDING = "_staging", "_moving", "_replaced", "_pending"
 # Stands in the place of an old table where there was none.
 ABSENT = ".absent"
 
@@ -68,6 +69,11 @@ def _inside(layout: Layout, folder: str, run: str) -> Layout:
     return Layout(f"{layout.root.rstrip('/')}/{folder}/{run}", layout.fmt)
 
 
+def staging(layout: Layout) -> Layout:
+    """A fresh staging layout; nothing in it is published by itself."""
+    return _inside(layout, STAGING, uuid.uuid4().hex)
+
+
 @contextmanager
 def staged(spark: SparkSession, layout: Layout) -> Iterator[Layout]:
     """A staging layout to write to and check; leaving the block without an error publishes all tables in it."""
@@ -138,6 +144,46 @@ def forget(spark: SparkSession, layout: Layout) -> list[str]:
     return runs
 
 
+def replace_partitions(
+    spark: SparkSession, stage: Layout, layout: Layout, layer: str, table: str, column: str, values: Iterable
+) -> None:
+    """Publish a staged table that holds all rows of some partitions; the other partitions keep their files.
+
+    ``values`` are the partitions to replace: those the staged table has no rows for go. Moving the staged table to
+    the pending ones is the point from which the change will be made, even if the driver is lost on the way: who
+    comes next calls :func:`finish_pending` before reading.
+    """
+    finish_pending(spark, layout)
+    folders, source = Folders(spark, layout.root), stage.path(layer, table)
+    for value in values:
+        # An empty folder stands for a partition that is to be empty.
+        folders.mark(f"{source}/{column}={value}")
+    folders.move(source, f"{layout.root.rstrip('/')}/{PENDING}/{layer}/{table}")
+    finish_pending(spark, layout)
+
+
+def finish_pending(spark: SparkSession, layout: Layout) -> None:
+    """Make every partition change that is pending, again from its start; doing it twice does no harm."""
+    folders, pending = Folders(spark, layout.root), Layout(f"{layout.root.rstrip('/')}/{PENDING}", layout.fmt)
+    for layer in folders.names(pending.root):
+        for table in folders.names(pending.path(layer, "").rstrip("/")):
+            source, live = pending.path(layer, table), layout.path(layer, table)
+            replaced = _inside(layout, REPLACED, uuid.uuid4().hex)
+            parts = [n for n in folders.names(source) if "=" in n and not n.startswith("_")]
+            column = parts[0].split("=")[0]
+            overwrite_partitions(read_layer(spark, pending, layer, table), layout, layer, table, [column])
+            emptied = [p for p in parts if not folders.names(f"{source}/{p}")]
+            if layout.fmt == "delta" and emptied:
+                gone = ", ".join(p.split("=", 1)[1] for p in emptied)
+                spark.sql(f"DELETE FROM delta.`{live}` WHERE {column} IN ({gone})")
+            elif layout.fmt != "delta":
+                for part in emptied:
+                    if folders.exists(f"{live}/{part}"):
+                        folders.move(f"{live}/{part}", f"{replaced.path(layer, table)}/{part}")
+            folders.move(source, replaced.path(layer, f"{table}-done"))
+            spark.catalog.refreshByPath(live)
+
+
 def require_volume(
     spark: SparkSession, stage: Layout, layout: Layout, layer: str, tables: Iterable[str], least_share: float
 ) -> None:
@@ -166,5 +212,6 @@ def publish_checked(
         require_stored(spark, stage, layer, counts)
         if keys:
             require_unique({t: read_layer(spark, stage, layer, t) for t in keys}, keys)
-        require_volume(spark, stage, layout, layer, frames, least_share)
+        if least_share:
+            require_volume(spark, stage, layout, layer, frames, least_share)
     return counts

@@ -513,6 +513,20 @@ EVENT_RULES = [
 ]
 
 
+def _staged_publication() -> str:
+    """The refused run shows what the run before it has published."""
+    parts = [
+        f"select {step} as step, {refused} as refused, count(*) as rows,"
+        f" cast(coalesce(sum(production_id), 0) as bigint) as keys from fact_production{kept}"
+        for step, refused, kept in (
+            (1, "false", " where production_date < '1998-01-01'"),
+            (2, "true", " where production_date < '1998-01-01'"),
+            (3, "false", ""),
+        )
+    ]
+    return _with(["fact_production"], _union(parts))
+
+
 def _stream_quality() -> str:
     valid = " and ".join(_ok(rule) for _, rule in EVENT_RULES)
     parts = [
@@ -567,6 +581,10 @@ def oracle_sql() -> dict[str, str]:
     statements["insert_if_absent"] = _insert_if_absent()
     statements["layer_round_trip"] = statements["fact_production"]
     statements["batch_pipeline"] = _batch()
+    for kpi in ("daily_production", "workshop_performance", "maintenance_summary", "machine_performance"):
+        statements[f"incremental_{kpi}"] = statements[f"kpi_{kpi}"]
+    statements["incremental_fact_production"] = statements["fact_production"]
+    statements["staged_publication"] = _staged_publication()
     statements["stored_insert_if_absent"] = statements["insert_if_absent"]
     statements["stream_quality"] = _stream_quality()
     newest = statements["latest_events"]
