@@ -23,6 +23,7 @@ from millrace.plans.contract import clean, standardised
 from millrace.plans.tables import OPERATIONAL_TABLES
 from millrace.session import prepare, scratch_folder
 from millrace.sources import layers
+from millrace.sources.bucketed import read_bucketed, write_bucketed
 from millrace.sources.layers import Layout, read_layer, write_checked, write_layer
 from millrace.sources.staging import publish_checked
 from millrace.streaming.events import RECORD_SCHEMA, bronze_events
@@ -319,6 +320,35 @@ def staged_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.stack_reports(reports)
 
 
+BUCKETS = 8
+
+
+def colocated(spark: SparkSession, sf_dir: str, layout: Layout, key: str | None = None, buckets: int = BUCKETS) -> None:
+    """Dimensions and facts in buckets: those with ``key`` by it, or every table by its own key."""
+    keys = {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}
+    for table, df in gold_keyed(spark, sf_dir).items():
+        if key is None or key in df.columns:
+            write_bucketed(df, layout, pipeline.GOLD, table, key or keys[table], buckets)
+
+
+def colocated_machine_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI table from tables in buckets of machines: nothing is shuffled."""
+    layout = Layout(scratch_folder(spark, "buckets"))
+    colocated(spark, sf_dir, layout, "machine_id")
+    facts = (read_bucketed(spark, layout, pipeline.GOLD, t) for t in marts.FACT_KEYS)
+    return marts.kpi_machine_performance(*facts, read_bucketed(spark, layout, pipeline.GOLD, "dim_machines"))
+
+
+def colocated_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key checks on tables in buckets of their own keys: only totals leave a task."""
+    layout = Layout(scratch_folder(spark, "buckets"))
+    colocated(spark, sf_dir, layout)
+    keys = {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}
+    return quality.stack_reports(
+        [quality.key_uniqueness(read_bucketed(spark, layout, pipeline.GOLD, t), t, key) for t, key in keys.items()]
+    )
+
+
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(query(prepare(spark), sf_dir))
@@ -365,6 +395,8 @@ def queries() -> dict[str, Query]:
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
         "staged_publication": staged_publication,
+        "colocated_machine_performance": colocated_machine_performance,
+        "colocated_key_uniqueness": colocated_key_uniqueness,
         "incremental_daily_production": _incremental("kpi_daily_production", ["production"]),
         "incremental_workshop_performance": _incremental("kpi_workshop_performance", ["production"]),
         "incremental_maintenance_summary": _incremental("kpi_maintenance_summary", ["maintenance"]),

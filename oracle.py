@@ -584,6 +584,8 @@ def oracle_sql() -> dict[str, str]:
     for kpi in ("daily_production", "workshop_performance", "maintenance_summary", "machine_performance"):
         statements[f"incremental_{kpi}"] = statements[f"kpi_{kpi}"]
     statements["incremental_fact_production"] = statements["fact_production"]
+    statements["colocated_machine_performance"] = statements["kpi_machine_performance"]
+    statements["colocated_key_uniqueness"] = statements["dq_key_uniqueness"]
     statements["staged_publication"] = _staged_publication()
     statements["stored_insert_if_absent"] = statements["insert_if_absent"]
     statements["stream_quality"] = _stream_quality()
