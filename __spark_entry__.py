@@ -26,12 +26,14 @@ from millrace.sources import layers
 from millrace.sources.bucketed import read_bucketed, write_bucketed
 from millrace.sources.layers import Layout, read_layer, write_checked, write_layer
 from millrace.sources.staging import publish_checked
-from millrace.streaming.events import RECORD_SCHEMA, bronze_events
+from millrace.streaming.events import RECORD_SCHEMA, BatchProgress, bronze_events
 
 ENTRY_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 # Partitions of the event stream's dedup state, fixed by its first start.
 STATE_PARTITIONS = 8
+# Micro-batches of the drain whose progress is looked at.
+BATCHES = 6
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -153,6 +155,17 @@ def stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.stream_quality(came, kept)
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was stored of the batches of a drain, a file a batch."""
+    layout, listener = Layout(scratch_folder(spark, "events")), BatchProgress()
+    write_layer(testbed.sensor_records(spark, sf_dir).repartition(BATCHES), layout, "topic", "records")
+    reader = spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", 1)
+    query = pipeline.start_bronze_stream(reader.parquet(layout.path("topic", "records")), layout, True, listener)
+    pipeline.follow_stream(spark, layout, pipeline.BRONZE_EVENTS, query, listener)
+    status = pipeline.stream_status(spark, layout, pipeline.BRONZE_EVENTS)
+    return status.select("batches", "missing_batches", "input_rows", "late_rows")
+
+
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest events of the stored streaming Bronze table, each with the table's row count."""
     layout = Layout(scratch_folder(spark, "events"))
@@ -392,6 +405,7 @@ def queries() -> dict[str, Query]:
         "stored_insert_if_absent": stored_insert_if_absent,
         "stream_quality": stream_quality,
         "stream_report": stream_report,
+        "stream_progress": stream_progress,
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
         "staged_publication": staged_publication,

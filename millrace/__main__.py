@@ -17,7 +17,7 @@ from millrace.plans import pipeline
 from millrace.session import build_session
 from millrace.sources.jdbc import JdbcConnection, JdbcTarget
 from millrace.sources.layers import Layout, read_layer
-from millrace.streaming.events import read_kafka
+from millrace.streaming.events import BatchProgress, read_kafka
 
 STORE_JOBS = ("bronze", "publish", "batch")
 STREAM_JOBS = ("stream-bronze", "stream-silver")
@@ -83,17 +83,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         count, newest = pipeline.stream_report(spark, layout)
         newest.show(truncate=False)
         return count
+    listener = BatchProgress()
     if args.job == "stream-bronze":
         limits = {"records_per_task": args.records_per_task, "fail_on_data_loss": args.fail_on_data_loss}
         topic = read_kafka(spark, args.servers, args.topic, args.max_offsets, **limits)
-        query = pipeline.start_bronze_stream(topic, layout, drain=args.drain)
+        query = pipeline.start_bronze_stream(topic, layout, args.drain, listener)
     else:
         bronze = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)
         query = pipeline.start_silver_stream(
-            spark, layout, bronze.schema, args.drain, args.max_files, args.state_partitions
+            spark, layout, bronze.schema, args.drain, args.max_files, args.state_partitions, listener
         )
     layer = pipeline.BRONZE_EVENTS if args.job == "stream-bronze" else pipeline.SILVER_EVENTS
-    pipeline.follow_stream(spark, layout, layer, query)
+    pipeline.follow_stream(spark, layout, layer, query, listener)
     return query.id
 
 

@@ -41,6 +41,7 @@ from millrace.sources.layers import (
 from millrace.sources.staging import require_volume, staged
 from millrace.streaming.events import (
     PROGRESS_SCHEMA,
+    BatchProgress,
     bronze_events,
     clean_events,
     follow,
@@ -292,8 +293,12 @@ def run_batch(
     )
 
 
-def start_bronze_stream(records: DataFrame, layout: Layout, drain: bool = False) -> StreamingQuery:
+def start_bronze_stream(
+    records: DataFrame, layout: Layout, drain: bool = False, listener: BatchProgress | None = None
+) -> StreamingQuery:
     """Sensor records (Kafka or record-shaped) into the streaming Bronze table."""
+    if listener:
+        listener.listen(records.sparkSession)
     path = layout.path(BRONZE_EVENTS, EVENT_TABLE)
     checkpoint = layout.checkpoint(BRONZE_EVENTS, EVENT_TABLE)
     return start_append(bronze_events(records), path, checkpoint, layout.fmt, drain=drain)
@@ -306,6 +311,7 @@ def start_silver_stream(
     drain: bool = False,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    listener: BatchProgress | None = None,
 ) -> StreamingQuery:
     """Streaming Bronze into streaming Silver. File formats need the Bronze ``schema``.
 
@@ -318,17 +324,24 @@ def start_silver_stream(
     bronze = read_layer_stream(own, layout, BRONZE_EVENTS, EVENT_TABLE, schema, max_files)
     path = layout.path(SILVER_EVENTS, EVENT_TABLE)
     checkpoint = layout.checkpoint(SILVER_EVENTS, EVENT_TABLE)
+    if listener:
+        listener.listen(own)
     return start_append(clean_events(bronze), path, checkpoint, layout.fmt, drain=drain)
 
 
-def follow_stream(spark: SparkSession, layout: Layout, layer: str, query: StreamingQuery, poll: float = 1.0) -> None:
-    """Wait for a stream and keep the progress of all its batches in a table of the layer."""
+def follow_stream(
+    spark: SparkSession, layout: Layout, layer: str, query: StreamingQuery, listener: BatchProgress
+) -> None:
+    """Wait for a stream and keep the progress of all its batches in a table of the layer.
+
+    ``listener`` is the one the stream was started with.
+    """
 
     def store(rows: list[tuple]) -> None:
         # One small file for many batches; never more rows than batches since the last flush.
         write_layer(spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1), layout, layer, PROGRESS, mode="append")
 
-    follow(query, store, poll)
+    follow(query, listener, store)
 
 
 def stream_status(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections import defaultdict, deque
 from collections.abc import Callable, Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from millrace.plans.contract import accept
 from millrace.plans.tables import SENSOR_EVENTS
@@ -136,46 +139,73 @@ PROGRESS_SCHEMA = (
 )
 
 
-def progress_rows(query: StreamingQuery, after: int) -> list[tuple]:
-    """What the query still knows of batches later than ``after``."""
-    return [
-        (
-            str(p.id),
-            str(p.runId),
-            p.batchId,
-            p.timestamp,
-            p.numInputRows,
-            sum(op.numRowsDroppedByWatermark for op in p.stateOperators),
-            p.eventTime.get("watermark"),
-        )
-        for p in query.recentProgress
-        if p.batchId > after
-    ]
+def progress_row(p: StreamingQueryProgress) -> tuple:
+    late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+    return (str(p.id), str(p.runId), p.batchId, p.timestamp, p.numInputRows, late, p.eventTime.get("watermark"))
+
+
+class BatchProgress(StreamingQueryListener):
+    """Hears of every batch of the streams of a session, from before they start; rows wait until they are taken."""
+
+    def __init__(self) -> None:
+        self._rows: dict[str, deque[tuple]] = defaultdict(deque)
+        self._ended: dict[str, Event] = defaultdict(Event)
+        self._streams = None
+
+    def listen(self, spark: SparkSession) -> None:
+        """Hear of the streams this session starts from now on."""
+        self._streams = spark.streams
+        self._streams.addListener(self)
+
+    def close(self) -> None:
+        if self._streams:
+            self._streams.removeListener(self)
+            self._streams = None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = progress_row(event.progress)
+        self._rows[row[1]].append(row)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def take(self, query: StreamingQuery) -> list[tuple]:
+        waiting = self._rows[str(query.runId)]
+        return [waiting.popleft() for _ in range(len(waiting))]
+
+    def heard_all(self, query: StreamingQuery, seconds: float = 60.0) -> bool:
+        """Wait until the end of a query was reported: its last batch was reported before."""
+        return self._ended[str(query.runId)].wait(seconds)
 
 
-def follow(query: StreamingQuery, store: Callable[[list[tuple]], None], poll: float = 1.0, flush: int = 50) -> None:
+def follow(
+    query: StreamingQuery, listener: BatchProgress, store: Callable[[list[tuple]], None], flush: int = 50
+) -> None:
     """Wait for a query to end and hand the progress of every batch to ``store``.
 
-    A query remembers its last 100 batches only (``spark.sql.streaming.numRecentProgressUpdates``), so it is asked
-    every ``poll`` seconds, and ``flush`` batches are stored at a time; the rest when the query ends, also by an
-    error. An interrupt stops the query in order first. Batches that passed unseen leave a gap in the stored
-    numbers, which ``stream_totals`` reports.
+    ``listener`` listened to the query's session before the query started, so it hears of each batch, however many
+    there are and however fast they come. ``flush`` batches are stored at a time; the rest when the query ends, also by
+    an error. An interrupt stops the query in order first.
     """
-    waiting, last = [], -1
+    waiting: list[tuple] = []
     try:
-        ended = False
-        while not ended:
-            ended = query.awaitTermination(poll)
-            new = progress_rows(query, last)
-            waiting += new
-            last = max([last, *(r[2] for r in new)])
+        while not query.awaitTermination(1.0):
+            waiting += listener.take(query)
             if len(waiting) >= flush:
                 store(waiting)
                 waiting = []
     finally:
         if query.isActive:
             query.stop()
-        waiting += progress_rows(query, last)
+        listener.heard_all(query)
+        listener.close()
+        waiting += listener.take(query)
         if waiting:
             store(waiting)
 
@@ -184,7 +214,7 @@ def stream_totals(progress: DataFrame) -> DataFrame:
     """One row over the stored progress of a stream's whole life, restarts included.
 
     A batch that was repeated after a restart counts once, by its latest attempt that saw rows. ``missing_batches``
-    is how many batch numbers were never stored.
+    is how many batch numbers were never stored, because a driver was lost before it could.
     """
     attempt = "max_by(struct(input_rows, late_rows, watermark), struct(input_rows > 0, batch_timestamp)) as b"
     batches = progress.groupBy("query_id", "batch_id").agg(F.expr(attempt))

@@ -589,6 +589,11 @@ def oracle_sql() -> dict[str, str]:
     statements["staged_publication"] = _staged_publication()
     statements["stored_insert_if_absent"] = statements["insert_if_absent"]
     statements["stream_quality"] = _stream_quality()
+    statements["stream_progress"] = _with(
+        ["records"],
+        "select 6::bigint as batches, 0::bigint as missing_batches, count(*) as input_rows, 0::bigint as late_rows"
+        " from records",
+    )
     newest = statements["latest_events"]
     statements["stream_report"] = newest.replace(
         "kafka_offset from bronze_sensor_events order",

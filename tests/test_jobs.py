@@ -10,7 +10,7 @@ import testbed
 from millrace.__main__ import arguments, run
 from millrace.plans import marts, pipeline
 from millrace.plans.tables import OPERATIONAL_TABLES
-from millrace.streaming.events import RECORD_SCHEMA
+from millrace.streaming.events import RECORD_SCHEMA, BatchProgress
 
 
 def test_jobs_name_what_they_miss(capsys):
@@ -46,8 +46,9 @@ def test_batch_keeps_rejected_rows_when_asked(spark, layout, monkeypatch):
 def test_streams(spark, layout):
     records(spark, [payload("a"), payload("a"), payload("b")]).write.parquet(layout.path("topic", "records"))
     source = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
-    bronze = pipeline.start_bronze_stream(source, layout, drain=True)
-    pipeline.follow_stream(spark, layout, pipeline.BRONZE_EVENTS, bronze)
+    listener = BatchProgress()
+    bronze = pipeline.start_bronze_stream(source, layout, drain=True, listener=listener)
+    pipeline.follow_stream(spark, layout, pipeline.BRONZE_EVENTS, bronze, listener)
     run(spark, arguments(["stream-silver", "--root", layout.root, "--drain"]))
     run(spark, arguments(["stream-status", "--root", layout.root]))
     total = pipeline.stream_status(spark, layout, pipeline.BRONZE_EVENTS).first()

@@ -95,7 +95,7 @@ def test_late_rows_restart_and_status(spark, layout):
     assert ids == ["a", "new", "over"]
     status = ev.stream_status(query)
     assert not status["active"] and status["error"] is None
-    seen = ev.progress_rows(query, -1)
+    seen = [ev.progress_row(p) for p in query.recentProgress]
     assert (sum(r[4] for r in seen), sum(r[5] for r in seen)) == (4, 2)
     drain(spark, layout)
     assert silver(spark, layout).count() == 3
@@ -127,31 +127,48 @@ def test_cleaning_works_on_a_batch_frame_too(spark):
 
 
 def test_totals_over_more_batches_than_a_query_remembers(spark, layout):
-    """130 batches of one file each; rows in the first ones are late. Only the last 100 are in recentProgress."""
+    """40 batches of one file each; rows in the first ones are late. Only the last 2 are in recentProgress."""
     # A batch's watermark holds from the batch after the next one on.
     files = [[payload("first", 7200)], [payload("second", 7250)]]
     files += [[payload("late1"), payload("late2")], [payload("late3"), payload("x", 7300)]]
-    files += [[payload(f"e{k}", 7300 + k)] for k in range(126)]
+    files += [[payload(f"e{k}", 7300 + k)] for k in range(36)]
     for k, values in enumerate(files):
         records(spark, values, 10 * k).coalesce(1).write.mode("append").parquet(layout.path("topic", "records"))
         if k < 4:
             time.sleep(1.1)  # files are taken in the order of their times
     own = spark.newSession()
     own.conf.set("spark.sql.shuffle.partitions", "1")
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    listener = ev.BatchProgress()
+    listener.listen(own)
     source = own.readStream.schema(ev.RECORD_SCHEMA).option("maxFilesPerTrigger", 1).parquet(layout.path("topic", "records"))
     clean = ev.clean_events(ev.bronze_events(source), salts=1)
     query = ev.start_append(clean, layout.path("silver", "t"), layout.checkpoint("silver", "t"), drain=True)
-    pipeline.follow_stream(spark, layout, "silver", query, poll=0.2)
+    pipeline.follow_stream(spark, layout, "silver", query, listener)
     (total,) = pipeline.stream_status(spark, layout, "silver").collect()
-    assert len(query.recentProgress) <= 100 < total.batches
-    assert (total.input_rows, total.late_rows, total.missing_batches) == (132, 3, 0)
+    assert len(query.recentProgress) <= 3 < 40 <= total.batches
+    assert (total.input_rows, total.late_rows, total.missing_batches) == (42, 3, 0)
+
+
+def test_each_of_many_batches_is_stored(spark, layout):
+    """More than 200 batches, as fast as they come, more than a query remembers."""
+    records(spark, [payload(f"e{k}", k) for k in range(840)]).repartition(210).write.parquet(layout.path("topic", "records"))
+    listener, flushes = ev.BatchProgress(), []
+    reader = spark.readStream.schema(ev.RECORD_SCHEMA).option("maxFilesPerTrigger", 1)
+    listener.listen(spark)
+    writer = ev.bronze_events(reader.parquet(layout.path("topic", "records"))).writeStream.format("noop")
+    query = writer.option("checkpointLocation", layout.checkpoint("bronze", "t")).trigger(availableNow=True).start()
+    ev.follow(query, listener, flushes.append)
+    stored = [row for rows in flushes for row in rows]
+    assert sorted(r[2] for r in stored) == list(range(210)) and sum(r[4] for r in stored) == 840
+    assert len(flushes) > 1 and len(query.recentProgress) <= 101
 
 
 def test_interrupt_stops_the_query_and_keeps_its_progress(spark, layout):
     put(spark, layout, [payload("a"), payload("b")])
     source = spark.readStream.schema(ev.RECORD_SCHEMA).parquet(layout.path("topic", "records"))
-    query = pipeline.start_bronze_stream(source, layout)
-    stored = []
+    listener, stored = ev.BatchProgress(), []
+    query = pipeline.start_bronze_stream(source, layout, listener=listener)
 
     class Interrupted:
         def __getattr__(self, name):
@@ -162,7 +179,7 @@ def test_interrupt_stops_the_query_and_keeps_its_progress(spark, layout):
             raise KeyboardInterrupt
 
     with pytest.raises(KeyboardInterrupt):
-        ev.follow(Interrupted(), stored.extend)
+        ev.follow(Interrupted(), listener, stored.extend)
     assert not query.isActive and sum(r[4] for r in stored) == 2
 
 
