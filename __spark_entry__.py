@@ -155,6 +155,36 @@ def stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.stream_quality(came, kept)
 
 
+def judged_drain(spark: SparkSession, sf_dir: str) -> tuple[Layout, int]:
+    """Records drained into Bronze and from there into the table of both verdicts; late rows of the second drain."""
+    layout, listener = Layout(scratch_folder(spark, "events")), BatchProgress()
+    write_layer(testbed.sensor_records(spark, sf_dir), layout, "topic", "records")
+    records = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    pipeline.start_bronze_stream(records, layout, drain=True).awaitTermination()
+    schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
+    query = pipeline.start_judged_stream(
+        spark, layout, schema, drain=True, state_partitions=STATE_PARTITIONS, listener=listener
+    )
+    pipeline.follow_stream(spark, layout, pipeline.JUDGED_EVENTS, query, listener)
+    return layout, pipeline.stream_status(spark, layout, pipeline.JUDGED_EVENTS).first()["late_rows"]
+
+
+def stream_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout, late = judged_drain(spark, sf_dir)
+    came, judged = (
+        read_layer(spark, layout, layer, pipeline.EVENT_TABLE)
+        for layer in (pipeline.BRONZE_EVENTS, pipeline.JUDGED_EVENTS)
+    )
+    return pipeline.stream_accounts(came, judged, late)
+
+
+def refused_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refused events of the stream with the rules they broke."""
+    layout, _ = judged_drain(spark, sf_dir)
+    rows = read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE).where("_verdict = 'refused'")
+    return rows.selectExpr("kafka_partition", "kafka_offset", "raw_value", "array_join(violations, ',') as violations")
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was stored of the batches of a drain, a file a batch."""
     layout, listener = Layout(scratch_folder(spark, "events")), BatchProgress()
@@ -406,6 +436,8 @@ def queries() -> dict[str, Query]:
         "stream_quality": stream_quality,
         "stream_report": stream_report,
         "stream_progress": stream_progress,
+        "stream_accounts": stream_accounts,
+        "refused_events": refused_events,
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
         "staged_publication": staged_publication,

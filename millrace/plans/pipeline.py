@@ -31,6 +31,7 @@ from millrace.sources.jdbc import JdbcConnection, JdbcSource, publish
 from millrace.session import prepare, together
 from millrace.sources.layers import (
     Layout,
+    overwrite_partitions,
     read_layer,
     read_layer_stream,
     require_stored,
@@ -45,7 +46,9 @@ from millrace.streaming.events import (
     bronze_events,
     clean_events,
     follow,
+    judged_events,
     start_append,
+    start_batches,
     stream_totals,
 )
 
@@ -56,6 +59,7 @@ BRONZE, SILVER, GOLD, QUARANTINE = "bronze", "silver", "gold", "quarantine"
 JUDGED = "judged"
 BRONZE_EVENTS = "bronze_streaming"
 SILVER_EVENTS = "silver_streaming"
+JUDGED_EVENTS = "judged_streaming"
 EVENT_TABLE = "sensor_readings"
 PROGRESS = "stream_progress"
 LATEST_EVENT_COLUMNS = (
@@ -329,6 +333,50 @@ def start_silver_stream(
     return start_append(clean_events(bronze), path, checkpoint, layout.fmt, drain=drain)
 
 
+def start_judged_stream(
+    spark: SparkSession,
+    layout: Layout,
+    schema=None,
+    drain: bool = False,
+    max_files: int | None = None,
+    state_partitions: int | None = None,
+    listener: BatchProgress | None = None,
+) -> StreamingQuery:
+    """Streaming Bronze into one table of accepted and refused events, written together by one query.
+
+    The table is partitioned by verdict, query and batch. A batch that is repeated after a failure overwrites its own
+    partitions, so nothing is stored twice, also by formats that know nothing of streams; a stream started anew, with
+    another checkpoint, has another query id and overwrites nothing of the old one's.
+    """
+    own = prepare(spark.newSession())
+    partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    bronze = read_layer_stream(own, layout, BRONZE_EVENTS, EVENT_TABLE, schema, max_files)
+    if listener:
+        listener.listen(own)
+    store = partial(store_judged, layout)
+    return start_batches(judged_events(bronze), store, layout.checkpoint(JUDGED_EVENTS, EVENT_TABLE), drain=drain)
+
+
+def store_judged(layout: Layout, rows: DataFrame, query: str, batch: int) -> None:
+    placed = rows.withColumns({"_query": F.lit(f"q-{query}"), "_batch": F.lit(batch)})
+    overwrite_partitions(placed, layout, JUDGED_EVENTS, EVENT_TABLE, ["_verdict", "_query", "_batch"])
+
+
+def stream_accounts(bronze: DataFrame, judged: DataFrame, late: int) -> DataFrame:
+    """Every Bronze event has one fate: accepted, refused, late, or dropped as a copy; rows = the sum of these.
+
+    ``judged`` is the stored table of both verdicts, ``late`` the late rows in the stream's stored progress.
+    """
+    valid = standardised(bronze, SENSOR_EVENTS).selectExpr(
+        "count(1) as rows", f"count_if({SENSOR_EVENTS.accepted()}) as valid"
+    )
+    fates = judged.selectExpr("count_if(_verdict = 'accepted') as accepted", "count_if(_verdict = 'refused') as refused")
+    # Two frames of one row each.
+    both = valid.withColumn("one", F.lit(1)).join(fates.withColumn("one", F.lit(1)), "one")
+    return both.selectExpr("rows", "accepted", "refused", f"{late}L as late", f"valid - accepted - {late}L as copies")
+
+
 def follow_stream(
     spark: SparkSession, layout: Layout, layer: str, query: StreamingQuery, listener: BatchProgress
 ) -> None:

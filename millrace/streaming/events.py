@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
-from millrace.plans.contract import accept
+from millrace.plans.contract import accept, standardised
 from millrace.plans.tables import SENSOR_EVENTS
 
 # Record layout of the event topic, payload of one event, lateness allowance, pace.
@@ -120,6 +120,36 @@ def clean_events(bronze: DataFrame, salts: int = 16) -> DataFrame:
     )
 
 
+def judged_events(bronze: DataFrame, salts: int = 16) -> DataFrame:
+    """Silver events and, beside them, the refused ones with the rules they broke; ``_verdict`` tells them apart.
+
+    Copies and late rows of valid events are dropped, as in :func:`clean_events`; nothing of the refused is. They carry
+    no state and no watermark, so what is wrong with them (a time in the far future) has no effect on the others.
+    """
+    accepted = clean_events(bronze, salts).selectExpr("*", "array() as violations", "'accepted' as _verdict")
+    tidy = standardised(bronze, SENSOR_EVENTS).where(f"not ({SENSOR_EVENTS.accepted()})")
+    refused = tidy.selectExpr("*", f"{SENSOR_EVENTS.violations()} as violations", "'refused' as _verdict")
+    return accepted.unionByName(refused, allowMissingColumns=True)
+
+
+def start_batches(
+    df: DataFrame,
+    store: Callable[[DataFrame, str, int], None],
+    checkpoint: str,
+    pace: str = PACE,
+    drain: bool = False,
+) -> StreamingQuery:
+    """Hand every micro-batch to ``store(rows, query id, batch id)``, which must take a repeated batch for the same."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store(rows, query, number)
+
+    writer = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=pace)
+    return writer.start()
+
+
 def start_append(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", pace: str = PACE, drain: bool = False
 ) -> StreamingQuery:

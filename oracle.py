@@ -542,6 +542,26 @@ def _stream_quality() -> str:
     return _with(["bronze_sensor_events", "silver_sensor_events"], _union(parts))
 
 
+def _stream_accounts() -> str:
+    valid = " and ".join(_ok(rule) for _, rule in EVENT_RULES)
+    return _with(
+        ["bronze_sensor_events", "silver_sensor_events"],
+        "select count(*) as rows, (select count(*) from silver_sensor_events) as accepted,"
+        f" count(*) filter (not ({valid})) as refused, 0::bigint as late,"
+        f" count(*) filter ({valid}) - (select count(*) from silver_sensor_events) as copies from bronze_sensor_events",
+    )
+
+
+def _refused_events() -> str:
+    broken = ", ".join(f"case when not {_ok(rule)} then '{label}' end" for label, rule in EVENT_RULES)
+    listed = f"array_to_string(list_filter([{broken}], lambda x: x is not null), ',')"
+    return _with(
+        ["bronze_sensor_events"],
+        f"select * from (select kafka_partition, kafka_offset, raw_value, {listed} as violations"
+        " from bronze_sensor_events) t where violations <> ''",
+    )
+
+
 def _insert_if_absent() -> str:
     return _with(
         ["silver_sensors", "bronze_alerts"],
@@ -594,6 +614,8 @@ def oracle_sql() -> dict[str, str]:
         "select 6::bigint as batches, 0::bigint as missing_batches, count(*) as input_rows, 0::bigint as late_rows"
         " from records",
     )
+    statements["stream_accounts"] = _stream_accounts()
+    statements["refused_events"] = _refused_events()
     newest = statements["latest_events"]
     statements["stream_report"] = newest.replace(
         "kafka_offset from bronze_sensor_events order",

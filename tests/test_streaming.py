@@ -189,3 +189,41 @@ def test_two_streams_do_not_share_their_settings(spark, layout):
     drain(spark, layout)
     after = dict(spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsparkSession.conf().getAll()))
     assert before == after
+
+
+def judged(spark, layout):
+    source = spark.readStream.schema(ev.RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    pipeline.start_bronze_stream(source, layout, drain=True).awaitTermination()
+    schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
+    listener = ev.BatchProgress()
+    query = pipeline.start_judged_stream(spark, layout, schema, drain=True, state_partitions=2, listener=listener)
+    pipeline.follow_stream(spark, layout, pipeline.JUDGED_EVENTS, query, listener)
+    return read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE), str(query.id)
+
+
+def test_every_event_has_one_fate(spark, layout):
+    first = [payload("a"), payload("a"), payload("new", 3600), payload("hot", value=9999), "not json", None]
+    # A refused event from the far future must not make the others late.
+    first += [payload("far", 10**8, value=9999)]
+    put(spark, layout, first)
+    judged(spark, layout)
+    put(spark, layout, [payload("late", 1), payload("a", 0), payload("b", 3500), payload("old", -10**6, value=9999)], 20)
+    table, query = judged(spark, layout)
+    rows = table.collect()
+    assert sorted(r.event_id for r in rows if r["_verdict"] == "accepted") == ["a", "b", "new"]
+    refused = {r.event_id: r.violations for r in rows if r["_verdict"] == "refused"}
+    assert refused["hot"] == refused["far"] == refused["old"] == ["cross:value_in_type_range"]
+    assert len(refused[None]) == 7 and sum(r["_verdict"] == "refused" for r in rows) == 5
+    assert {r["_query"] for r in rows} == {f"q-{query}"} and len({r["_batch"] for r in rows}) == 2
+    late = pipeline.stream_status(spark, layout, pipeline.JUDGED_EVENTS).first().late_rows
+    bronze = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)
+    accounts = pipeline.stream_accounts(bronze, table, late).first()
+    assert (accounts.rows, accounts.accepted, accounts.refused, accounts.late, accounts.copies) == (11, 3, 5, 2, 1)
+    # The same batch once more replaces itself; a batch of another query is beside it.
+    first = table.where("_batch = 0").drop("_query", "_batch")
+    again = spark.createDataFrame(first.collect(), first.schema)
+    assert not first.isEmpty()
+    pipeline.store_judged(layout, again, query, 0)
+    assert read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE).count() == len(rows)
+    pipeline.store_judged(layout, again, "other", 0)
+    assert read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE).count() == len(rows) + again.count()
