@@ -82,21 +82,43 @@ def rule_pattern(identifiers: tuple[str, ...]) -> str:
     return "," + "".join(f"(?:{i[:-1]},)?" if i.endswith("?") else f"{i}," for i in identifiers)
 
 
+# Ends of a unit; line breaks in it; those of them that are likely to be mere wrapping.
+END, BREAK, WRAP = "\x02", "\x01", "\x03"
+
+
+def units(text: Column) -> Column:
+    """A text in units: they end at blank lines and at stops followed by white space.
+
+    Signs that open a line of a comment are left out; the stop in "v. 2.0" ends nothing. Line breaks stay in the unit:
+    as ``WRAP`` before a small letter or a bracket, as ``BREAK`` elsewhere.
+    """
+    body = F.regexp_replace(text, r"\n[ \t\r#*/;-]*", "\n")
+    body = F.regexp_replace(body, r"\n\n+", END)
+    body = F.regexp_replace(body, r"\n([a-z(])", f"{WRAP}$1")
+    body = F.regexp_replace(F.lower(F.translate(body, "\n", BREAK)), r"\bv\.[ \x01\x03]+([0-9])", "v $1")
+    return F.split(F.regexp_replace(body, r"([.!?]+)[ \t\r\x01\x03]+", f"$1{END}"), END, -1)
+
+
 def identified(text: Column) -> Column:
     """The identifiers of the known sentences of a text, in their order.
 
-    A line break before a small letter is a wrapped line and no sentence end; any other ends a sentence, and so do
-    stops followed by white space.
+    A unit is a sentence if it is known as a whole, its lines read on. Otherwise it is taken apart, at semicolons, then
+    at line breaks, then at breaks that look like wrapping, each time only what is not known as it stands.
     """
-    body = F.regexp_replace(text, r"\n[ \t#*/;-]*([a-z(])", " $1")
-    body = F.lower(F.regexp_replace(body, r"([.!?;]+)[ \t\r]+", "$1\n"))
-    near = F.filter(F.split(body, "\n", -1), lambda s: _any(s))
-    plain = F.transform(
-        near,
-        lambda s: F.regexp_replace(F.regexp_replace(s, r"[^a-z0-9.-]+", " "), r"^[ .-]+|[ .-]+$", ""),
-    )
     known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    return F.filter(F.transform(plain, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+
+    def name(part: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(part, r"[^a-z0-9.-]+", " "), r"^[ .-]+|[ .-]+$", "")
+        return F.try_element_at(known, plain)
+
+    def names(part: Column, cuts: tuple[str, ...]) -> Column:
+        if not cuts:
+            return F.array(name(part))
+        apart = F.flatten(F.transform(F.split(part, cuts[0], -1), lambda p: names(p, cuts[1:])))
+        return F.when(name(part).isNotNull(), F.array(name(part))).otherwise(apart)
+
+    near = F.filter(units(text), _any)
+    return F.array_compact(F.flatten(F.transform(near, lambda u: names(u, (";", BREAK, WRAP)))))
 
 
 def _any(text: Column) -> Column:
@@ -135,7 +157,10 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def with_licenses(docs: DataFrame, column: str = "licenses") -> DataFrame:
-    """The documents with the licences found in their text in ``column``, replaced if it is there."""
+    """The documents with the licences found in their text in ``column``, replaced if it is there.
+
+    Null and empty texts have an empty list; empty tables give empty results.
+    """
     row = free_name(["doc_id", "text"], "row")
     packed = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias("doc_id"), quoted("text").alias("text"))
     found = scan(packed).select(F.col("doc_id").alias(row), "licenses")

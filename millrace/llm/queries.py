@@ -162,17 +162,30 @@ def op5_sql() -> str:
         )
         names.append((name, f"h{k}"))
     found = ", ".join(f"CASE WHEN {h} THEN {_quote(n)} END" for n, h in names)
+    # What is not known is taken apart: units, then at semicolons, breaks, wrapping.
+    parts = ", ".join(
+        rf"""part{k + 1} AS (
+  SELECT row_no, place, said, known.id FROM (
+    SELECT *, regexp_replace(regexp_replace(said, '[^a-z0-9.-]+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g') AS sentence
+    FROM (SELECT row_no, list_append(place, p) AS place, said[p] AS said
+          FROM (SELECT row_no, place, said, unnest(range(1, len(said) + 1)) AS p
+                FROM (SELECT row_no, place, string_split(said, {cut}) AS said FROM part{k} WHERE id IS NULL)))
+  ) LEFT JOIN known USING (sentence)
+)"""
+        for k, cut in enumerate(("chr(2)", "';'", "chr(1)", "chr(3)"))
+    )
     return rf"""
 WITH known(sentence, id) AS (VALUES {known}),
 cut AS (
-  SELECT doc_id, row_number() OVER () AS row_no, string_split(lower(regexp_replace(regexp_replace(coalesce(text, ''),
-    '\n[ \t#*/;-]*([a-z(])', ' \1', 'g'), '([.!?;]+)[ \t\r]+', '\1' || chr(10), 'g')), chr(10)) AS parts
+  SELECT doc_id, row_number() OVER () AS row_no, regexp_replace(regexp_replace(lower(replace(regexp_replace(regexp_replace(
+    regexp_replace(coalesce(text, ''), '\n[ \t\r#*/;-]*', chr(10), 'g'), '\n\n+', chr(2), 'g'), '\n([a-z(])', chr(3) || '\1', 'g'),
+    chr(10), chr(1))), '\bv\.[ \x01\x03]+([0-9])', 'v \1', 'g'), '([.!?]+)[ \t\r\x01\x03]+', '\1' || chr(2), 'g') AS body
   FROM documents
-), said AS (
-  SELECT row_no, place, regexp_replace(regexp_replace(parts[place], '[^a-z0-9.-]+', ' ', 'g'), '^[ .-]+|[ .-]+$', '', 'g') AS sentence
-  FROM (SELECT row_no, parts, unnest(range(1, len(parts) + 1)) AS place FROM cut)
-), ids AS (
-  SELECT row_no, string_agg(id, ',' ORDER BY place) AS sentences FROM said JOIN known USING (sentence) GROUP BY row_no
+), part0 AS (SELECT row_no, [] AS place, body AS said, CAST(NULL AS VARCHAR) AS id FROM cut),
+{parts},
+ids AS (
+  SELECT row_no, string_agg(id, ',' ORDER BY place) AS sentences
+  FROM ({" UNION ALL ".join(f"SELECT row_no, place, id FROM part{k}" for k in range(1, 5))}) WHERE id IS NOT NULL GROUP BY row_no
 ), r0 AS (
   SELECT doc_id, coalesce(sentences, '') AS sentences, ',' || coalesce(sentences, '') || ',' AS s
   FROM cut LEFT JOIN ids USING (row_no)
