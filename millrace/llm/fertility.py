@@ -32,6 +32,9 @@ LEAST_DOCUMENTS = 200  # of a group, for its own band
 LEAST_OF_SIZE = 20  # documents that show what is usual at a size
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 LEAST_ROOM = {"chars_per_token": 0.05, "byte_share": 0.02, "entropy": 0.05}  # beyond the quartiles, at least
+# For tables with fewer documents than a band needs: what no text of any language should leave.
+PRIOR = {"chars_per_token": (0.5, 20.0), "byte_share": (0.0, 0.5), "entropy": (0.5, 24.0)}
+FEW_BANDS = 100_000  # rows of the bands that are handed to all tasks: ten megabytes
 FEW_BYTES = 8  # byte tokens that never count against a text: two signs of up to four bytes
 SYMBOLS = "#*$%&|<>"
 # First code points of blocks by script, for texts without a language.
@@ -206,7 +209,7 @@ def bands(measured: DataFrame, names: list[str], width: float, least_documents:
     """``grp, script, size`` and bounds ``lo_*``, ``hi_*`` from the quartiles of all documents of a group.
 
     A group of too few documents takes those of its language at all sizes, its script, or all documents, whichever
-    is the first with enough; there, measures count from the median of all documents of their size, and the range is
+    is the first with enough, or else PRIOR; there, measures count from the median of all documents of their size, and the range is
     that of the size inside languages if it is wider. A measure that hardly varies in a group gets some room: a
     hundredth of its median and LEAST_ROOM at least.
     """
@@ -233,7 +236,9 @@ def bands(measured: DataFrame, names: list[str], width: float, least_documents:
         low, middle, high, spread = (F.coalesce(*side) for side in (low, middle, high, spread))
         least = LEAST_ROOM[n.rpartition("_")[0]]
         room = F.greatest(width * F.greatest(spread, F.abs(middle) / 100), F.lit(least))
-        out += [(low - room).alias(f"lo_{n}"), (high + room).alias(f"hi_{n}")]
+        lowest, highest = PRIOR[n.rpartition("_")[0]]
+        out.append(F.coalesce(low - room, F.lit(lowest)).alias(f"lo_{n}"))
+        out.append(F.coalesce(high + room, F.lit(highest)).alias(f"hi_{n}"))
     return found.select(*out)
 
 
@@ -248,14 +253,17 @@ def judge(
     The base rules reject texts of fewer than LEAST_WORDS words, or with more than MOST_REPEATED per cent of
     them in repeated windows. ``kept`` is false for these, and for texts with a measure outside its band (of
     the bytes of unknown characters, FEW_BYTES are always allowed). Groups of
-    fewer than ``least_documents`` documents fall back to larger ones; only a table that has fewer in all has no
-    bands. Null and empty texts have no words
+    fewer than ``least_documents`` documents fall back to larger ones, in the end to the fixed bands of PRIOR. Null and empty texts have no words
     and fail. A null language is replaced by the text's script. Repeated rows are answered each, an empty table
     gives an empty result, columns other than doc_id, text and lang are not looked at.
     """
     measured = checkpointed(measures(docs, vocabularies))
     names = [f"{m}_{k}" for k in range(len(vocabularies)) for m in MEASURES]
-    judged = measured.join(bands(measured, names, width, least_documents), ["grp", "script", "size"], "left")
+    known = checkpointed(bands(measured, names, width, least_documents))
+    # A language may hold most documents: where the bands are few, no document is moved to meet its own.
+    if known.limit(FEW_BANDS + 1).count() <= FEW_BANDS:
+        known = F.broadcast(known)
+    judged = measured.join(known, ["grp", "script", "size"], "left")
     inside = F.lit(True)
     for n in names:
         fits = F.coalesce(F.col(n).between(F.col(f"lo_{n}"), F.col(f"hi_{n}")), F.lit(True))

@@ -91,3 +91,13 @@ def test_edge_cases(spark):
     assert kept.dtypes == docs.dtypes and kept.count() == sum(r["kept"] for r in rows)
     assert fertility.judge(no_docs(spark)).collect() == []
     assert fertility.judge(docs.drop("lang")).count() == docs.count()
+
+
+@pytest.mark.parametrize("few_bands", [100_000, 0])
+def test_a_table_of_few_documents_is_judged_by_the_prior_bands(spark, monkeypatch, few_bands):
+    monkeypatch.setattr(fertility, "FEW_BANDS", few_bands)
+    strange = " ".join(chr(0x12000 + k) * 3 for k in range(40))
+    rows = [(1, prose(1, 80), "en"), (2, strange, "en"), (3, prose(3, 60), None), (4, "a b c", "en"), (5, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in fertility.judge(docs).collect()}
+    assert got == {1: (False, True), 2: (False, False), 3: (False, True), 4: (True, False), 5: (True, False)}
