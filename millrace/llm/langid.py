@@ -158,13 +158,19 @@ class Model:
     families: Node | None
     within: dict[str, Node]
 
+    def __post_init__(self) -> None:
+        # Slots of n-grams that some SVM has learnt of; without SVMs every n-gram counts as known.
+        nodes = [n for n in (self.families, *self.within.values()) if n and n.weights.size]
+        self.known = np.any([np.any(n.weights != 0, axis=0) for n in nodes], axis=0) if nodes else np.ones(SLOTS, bool)
+
     def predict(self, text: str | None) -> tuple[str, float]:
+        """Language and score: the probabilities of both steps, times the share of the text's n-grams that are known."""
         own = slots(text)
         if not len(own) or self.families is None:
             return UNKNOWN, 0.0
         family, p = self.families.decide(own)
         language, q = self.within[family].decide(own)
-        return language, p * q
+        return language, p * q * float(self.known[own].mean())
 
     def column(self, text: Column) -> Column:
         """A struct of ``lang_pred`` and ``score``."""
@@ -235,6 +241,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def least_score(labelled: DataFrame, model: Model, share: float, most: float) -> float:
+    """A bound for ``keep_identified``: all but ``share`` of the rows that were told right reach it; ``most`` at most.
+
+    For rows that the model has not seen; their ``lang`` is the truth. Without any the bound is ``most``.
+    """
+    rows = labelled.select(quoted("lang").cast("string").alias("lang"), model.column(quoted("text")).alias("p"))
+    right = rows.where("lang = p.lang_pred").agg(F.percentile_approx("p.score", share, 100_000)).first()[0]
+    return most if right is None else min(right, most)
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` of each row, from its text alone.
 

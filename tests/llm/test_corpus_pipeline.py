@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 import corpus_pipeline as cp
@@ -5,7 +7,7 @@ import __spark_entry__ as entry
 from millrace.llm.decontaminate import matches
 from millrace.llm.simhash import simhash_groups
 
-from cases import SMALL, edge_docs
+from cases import SMALL, TINY, edge_docs
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +31,7 @@ def test_columns_of_documents(stages):
 
 def test_decisions_take_effect(spark, stages):
     (docs, identified), (_, lines), (_, single), (_, clean), (_, mixed) = stages
-    assert identified.count() == docs.count() == lines.count()
+    assert 0.995 * docs.count() <= identified.count() == lines.count() <= docs.count()
     groups = {r["component_id"] for r in simhash_groups(lines).collect()}
     assert {r["doc_id"] for r in single.select("doc_id").collect()} == groups and single.count() == len(groups) < lines.count()
     leaks = {r["doc_id"] for r in matches(single, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
@@ -37,6 +39,23 @@ def test_decisions_take_effect(spark, stages):
     assert mixed.groupBy("doc_id").count().where("count > 2").isEmpty()
 
 
+def test_texts_without_a_learnt_language_go(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    rng = random.Random(7)
+    noise = ["".join(rng.choices("bcdfghjklmnpqrstvwxz ", k=400)) for _ in range(30)]
+    other = [
+        "съешь ещё этих мягких французских булок да выпей чаю " * 5,
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+        "1234 5678 !!",
+    ]
+    rows = [(10**6 + k, text) for k, text in enumerate(noise + other)]
+    junk = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = cp.language_id(spark, docs.unionByName(junk, allowMissingColumns=True), TINY)
+    assert kept.where("doc_id >= 1000000").isEmpty()
+    assert kept.count() >= 0.998 * docs.count()
+
+
 def test_run_equals_the_stages(spark, stages):
     rows = lambda df: sorted((r["doc_id"], r["copy"], r["text"]) for r in df.collect())
     assert rows(entry.queries()["pipeline"](spark, SMALL)) == rows(stages[-1][1])
