@@ -18,14 +18,20 @@ from millrace.llm.simhash import keep_one
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-# The product of two probabilities, of family and language: even odds in both steps.
-LEAST_LANGUAGE_SCORE = 0.25
+# A text of a learnt language reaches the score: all but one in a thousand do, or the bound is even odds.
+LOST_TEXTS, EVEN_ODDS = 0.001, 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: no letter in them, or a guess no better than chance."""
-    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
-    return langid.keep_identified(docs, model, LEAST_LANGUAGE_SCORE)
+    """Documents without a language go: no letter in them, or a score below what texts of a learnt language reach.
+
+    The bound is taken from the documents the model has not learnt from. Noise and unlearnt languages stay below
+    it, for their n-grams are unknown; code that is mostly English words may reach it.
+    """
+    kept_back = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~kept_back))
+    bound = langid.least_score(docs.where(kept_back), model, LOST_TEXTS, EVEN_ODDS)
+    return langid.keep_identified(docs, model, bound)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
