@@ -26,6 +26,7 @@ from millrace.sources import layers
 from millrace.sources.bucketed import read_bucketed, write_bucketed
 from millrace.sources.layers import Layout, read_layer, write_checked, write_layer
 from millrace.sources.staging import publish_checked
+from millrace.streaming import events
 from millrace.streaming.events import RECORD_SCHEMA, BatchProgress, bronze_events
 
 ENTRY_DIR = "/root/testdata/sf0.001"
@@ -206,6 +207,25 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.selectExpr("*", f"{rows}L as total_rows")
 
 
+def newest_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest events of a streaming Bronze table by day of arrival, read from its newest days."""
+    layout = Layout(scratch_folder(spark, "events"))
+    write_layer(testbed.sensor_records(spark, sf_dir), layout, "topic", "records")
+    records = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    pipeline.start_bronze_stream(records, layout, drain=True, by_day=True).awaitTermination()
+    return pipeline.newest_stored(spark, layout)
+
+
+def stream_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and nulls of the event stream by the counts its batches carried, without a look at the stored events."""
+    layout, listener = Layout(scratch_folder(spark, "events")), BatchProgress()
+    write_layer(testbed.sensor_records(spark, sf_dir).repartition(BATCHES), layout, "topic", "records")
+    reader = spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", 1)
+    query = pipeline.start_bronze_stream(reader.parquet(layout.path("topic", "records")), layout, True, listener)
+    pipeline.follow_stream(spark, layout, pipeline.BRONZE_EVENTS, query, listener)
+    return events.stream_completeness(read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.PROGRESS))
+
+
 def _per_table(report: Callable[[DataFrame, str, str, str, tuple[str, ...]], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reports = []
@@ -436,6 +456,8 @@ def queries() -> dict[str, Query]:
         "stream_quality": stream_quality,
         "stream_report": stream_report,
         "stream_progress": stream_progress,
+        "stream_completeness": stream_completeness,
+        "newest_by_day": newest_by_day,
         "stream_accounts": stream_accounts,
         "refused_events": refused_events,
         "layer_round_trip": layer_round_trip,

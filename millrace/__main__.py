@@ -45,6 +45,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-files", type=int, help="files per micro-batch from the streaming Bronze table")
     parser.add_argument("--state-partitions", type=int, help="partitions of the dedup state, fixed by the first start")
     parser.add_argument("--drain", action="store_true", help="work off what is there and stop")
+    parser.add_argument("--by-day", action="store_true", help="partition streaming Bronze by day of arrival")
     found = parser.parse_args(argv)
     needed = ["jdbc_url", "user", "connections"] if found.job in STORE_JOBS else []
     needed += ["servers", "topic"] if found.job == "stream-bronze" else []
@@ -87,7 +88,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
     if args.job == "stream-bronze":
         limits = {"records_per_task": args.records_per_task, "fail_on_data_loss": args.fail_on_data_loss}
         topic = read_kafka(spark, args.servers, args.topic, args.max_offsets, **limits)
-        query = pipeline.start_bronze_stream(topic, layout, args.drain, listener)
+        query = pipeline.start_bronze_stream(topic, layout, args.drain, listener, args.by_day)
     else:
         bronze = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE)
         query = pipeline.start_silver_stream(

@@ -39,14 +39,17 @@ from millrace.sources.layers import (
     write_counted,
     write_layer,
 )
-from millrace.sources.staging import require_volume, staged
+from millrace.sources.staging import Folders, require_volume, staged
 from millrace.streaming.events import (
+    ARRIVAL_DAY,
     PROGRESS_SCHEMA,
     BatchProgress,
     bronze_events,
+    by_arrival_day,
     clean_events,
     follow,
     judged_events,
+    observed,
     start_append,
     start_batches,
     stream_totals,
@@ -298,14 +301,25 @@ def run_batch(
 
 
 def start_bronze_stream(
-    records: DataFrame, layout: Layout, drain: bool = False, listener: BatchProgress | None = None
+    records: DataFrame,
+    layout: Layout,
+    drain: bool = False,
+    listener: BatchProgress | None = None,
+    by_day: bool = False,
 ) -> StreamingQuery:
-    """Sensor records (Kafka or record-shaped) into the streaming Bronze table."""
+    """Sensor records (Kafka or record-shaped) into the streaming Bronze table.
+
+    ``by_day`` partitions the table by day of arrival, so that its newest events are found without its history. It
+    holds for the whole life of a table.
+    """
     if listener:
         listener.listen(records.sparkSession)
     path = layout.path(BRONZE_EVENTS, EVENT_TABLE)
     checkpoint = layout.checkpoint(BRONZE_EVENTS, EVENT_TABLE)
-    return start_append(bronze_events(records), path, checkpoint, layout.fmt, drain=drain)
+    rows = observed(bronze_events(records))
+    if not by_day:
+        return start_append(rows, path, checkpoint, layout.fmt, drain=drain)
+    return start_append(by_arrival_day(rows), path, checkpoint, layout.fmt, drain=drain, partitions=[ARRIVAL_DAY])
 
 
 def start_silver_stream(
@@ -418,11 +432,34 @@ def latest_events(bronze: DataFrame, n: int = 10) -> DataFrame:
     return latest(bronze, "kafka_timestamp", n, LATEST_EVENT_COLUMNS, ties)
 
 
+def newest_stored(spark: SparkSession, layout: Layout, n: int = 10) -> DataFrame:
+    """``latest_events`` of a Bronze table by day of arrival, from as few of the newest days as hold ``n`` events.
+
+    Days are read off the table's folder, newest first, and taken twice as many at a time until they hold enough;
+    any event of an earlier day is older than these. Events without a time of arrival are the oldest: they, and so
+    the whole table, are looked at only when all days together hold fewer than ``n``.
+    """
+    bronze = read_layer(spark, layout, BRONZE_EVENTS, EVENT_TABLE)
+    folders = Folders(spark, layout.root).names(layout.path(BRONZE_EVENTS, EVENT_TABLE))
+    days = [day for key, _, day in (f.partition("=") for f in folders) if key == ARRIVAL_DAY and day[:1].isdigit()]
+    days.sort(reverse=True)
+    taken = 1
+    while days:
+        recent = bronze.where(F.col(ARRIVAL_DAY) >= F.to_date(F.lit(days[min(taken, len(days)) - 1])))
+        if len(recent.select(F.lit(1)).take(n)) == n:
+            return latest_events(recent, n)
+        if taken >= len(days):
+            break
+        taken *= 2
+    return latest_events(bronze, n)
+
+
 def stream_report(spark: SparkSession, layout: Layout) -> tuple[int, DataFrame]:
     """Row count and newest events of the streaming Bronze table, which must not be empty."""
     bronze = read_layer(spark, layout, BRONZE_EVENTS, EVENT_TABLE)
     require_rows(bronze, EVENT_TABLE)
-    return bronze.count(), latest_events(bronze)
+    newest = newest_stored(spark, layout) if ARRIVAL_DAY in bronze.columns else latest_events(bronze)
+    return bronze.count(), newest
 
 
 def _write_gold(spark: SparkSession, frames: Mapping[str, DataFrame], layout: Layout) -> dict[str, int]:

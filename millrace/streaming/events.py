@@ -41,6 +41,8 @@ LATENESS = "10 minutes"
 PACE = "5 seconds"
 
 EVENT_KEY = ("event_id", "event_timestamp")
+ARRIVAL_DAY = "arrival_day"
+COMPLETENESS = "completeness"  # name of the metrics that travel with a batch's progress
 
 
 def kafka_options(
@@ -95,6 +97,19 @@ def bronze_events(records: DataFrame) -> DataFrame:
     return parse_events(decode_envelope(records)).withColumn("_ingestion_timestamp", F.current_timestamp())
 
 
+def by_arrival_day(bronze: DataFrame) -> DataFrame:
+    """With the day a record reached the topic, in UTC whatever the session's zone, so days never run against times."""
+    day = f"date_from_unix_date(int(floor(unix_seconds(kafka_timestamp) / 86400))) as {ARRIVAL_DAY}"
+    return bronze.selectExpr("*", day)
+
+
+def observed(bronze: DataFrame) -> DataFrame:
+    """The same rows; how many a batch has, and its nulls in each payload field, are counted in passing."""
+    fields = ["raw_value", *EVENT_SCHEMA.fieldNames()]
+    nulls = (F.expr(f"count_if({c} is null) as {c}") for c in fields)
+    return bronze.observe(COMPLETENESS, F.expr("count(1) as rows"), *nulls)
+
+
 def dedupe_stream(
     events: DataFrame, keys: Sequence[str], time: str, delay: str, salts: int = 1, salt_on: str | None = None
 ) -> DataFrame:
@@ -151,7 +166,13 @@ def start_batches(
 
 
 def start_append(
-    df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", pace: str = PACE, drain: bool = False
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    fmt: str = "parquet",
+    pace: str = PACE,
+    drain: bool = False,
+    partitions: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to a table, resuming from ``checkpoint`` with every row written once.
 
@@ -159,19 +180,22 @@ def start_append(
     one file a partition and batch: at a short pace use a table format that compacts.
     """
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.partitionBy(*partitions) if partitions else writer
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=pace)
     return writer.start(path)
 
 
 PROGRESS_SCHEMA = (
     "query_id string, run_id string, batch_id long, batch_timestamp string, input_rows long, late_rows long,"
-    " watermark string"
+    " watermark string, counted map<string, long>"
 )
 
 
 def progress_row(p: StreamingQueryProgress) -> tuple:
     late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
-    return (str(p.id), str(p.runId), p.batchId, p.timestamp, p.numInputRows, late, p.eventTime.get("watermark"))
+    seen = p.observedMetrics.get(COMPLETENESS)
+    place = (str(p.id), str(p.runId), p.batchId, p.timestamp)
+    return (*place, p.numInputRows, late, p.eventTime.get("watermark"), seen.asDict() if seen else None)
 
 
 class BatchProgress(StreamingQueryListener):
@@ -257,6 +281,17 @@ def stream_totals(progress: DataFrame) -> DataFrame:
     )
 
 
+def stream_completeness(progress: DataFrame) -> DataFrame:
+    """Nulls by payload field, and ``rows``, over the stored progress of a stream's whole life: ``what, n``.
+
+    Nothing of the events is read. A repeated batch counts once, as in :func:`stream_totals`; batches of streams
+    that count nothing add nothing.
+    """
+    attempt = "max_by(counted, struct(input_rows > 0, batch_timestamp)) as counted"
+    batches = progress.where("counted is not null").groupBy("query_id", "batch_id").agg(F.expr(attempt))
+    return batches.selectExpr("explode(counted) as (what, n)").groupBy("what").agg(F.expr("sum(n) as n"))
+
+
 def stream_status(query: StreamingQuery) -> dict[str, object]:
     """State of a running query; its totals are in the stored progress."""
     error = query.exception()

@@ -562,6 +562,13 @@ def _refused_events() -> str:
     )
 
 
+def _stream_completeness() -> str:
+    fields = "raw_value event_id sensor_id machine_id sensor_type value unit event_timestamp".split()
+    parts = ["select 'rows' as what, count(*) as n from bronze_sensor_events"]
+    parts += [f"select '{c}' as what, count(*) filter ({c} is null) as n from bronze_sensor_events" for c in fields]
+    return _with(["bronze_sensor_events"], _union(parts))
+
+
 def _insert_if_absent() -> str:
     return _with(
         ["silver_sensors", "bronze_alerts"],
@@ -617,6 +624,8 @@ def oracle_sql() -> dict[str, str]:
     statements["stream_accounts"] = _stream_accounts()
     statements["refused_events"] = _refused_events()
     newest = statements["latest_events"]
+    statements["newest_by_day"] = newest
+    statements["stream_completeness"] = _stream_completeness()
     statements["stream_report"] = newest.replace(
         "kafka_offset from bronze_sensor_events order",
         "kafka_offset, (select count(*) from bronze_sensor_events) as total_rows from bronze_sensor_events order",

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from millrace.plans import pipeline
-from millrace.sources.layers import read_layer
+from millrace.sources.layers import Layout, read_layer
 from millrace.streaming import events as ev
 
 T0 = datetime(2024, 5, 1, 12, 0, 0)
@@ -227,3 +227,69 @@ def test_every_event_has_one_fate(spark, layout):
     assert read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE).count() == len(rows)
     pipeline.store_judged(layout, again, "other", 0)
     assert read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE).count() == len(rows) + again.count()
+
+
+def arrivals(spark, days):
+    """Records that arrived on the given days of May 2024 (None: no time), by offset."""
+    rows = [
+        (b"1", payload(f"e{k}").encode(), "t", 0, k, None if d is None else datetime(2024, 5, d, 10) + timedelta(seconds=k // 2))
+        for k, d in enumerate(days)
+    ]
+    return spark.createDataFrame(rows, ev.RECORD_SCHEMA)
+
+
+def by_day_table(spark, tmp_path, days):
+    layout = Layout(str(tmp_path))
+    arrivals(spark, days).write.parquet(layout.path("topic", "records"))
+    source = spark.readStream.schema(ev.RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+    pipeline.start_bronze_stream(source, layout, drain=True, by_day=True).awaitTermination()
+    return layout
+
+
+@pytest.mark.parametrize(
+    "days, read",
+    [
+        ([1] * 30 + [2] * 30 + [3] * 30, "2024-05-03"),  # the newest day is enough
+        ([1] * 30 + [2] * 30 + [3] * 4, "2024-05-02"),  # two days are
+        ([9, 8, 7, 6, 5, 4, 3, 2, 2, 2, 2, 1], "2024-05-02"),  # eight days, taken in steps
+        ([None] * 20 + [4] * 3, None),  # no time: oldest
+        ([5, 5], None),  # fewer than asked for
+    ],
+)
+def test_newest_events_come_from_the_newest_days(spark, tmp_path, days, read):
+    layout = by_day_table(spark, tmp_path, days)
+    found = pipeline.newest_stored(spark, layout)
+    whole = pipeline.latest_events(read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE))
+    assert found.collect() == whole.collect() and found.count() == min(10, len(days))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert (f"arrival_day#" in plan and f">= {read}" in plan) if read else ">= " not in plan
+    rows, newest = pipeline.stream_report(spark, layout)
+    assert rows == len(days) and newest.collect() == whole.collect()
+
+
+def test_arrival_day_does_not_hang_on_the_zone(spark):
+    rows = spark.sql("select timestamp'2024-05-01 23:30:00Z' as kafka_timestamp union all select null")
+    days = lambda: {str(r.arrival_day) for r in ev.by_arrival_day(rows).collect()}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for own in ("UTC", "Asia/Tokyo", "America/Lima"):
+            spark.conf.set("spark.sql.session.timeZone", own)
+            assert days() == {"2024-05-01", "None"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_completeness_counts_a_repeated_batch_once(spark):
+    def row(batch, at, n, counted):
+        return ("q", "r", batch, at, n, 0, None, counted)
+
+    rows = [
+        row(0, "2024-05-01T00:00:00Z", 3, {"rows": 3, "unit": 1}),
+        row(1, "2024-05-01T00:00:05Z", 2, {"rows": 2, "unit": 2}),
+        row(1, "2024-05-01T00:01:00Z", 2, {"rows": 2, "unit": 2}),
+        row(2, "2024-05-01T00:01:05Z", 0, {"rows": 0, "unit": 0}),
+        row(3, "2024-05-01T00:01:10Z", 4, None),
+    ]
+    found = ev.stream_completeness(spark.createDataFrame(rows, ev.PROGRESS_SCHEMA))
+    assert {r.what: r.n for r in found.collect()} == {"rows": 5, "unit": 3}
+    assert ev.stream_completeness(spark.createDataFrame([], ev.PROGRESS_SCHEMA)).collect() == []
