@@ -186,6 +186,32 @@ def refused_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("kafka_partition", "kafka_offset", "raw_value", "array_join(violations, ',') as violations")
 
 
+def late_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The judged table after two drains; the second brings records of all times, most behind the watermark by then."""
+    layout = Layout(scratch_folder(spark, "events"))
+    whole = testbed.sensor_records(spark, sf_dir)
+    for arrived in ("offset % 10 < 8", "offset % 10 >= 8"):
+        write_layer(whole.where(arrived), layout, "topic", "records", mode="append")
+        records = spark.readStream.schema(RECORD_SCHEMA).parquet(layout.path("topic", "records"))
+        pipeline.start_bronze_stream(records, layout, drain=True).awaitTermination()
+        schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
+        pipeline.start_judged_stream(
+            spark, layout, schema, drain=True, state_partitions=STATE_PARTITIONS, keep_late=True
+        ).awaitTermination()
+    return read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE)
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event that came behind the watermark, and whether it was lost or a copy of an accepted one."""
+    fates = pipeline.late_fates(late_drain(spark, sf_dir))
+    return fates.select("kafka_partition", "kafka_offset", "event_id", "event_timestamp", "sensor_type", "value", "fate")
+
+
+def late_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lost events by key, with the number of their records and when these arrived."""
+    return pipeline.late_keys(late_drain(spark, sf_dir))
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was stored of the batches of a drain, a file a batch."""
     layout, listener = Layout(scratch_folder(spark, "events")), BatchProgress()
@@ -460,6 +486,8 @@ def queries() -> dict[str, Query]:
         "newest_by_day": newest_by_day,
         "stream_accounts": stream_accounts,
         "refused_events": refused_events,
+        "late_events": late_events,
+        "late_keys": late_keys,
         "layer_round_trip": layer_round_trip,
         "batch_pipeline": batch_pipeline,
         "staged_publication": staged_publication,

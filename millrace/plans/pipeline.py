@@ -41,6 +41,7 @@ from millrace.sources.layers import (
 )
 from millrace.sources.staging import Folders, require_volume, staged
 from millrace.streaming.events import (
+    EVENT_KEY,
     ARRIVAL_DAY,
     PROGRESS_SCHEMA,
     BatchProgress,
@@ -355,12 +356,14 @@ def start_judged_stream(
     max_files: int | None = None,
     state_partitions: int | None = None,
     listener: BatchProgress | None = None,
+    keep_late: bool = False,
 ) -> StreamingQuery:
     """Streaming Bronze into one table of accepted and refused events, written together by one query.
 
     The table is partitioned by verdict, query and batch. A batch that is repeated after a failure overwrites its own
     partitions, so nothing is stored twice, also by formats that know nothing of streams; a stream started anew, with
-    another checkpoint, has another query id and overwrites nothing of the old one's.
+    another checkpoint, has another query id and overwrites nothing of the old one's. With ``keep_late`` the events that
+    come behind the watermark are stored too, see :func:`late_fates`; it holds for the whole life of a stream.
     """
     own = prepare(spark.newSession())
     partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -369,7 +372,8 @@ def start_judged_stream(
     if listener:
         listener.listen(own)
     store = partial(store_judged, layout)
-    return start_batches(judged_events(bronze), store, layout.checkpoint(JUDGED_EVENTS, EVENT_TABLE), drain=drain)
+    judged = judged_events(bronze, keep_late=keep_late)
+    return start_batches(judged, store, layout.checkpoint(JUDGED_EVENTS, EVENT_TABLE), drain=drain)
 
 
 def store_judged(layout: Layout, rows: DataFrame, query: str, batch: int) -> None:
@@ -391,6 +395,38 @@ def stream_accounts(bronze: DataFrame, judged: DataFrame, late: int) -> DataFram
     return both.selectExpr("rows", "accepted", "refused", f"{late}L as late", f"valid - accepted - {late}L as copies")
 
 
+def late_fates(judged: DataFrame) -> DataFrame:
+    """The late events of a judged table with their ``fate``: ``lost``, or ``copy`` of an event that was accepted.
+
+    A late row that was accepted itself (it came in the batch that moved the watermark past it) is none of both and left
+    out. With the accepted, the refused and the lost rows, whatever else came is a copy: no progress is needed. A
+    record that Bronze holds twice has one answer.
+    """
+    late = judged.where("_verdict = 'late'").drop("_verdict", "_query", "_batch", "violations")
+    record = ["kafka_topic", "kafka_partition", "kafka_offset"]
+    at = ", ".join(record)
+    accepted = judged.where("_verdict = 'accepted'").select(*EVENT_KEY, F.expr(f"struct({at}) as _accepted"))
+    # Few keys are late: the semi join can send these to the accepted rows, the outer join that follows can not.
+    accepted = accepted.join(late.select(*EVENT_KEY).distinct(), list(EVENT_KEY), "left_semi")
+    met = late.join(accepted, list(EVENT_KEY), "left")
+    # A replaced stream may have accepted an event once more: one answer a record.
+    fates = met.groupBy(*(F.col(c) for c in late.columns)).agg(
+        F.expr(f"coalesce(bool_or(_accepted <=> struct({at})), false) as _itself"),
+        F.expr("if(count(_accepted) = 0, 'lost', 'copy') as fate"),
+    )
+    return fates.where("not _itself").drop("_itself")
+
+
+def late_keys(judged: DataFrame) -> DataFrame:
+    """How many records of each lost event came, and the first and last of their arrivals."""
+    lost = late_fates(judged).where("fate = 'lost'")
+    return lost.groupBy(*EVENT_KEY).agg(
+        F.expr("count(1) as records"),
+        F.expr("min(kafka_timestamp) as first_arrival"),
+        F.expr("max(kafka_timestamp) as last_arrival"),
+    )
+
+
 def follow_stream(
     spark: SparkSession, layout: Layout, layer: str, query: StreamingQuery, listener: BatchProgress
 ) -> None:

@@ -126,6 +126,43 @@ def dedupe_stream(
     return timed.dropDuplicates(list(keys))
 
 
+def behind_watermark(events: DataFrame, time: str, delay: str, order: Sequence[str], groups: int = 256) -> DataFrame:
+    """The rows of a stream that came behind the watermark, which every built-in operator drops in silence.
+
+    Among them are all that :func:`dedupe_stream` of the same query drops as late. That looks at the watermark of the
+    batch before, this at the batch's own, so a few rows may be here that are also accepted. No other rows pass. The
+    watermark is only told to a function with state, so rows go through Python in Arrow batches: hand over no more
+    columns than are wanted. Rows are dealt to ``groups`` by the hash of ``order``, so no key makes a large group, and
+    no group keeps state of any size. A row without a time is never late.
+    """
+
+    def late(_, batches, state):
+        mark = state.getCurrentWatermarkMs() * 1000
+        for rows in batches:
+            yield rows[rows["_micros"] <= mark].drop(columns=["_group", "_micros"])
+
+    timed = events.withWatermark(time, delay)
+    timed = timed.withColumns(
+        {
+            "_group": F.pmod(F.xxhash64(*order), F.lit(groups)),
+            "_micros": F.expr(f"coalesce(unix_micros({time}), 9223372036854775807L)"),
+        }
+    )
+    return timed.groupBy("_group").applyInPandasWithState(late, events.schema, "seen long", "append", "NoTimeout")
+
+
+def late_events(valid: DataFrame) -> DataFrame:
+    """Valid events that came behind the watermark. Only the record goes through Python, as text; it is parsed anew."""
+    numbers = ["kafka_partition", "kafka_offset"]
+    record = ["kafka_key", "raw_value", "kafka_topic", *numbers, "kafka_timestamp"]
+    texts = [f"cast({c} as string) as {c}" if c in numbers else c for c in record]
+    told = valid.selectExpr(*texts, "event_timestamp as _time")
+    late = behind_watermark(told, "_time", LATENESS, ["kafka_topic", *numbers])
+    kinds = dict(valid.dtypes)
+    typed = late.selectExpr(*(f"cast({c} as {kinds[c]}) as {c}" if c in numbers else c for c in record))
+    return standardised(parse_events(typed), SENSOR_EVENTS)
+
+
 def clean_events(bronze: DataFrame, salts: int = 16) -> DataFrame:
     """Silver events: contract, watermark, dedup, quality mark. Works on a stream and on a batch frame."""
     valid = accept(bronze, SENSOR_EVENTS)
@@ -135,16 +172,21 @@ def clean_events(bronze: DataFrame, salts: int = 16) -> DataFrame:
     )
 
 
-def judged_events(bronze: DataFrame, salts: int = 16) -> DataFrame:
+def judged_events(bronze: DataFrame, salts: int = 16, keep_late: bool = False) -> DataFrame:
     """Silver events and, beside them, the refused ones with the rules they broke; ``_verdict`` tells them apart.
 
     Copies and late rows of valid events are dropped, as in :func:`clean_events`; nothing of the refused is. They carry
     no state and no watermark, so what is wrong with them (a time in the far future) has no effect on the others.
+    With ``keep_late`` (streams only) the events behind the watermark follow as ``late``.
     """
     accepted = clean_events(bronze, salts).selectExpr("*", "array() as violations", "'accepted' as _verdict")
     tidy = standardised(bronze, SENSOR_EVENTS).where(f"not ({SENSOR_EVENTS.accepted()})")
     refused = tidy.selectExpr("*", f"{SENSOR_EVENTS.violations()} as violations", "'refused' as _verdict")
-    return accepted.unionByName(refused, allowMissingColumns=True)
+    judged = accepted.unionByName(refused, allowMissingColumns=True)
+    if not keep_late:
+        return judged
+    late = late_events(accept(bronze, SENSOR_EVENTS)).selectExpr("*", "array() as violations", "'late' as _verdict")
+    return judged.unionByName(late, allowMissingColumns=True)
 
 
 def start_batches(

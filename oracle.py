@@ -562,6 +562,20 @@ def _refused_events() -> str:
     )
 
 
+def _late(final: str) -> str:
+    """Valid events of the second drain that lie ten minutes or more before the newest valid event of the first."""
+    valid = " and ".join(_ok(rule) for _, rule in EVENT_RULES)
+    first = f"(select * from bronze_sensor_events where {valid} and kafka_offset % 10 < 8)"
+    known = f"select 1 from {first} a where a.event_id = e.event_id and a.event_timestamp = e.event_timestamp"
+    fates = (
+        "select kafka_partition, kafka_offset, kafka_timestamp, event_id, event_timestamp,"
+        f" upper(trim(sensor_type)) as sensor_type, value, case when exists ({known}) then 'copy' else 'lost' end as fate"
+        f" from bronze_sensor_events e where {valid} and kafka_offset % 10 >= 8"
+        f" and event_timestamp <= (select max(event_timestamp) - interval 10 minute from {first} f)"
+    )
+    return _with(["bronze_sensor_events"], final.format(fates=f"({fates}) l"))
+
+
 def _stream_completeness() -> str:
     fields = "raw_value event_id sensor_id machine_id sensor_type value unit event_timestamp".split()
     parts = ["select 'rows' as what, count(*) as n from bronze_sensor_events"]
@@ -623,6 +637,13 @@ def oracle_sql() -> dict[str, str]:
     )
     statements["stream_accounts"] = _stream_accounts()
     statements["refused_events"] = _refused_events()
+    statements["late_events"] = _late(
+        "select kafka_partition, kafka_offset, event_id, event_timestamp, sensor_type, value, fate from {fates}"
+    )
+    statements["late_keys"] = _late(
+        "select event_id, event_timestamp, count(*) as records, min(kafka_timestamp) as first_arrival,"
+        " max(kafka_timestamp) as last_arrival from {fates} where fate = 'lost' group by event_id, event_timestamp"
+    )
     newest = statements["latest_events"]
     statements["newest_by_day"] = newest
     statements["stream_completeness"] = _stream_completeness()

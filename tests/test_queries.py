@@ -53,6 +53,7 @@ def test_scans_read_only_needed_columns(spark):
 STORING = {
     "silver_sensor_events", "layer_round_trip", "batch_pipeline", "stored_insert_if_absent", "stream_quality",
     "stream_report", "stream_progress", "stream_completeness", "newest_by_day", "stream_accounts", "refused_events", "staged_publication",
+    "late_events", "late_keys",
     *(n for n in QUERIES if n.startswith(("incremental_", "colocated_"))),
 }
 

@@ -191,12 +191,12 @@ def test_two_streams_do_not_share_their_settings(spark, layout):
     assert before == after
 
 
-def judged(spark, layout):
+def judged(spark, layout, **options):
     source = spark.readStream.schema(ev.RECORD_SCHEMA).parquet(layout.path("topic", "records"))
     pipeline.start_bronze_stream(source, layout, drain=True).awaitTermination()
     schema = read_layer(spark, layout, pipeline.BRONZE_EVENTS, pipeline.EVENT_TABLE).schema
     listener = ev.BatchProgress()
-    query = pipeline.start_judged_stream(spark, layout, schema, drain=True, state_partitions=2, listener=listener)
+    query = pipeline.start_judged_stream(spark, layout, schema, drain=True, state_partitions=2, listener=listener, **options)
     pipeline.follow_stream(spark, layout, pipeline.JUDGED_EVENTS, query, listener)
     return read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE), str(query.id)
 
@@ -229,6 +229,41 @@ def test_every_event_has_one_fate(spark, layout):
     assert read_layer(spark, layout, pipeline.JUDGED_EVENTS, pipeline.EVENT_TABLE).count() == len(rows) + again.count()
 
 
+def test_late_events_are_kept_with_their_fate(spark, layout):
+    put(spark, layout, [payload("a"), payload("a"), payload("new", 3600), "junk"])
+    judged(spark, layout, keep_late=True)
+    edge = 3600 - 600
+    second = [payload("lost", 1), payload("lost", 1), payload("edge", edge), payload("over", edge + 1), payload("a")]
+    second += [payload("lost", 2), payload("old", 1, value=9999), payload("next", 9000)]
+    put(spark, layout, second, 20)
+    judged(spark, layout, keep_late=True)
+    # These move the watermark on only afterwards, and are judged by what the batch before has left.
+    put(spark, layout, [payload("then", 8500), payload("gone", 8000), payload("next", 9000)], 40)
+    table, _ = judged(spark, layout, keep_late=True)
+    assert sorted(r.event_id for r in table.where("_verdict = 'accepted'").collect()) == ["a", "new", "next", "over", "then"]
+    fates = {r.kafka_offset: (r.event_id, r.fate) for r in pipeline.late_fates(table).collect()}
+    lost = {20: "lost", 21: "lost", 22: "edge", 25: "lost", 41: "gone"}
+    assert fates == {k: (v, "lost") for k, v in lost.items()} | {24: ("a", "copy")}
+    row = pipeline.late_fates(table).where("kafka_offset = 20").first()
+    assert (row.sensor_type, row.unit, row.value, row.kafka_partition) == ("ENERGY", "W", 5.0, 0)
+    assert row.kafka_timestamp == T0 + timedelta(seconds=20)
+    keys = {(r.event_id, r.event_timestamp): r.records for r in pipeline.late_keys(table).collect()}
+    assert keys[("lost", T0 + timedelta(seconds=1))] == 2 and sum(keys.values()) == 5 and len(keys) == 4
+    # Rows = accepted + refused + lost + copies, told by the stored table alone.
+    late = pipeline.stream_status(spark, layout, pipeline.JUDGED_EVENTS).first().late_rows
+    assert late == 6
+    assert not pipeline.late_fates(table.where("_verdict != 'late'")).collect()
+
+
+def test_an_accepted_event_in_the_late_table_is_not_late(spark):
+    kinds = "event_id string, event_timestamp timestamp, kafka_topic string, kafka_partition int, kafka_offset long, violations array<string>, _verdict string, _query string, _batch long"
+    rows = [("a", T0, "t", 0, 1, [], v, "q", 1) for v in ("accepted", "late")]
+    rows += [("a", T0, "t", 0, 2, [], "late", "q", 1), ("b", T0, None, None, 3, [], "late", "q", 1)]
+    rows += [("c", T0, None, None, None, [], v, "q", 1) for v in ("accepted", "late")]
+    found = pipeline.late_fates(spark.createDataFrame(rows, kinds)).collect()
+    assert {(r.kafka_offset, r.fate) for r in found} == {(2, "copy"), (3, "lost")}
+
+
 def arrivals(spark, days):
     """Records that arrived on the given days of May 2024 (None: no time), by offset."""
     rows = [
