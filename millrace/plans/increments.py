@@ -14,6 +14,7 @@ What a load costs: its own rows, the keys (one column) of the stored facts, the
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,14 @@ from millrace.plans import marts
 from millrace.plans.contract import clean
 from millrace.plans.pipeline import GOLD, stamp, stamp_bronze
 from millrace.plans.tables import OPERATIONAL_TABLES
-from millrace.sources.layers import Layout, read_layer, require_stored, write_counted, write_layer, write_partitions
+from millrace.sources.layers import Layout, read_layer, require_stored, write_layer, write_partitions
 from millrace.sources.staging import Folders, finish_pending, publish_checked, replace_partitions, staging
 
 CHANGES, TOUCHED, FACTS, PARTIALS = "bronze_changes", "touched_days", "facts", "partials"
 # Year and month of a fact's day as one number; 0 where there is no day.
 MONTH = "fact_month"
+# Rows a file at which tasks write their own files of every month instead of bringing a month's rows together first.
+ROWS_A_FILE = 50_000
 FACTS_OF = {
     "production": ("fact_production", marts.fact_production),
     "maintenance": ("fact_maintenance", marts.fact_maintenance),
@@ -77,9 +80,10 @@ def load_fact(
 ) -> int:
     """Put changed rows into the stored fact, rewriting the months they come from and go to; returns their number."""
     key, day, stage = marts.FACT_KEYS[fact], marts.FACT_PARTIALS[fact].day, staging(layout)
-    count = write_counted(changes.selectExpr("*", f"{month_of(day, months)} as {MONTH}"), stage, CHANGES, fact)
-    new = read_layer(spark, stage, CHANGES, fact)
-    require_unique({fact: new}, {fact: key})
+    placed = changes.selectExpr("*", f"{month_of(day, months)} as {MONTH}")
+    count = written = write_partitions(placed, stage, FACTS, fact, [MONTH], gather=False)
+    # Partitioned folders without a row have no schema.
+    new = read_layer(spark, stage, FACTS, fact) if count else spark.createDataFrame([], placed.schema)
     known = Folders(spark, layout.root).exists(layout.path(FACTS, fact))
     days = new.select(F.col(day).alias("day"), MONTH)
     if known:
@@ -91,11 +95,16 @@ def load_fact(
     touched = touched_months(spark, layout, fact, load)
     if not touched:
         return 0
-    rows = new
+    rows, total = [new], count
     if known:
-        kept = stored.where(F.col(MONTH).isin(touched)).join(new.select(key), key, "left_anti")
-        rows = kept.unionByName(new)
-    written = write_partitions(rows, stage, FACTS, fact, [MONTH])
+        there = stored.where(F.col(MONTH).isin(touched))
+        rows.append(there.join(new.select(key), key, "left_anti"))
+        total += there.count()
+    if not _large(spark, total, touched):
+        stage = staging(layout)
+        written = write_partitions(reduce(DataFrame.unionByName, rows), stage, FACTS, fact, [MONTH])
+    elif known:
+        written += write_partitions(rows[1], stage, FACTS, fact, [MONTH], mode="append", gather=False)
     require_stored(spark, stage, FACTS, {fact: written})
     require_unique({fact: read_layer(spark, stage, FACTS, fact)}, {fact: key})
     replace_partitions(spark, stage, layout, FACTS, fact, MONTH, touched)
@@ -115,7 +124,8 @@ def refresh_partials(spark: SparkSession, layout: Layout, fact: str, load: str)
         stored = read_layer(spark, layout, PARTIALS, fact).where(F.col(MONTH).isin(months))
         kept = stored.join(touched.drop(MONTH), _same_day(stored, touched, spec.day), "left_anti")
         rows = kept.unionByName(rows)
-    written = write_partitions(rows, stage, PARTIALS, fact, [MONTH])
+    gather = not _large(spark, facts.count(), months)
+    written = write_partitions(rows, stage, PARTIALS, fact, [MONTH], gather=gather)
     require_stored(spark, stage, PARTIALS, {fact: written})
     replace_partitions(spark, stage, layout, PARTIALS, fact, MONTH, months)
 
@@ -137,6 +147,11 @@ def touched_months(spark: SparkSession, layout: Layout, fact: str, load: str) ->
     return sorted(r[0] for r in days.select(MONTH).distinct().toLocalIterator())
 
 
+def _large(spark: SparkSession, rows: int, months: Sequence[int]) -> bool:
+    """Whether files stay large when every task writes one of each month; a shuffle of all rows is spared then."""
+    return rows >= ROWS_A_FILE * len(months) * spark.sparkContext.defaultParallelism
+
+
 def _same_day(rows: DataFrame, touched: DataFrame, day: str) -> Column:
     return rows[day].eqNullSafe(touched["day"])
 

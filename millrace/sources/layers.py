@@ -56,15 +56,25 @@ def write_layer(df: DataFrame, layout: Layout, layer: str, table: str, mode: str
     writer.save(layout.path(layer, table))
 
 
-def write_partitions(df: DataFrame, layout: Layout, layer: str, table: str, columns: Sequence[str]) -> int:
+def write_partitions(
+    df: DataFrame,
+    layout: Layout,
+    layer: str,
+    table: str,
+    columns: Sequence[str],
+    mode: str = "overwrite",
+    gather: bool = True,
+) -> int:
     """Write a table partitioned by some columns, and count its rows on their way out.
 
     Rows are rebalanced by partition: AQE cuts a partition that holds most of the rows into several files and lets
-    one task write many small ones.
+    one task write many small ones. Without ``gather`` no row is moved, and every task writes a file of each partition.
     """
     seen = Observation()
-    rows = df.observe(seen, F.expr("count(1) as rows")).hint("rebalance", *columns)
-    rows.write.format(layout.fmt).mode("overwrite").partitionBy(*columns).save(layout.path(layer, table))
+    rows = df.observe(seen, F.expr("count(1) as rows"))
+    if gather:
+        rows = rows.hint("rebalance", *columns)
+    rows.write.format(layout.fmt).mode(mode).partitionBy(*columns).save(layout.path(layer, table))
     return seen.get["rows"]
 
 

@@ -20,9 +20,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.quality import QualityError, require_unique
+from millrace.sources import layers
 from millrace.sources.layers import (
     Layout,
-    overwrite_partitions,
     read_layer,
     require_stored,
     stored_counts,
@@ -163,25 +163,41 @@ def replace_partitions(
 
 
 def finish_pending(spark: SparkSession, layout: Layout) -> None:
-    """Make every partition change that is pending, again from its start; doing it twice does no harm."""
+    """Make every partition change that is pending, or what is left of it; doing it twice does no harm."""
     folders, pending = Folders(spark, layout.root), Layout(f"{layout.root.rstrip('/')}/{PENDING}", layout.fmt)
     for layer in folders.names(pending.root):
         for table in folders.names(pending.path(layer, "").rstrip("/")):
-            source, live = pending.path(layer, table), layout.path(layer, table)
             replaced = _inside(layout, REPLACED, uuid.uuid4().hex)
-            parts = [n for n in folders.names(source) if "=" in n and not n.startswith("_")]
-            column = parts[0].split("=")[0]
-            overwrite_partitions(read_layer(spark, pending, layer, table), layout, layer, table, [column])
-            emptied = [p for p in parts if not folders.names(f"{source}/{p}")]
-            if layout.fmt == "delta" and emptied:
-                gone = ", ".join(p.split("=", 1)[1] for p in emptied)
-                spark.sql(f"DELETE FROM delta.`{live}` WHERE {column} IN ({gone})")
-            elif layout.fmt != "delta":
-                for part in emptied:
-                    if folders.exists(f"{live}/{part}"):
-                        folders.move(f"{live}/{part}", f"{replaced.path(layer, table)}/{part}")
-            folders.move(source, replaced.path(layer, f"{table}-done"))
-            spark.catalog.refreshByPath(live)
+            overwrite_partitions(spark, pending, layout, replaced, layer, table)
+            folders.move(pending.path(layer, table), replaced.path(layer, f"{table}-done"))
+            spark.catalog.refreshByPath(layout.path(layer, table))
+
+
+def overwrite_partitions(
+    spark: SparkSession, pending: Layout, layout: Layout, replaced: Layout, layer: str, table: str
+) -> None:
+    """Put the pending partitions of a table in the place of its live ones; the others keep their files.
+
+    Partitions of file formats change places by their folders, so nothing is written again. Each goes in two moves:
+    the live one aside, the pending one to its place. One that is still pending has not arrived, so after a loss the
+    same two steps go on from there.
+    """
+    folders = Folders(spark, layout.root)
+    source, live = pending.path(layer, table), layout.path(layer, table)
+    parts = [n for n in folders.names(source) if "=" in n and not n.startswith("_")]
+    emptied = [p for p in parts if not folders.names(f"{source}/{p}")]
+    if layout.fmt == "delta":
+        column = parts[0].split("=")[0]
+        layers.overwrite_partitions(read_layer(spark, pending, layer, table), layout, layer, table, [column])
+        if emptied:
+            gone = ", ".join(p.split("=", 1)[1] for p in emptied)
+            spark.sql(f"DELETE FROM delta.`{live}` WHERE {column} IN ({gone})")
+        return
+    for part in parts:
+        if folders.exists(f"{live}/{part}"):
+            folders.move(f"{live}/{part}", f"{replaced.path(layer, table)}/{part}")
+        if part not in emptied:
+            folders.move(f"{source}/{part}", f"{live}/{part}")
 
 
 def require_volume(

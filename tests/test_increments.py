@@ -79,6 +79,49 @@ def test_late_and_corrected_rows(spark, lake):
     assert before and sums and january[0]
 
 
+def test_large_loads_move_no_row_to_be_written(spark, lake, monkeypatch):
+    """Tasks write their own files of each month, new rows once; staged partitions become live ones as they are."""
+    gathered, write = [], increments.write_partitions
+
+    def watched(*a, gather=True, **k):
+        gathered.append(gather)
+        return write(*a, gather=gather, **k)
+
+    monkeypatch.setattr(increments, "ROWS_A_FILE", 0)
+    monkeypatch.setattr(increments, "write_partitions", watched)
+    monkeypatch.setattr(staging.layers, "overwrite_partitions", None)
+    run_increment(spark, lake, {"production": made(spark, *FIRST)}, "one")
+    late = made(spark, (5, 2, "2024-01-05", 5.0), (3, 2, "2024-03-05", 31.0))
+    for _ in range(2):
+        run_increment(spark, lake, {"production": late}, "two")
+        assert keys(spark, lake) == [1, 2, 3, 4, 5]
+        assert daily(spark, lake)["2024-03-05", 8] == (71.0, 2) and ("2024-02-05", 8) not in daily(spark, lake)
+    assert gathered and not any(gathered)
+
+
+@pytest.mark.parametrize("moves", range(6))
+def test_a_change_of_partitions_goes_on_where_it_was_lost(spark, lake, monkeypatch, moves):
+    run_increment(spark, lake, {"production": made(spark, *FIRST)}, "one")
+    late, move = {"production": made(spark, (5, 2, "2024-01-05", 5.0), (3, 2, "2024-03-05", 31.0))}, staging.Folders.move
+    left = [moves]
+
+    def lost(self, source, target):
+        # The first move makes the change pending.
+        if "/facts/" in target and not left[0]:
+            raise KeyboardInterrupt
+        left[0] -= "/facts/" in target
+        move(self, source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging.Folders, "move", lost)
+        with pytest.raises(KeyboardInterrupt):
+            run_increment(spark, lake, late, "two")
+    staging.finish_pending(spark, lake)
+    assert keys(spark, lake) == ([1, 2, 3, 4] if moves == 0 else [1, 2, 3, 4, 5])
+    run_increment(spark, lake, late, "two")
+    assert keys(spark, lake) == [1, 2, 3, 4, 5] and daily(spark, lake)["2024-03-05", 8] == (71.0, 2)
+
+
 def test_a_refused_correction_leaves_the_row(spark, lake):
     run_increment(spark, lake, {"production": made(spark, *FIRST)}, "one")
     assert run_increment(spark, lake, {"production": made(spark, (1, 1, "2024-01-05", -1.0))}, "two") == {"fact_production": 0}
