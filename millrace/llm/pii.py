@@ -1,7 +1,7 @@
 """Personal data in texts: base patterns, and candidates that boosted trees accept beside them.
 
 Everything is a column expression: patterns, positions, features, the trees (written out as CASE expressions) and
-the choice among overlapping spans. Nothing is shuffled but a bounded sample for training.
+the choice among overlapping spans. Nothing is shuffled but counts of what training looks at.
 
 Base spans are exact rules. Looser generators propose further, overlapping spans; gradient-boosted trees judge
 these by format and context. They learn what the base rules miss: base spans of the corpus are written in other ways
@@ -10,6 +10,9 @@ generators propose there is personal. Not personal are candidates on numbers of
 surroundings (``TECHNICAL``), candidates of another kind, and candidates of the corpus off the base spans with
 technical signs beside them. Other candidates off the base spans may be either and teach nothing. A threshold a kind is
 set on candidates kept from training, for a wanted precision; a kind that cannot reach it adds nothing.
+
+All base spans and all candidates count. Candidates of equal features and label are one row with a weight, so the trees
+see few rows however large the corpus is.
 """
 
 from __future__ import annotations
@@ -94,8 +97,8 @@ TECHNICAL = (
     "concat_ws(':', substr(md5(d), 1, 2), substr(md5(d), 3, 2), substr(md5(d), 5, 2), substr(md5(d), 7, 2), substr(md5(d), 9, 2))",
     "concat(substr(d, 1, 2), ' @ ', substr(d, 3, 1), '.', substr(d, 4, 2))",
 )
-PER_CLASS = 4000  # candidates of a kind and class the sample is to have; a third of them sets the thresholds
-FIT_TASKS = 8  # the sample is bounded, and every level of every tree is a job over its partitions
+PER_CLASS = 4000  # what the candidates of a kind and class weigh together at most; a third of them sets the thresholds
+FIT_TASKS = 8  # rows of distinct features are few, and every level of every tree is a job over its partitions
 PRECISION = 0.97
 LEAST_SUPPORT = 30  # calibration candidates above a threshold
 
@@ -253,15 +256,23 @@ def fit(docs: DataFrame, per_class: int = PER_CLASS, precision: float = PRECISIO
     return fit_prepared(prepare(docs), per_class, precision)
 
 
-def _share(rows: DataFrame, wanted: int) -> DataFrame:
-    """About ``wanted`` rows of each kind, those with the smallest hashes ``h``; kinds are few and counted first."""
-    counts = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
-    bound = " ".join(f"when {k} then {min(1.0, wanted / n)!r} * {2**32}" for k, n in counts.items())
-    return rows.where(f"pmod(h, {2**32}) < case kind {bound} else 0 end" if counts else "false")
+def _tallied(rows: DataFrame) -> DataFrame:
+    """``own, kind, label, f, held, n``: how many rows are alike; one in three, by hash, is held back from training."""
+    alike = rows.selectExpr("own", "kind", "label", "f", "pmod(h, 3) = 0 as held")
+    return checkpointed(alike.groupBy(*alike.columns).agg(F.count("*").alias("n")))
+
+
+def _weighed(tallies: DataFrame, counts: dict[int, int], wanted: int) -> DataFrame:
+    """Adds ``w``, what one row weighs: all that come from one of ``counts`` weigh as ``wanted`` of them at most."""
+    each = " ".join(f"when {k} then double({min(1.0, wanted / n)!r})" for k, n in sorted(counts.items()))
+    return tallies.selectExpr("*", f"case own {each} end as w" if counts else "double(0) as w")
 
 
 def _planted(shown: DataFrame) -> DataFrame:
-    """``kind, label, f, h`` of what the generators propose on other spellings and technical numbers."""
+    """``own, kind, label, f, h`` of what the generators propose on other spellings and technical numbers.
+
+    ``own`` is the kind of the base span in whose place it was written.
+    """
     told = [f"if(x.kind = {KINDS.index(k)}, struct({KINDS.index(k)} as kind, {v} as said), null)" for k, v in VARIANTS]
     told += [f"struct(-1 as kind, {v} as said)" for v in TECHNICAL]
     digits = "concat(lpad(pmod(h, 10000000000), 10, '0'), lpad(pmod(xxhash64(h), 10000000000), 10, '0')) as d"
@@ -269,52 +280,61 @@ def _planted(shown: DataFrame) -> DataFrame:
     shown = checkpointed(shown.selectExpr("h", "x", digits))
     written = shown.selectExpr("h", "x", f"explode(array_compact(array({', '.join(told)}))) as v")
     texts = written.selectExpr(
-        "h", "v.kind as meant", "length(x.before) as start", "length(x.before) + length(v.said) as end",
-        "concat(x.before, v.said, x.after) as text",
+        "h", "x.kind as own", "v.kind as meant", "length(x.before) as start",
+        "length(x.before) + length(v.said) as end", "concat(x.before, v.said, x.after) as text",
     )
-    found = candidate_spans(checkpointed(texts), "text").select("h", "meant", "start", "end", "candidates")
+    found = candidate_spans(stored(texts, "planted"), "text").drop("text")
     # What is asked of exploded candidates must not be pushed into the search for them.
-    found = checkpointed(found).selectExpr("h", "meant", "start", "end", "explode(candidates) as x")
+    found = stored(found, "proposed").selectExpr("h", "own", "meant", "start", "end", "explode(candidates) as x")
     found = found.where("x.start < end and start < x.end")
     label = "double(x.kind = meant and 2 * (least(end, x.end) - greatest(start, x.start)) >= x.end - x.start)"
-    return found.selectExpr("x.kind", f"{label} as label", "x.f", "h")
+    return found.selectExpr("own", "x.kind", f"{label} as label", "x.f", "h")
 
 
 def _technical(spans: DataFrame) -> DataFrame:
-    """``kind, label, f, h`` of the corpus' candidates off the base spans that have technical signs beside them."""
+    """``own, kind, label, f, h`` of the corpus' candidates off the base spans that have technical signs beside them."""
     free = "filter(v.own, x -> not exists(v.near, b -> b.start < x.end and x.start < b.end))"
     signs = "x.f[10] + x.f[11] + x.f[13] > 0"
     ordered = "array_sort(candidates, (x, y) -> int(sign(x.start - y.start)))"
     off = spans.selectExpr("h", "base", f"{ordered} as candidates")
     off = off.selectExpr("h", f"explode({beside('candidates', 'base', free)}) as x").where(signs)
-    return off.selectExpr("x.kind", "double(0) as label", "x.f", "xxhash64(h, x.start, x.end) as h")
+    return off.selectExpr("x.kind as own", "x.kind", "double(0) as label", "x.f", "xxhash64(h, x.start, x.end) as h")
 
 
 def fit_prepared(spans: DataFrame, per_class: int = PER_CLASS, precision: float = PRECISION) -> Model:
     """Trees and thresholds from what ``prepare`` has stored.
 
-    The sample is bounded: about ``per_class`` spellings of each kind, as many technical numbers, and as many
-    candidates of the corpus with technical signs, all by hash. All weigh alike, so the precision is that among planted
-    spellings and technical numbers. Without base spans, or with an empty table, the model adds nothing.
+    Every base span is written in all its ways and with all technical numbers, and every candidate with technical signs
+    beside it counts. So that no kind outweighs the others, the spellings of a kind weigh as ``per_class`` of them at
+    most, as do its technical numbers and its candidates of the corpus: the precision is that among these. Without base
+    spans, or with an empty table, the model adds nothing.
     """
     shown = spans.selectExpr("h", "posexplode(shown) as (n, x)").selectExpr("xxhash64(h, n) as h", "x.kind", "x")
     ways = max(sum(k == kind for k, _ in VARIANTS) for kind in KINDS)
-    planted = checkpointed(_planted(_share(shown, per_class // ways)))
-    sample = planted.unionAll(checkpointed(_share(_technical(spans), per_class))).coalesce(FIT_TASKS)
-    if {r["label"] for r in sample.groupBy("label").count().collect()} != {0.0, 1.0}:
+    many = {r["kind"]: r["count"] for r in shown.groupBy("kind").count().collect()}
+    planted = _weighed(_tallied(_planted(shown)), many, per_class // ways)
+    corpus = _tallied(_technical(spans))
+    many = {r["own"]: r["n"] for r in corpus.groupBy("own").agg(F.sum("n").alias("n")).collect()}
+    # In a fixed order, so that sums of weights come out alike.
+    tallies = planted.unionAll(_weighed(corpus, many, per_class)).repartition(FIT_TASKS, "f")
+    tallies = checkpointed(tallies.sortWithinPartitions("f", "kind", "label", "held", "own", "n"))
+    learnt = tallies.where("not held")
+    if {r["label"] for r in learnt.groupBy("label").count().collect()} != {0.0, 1.0}:
         return Model("double(0)", {})
     weight = {(kind, label): 1.0 for kind in range(len(KINDS)) for label in (0.0, 1.0)}
-    ready = sample.withColumn("features", array_to_vector("f"))
-    trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, seed=11, maxBins=64)
-    fitted = trees.fit(ready.where("pmod(h, 3) > 0"))
+    ready = learnt.withColumns({"features": array_to_vector("f"), "weight": F.expr("n * w")})
+    trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, seed=11, maxBins=64, weightCol="weight")
+    fitted = trees.fit(ready)
     parts = [
         f"{float(w)!r} * ({tree_sql([x for x in t.toDebugString.splitlines()[1:] if x.strip()])})"
         for t, w in zip(fitted.trees, fitted.treeWeights)
     ]
     score = f"1 / (1 + exp(-2 * ({' + '.join(parts)})))"
-    tested = sample.where("pmod(h, 3) = 0").selectExpr("kind", "label", "struct(f as f) as x")
-    bins = tested.selectExpr("kind", "label", f"floor(({score}) * 50) as bin").groupBy("kind", "bin", "label").count()
-    return Model(score, _thresholds(bins.collect(), weight, precision))
+    tested = tallies.where("held").selectExpr("kind", "label", "n", "w", "struct(f as f) as x")
+    bins = tested.selectExpr("kind", "label", "n", "w", f"floor(({score}) * 50) as bin")
+    bins = bins.groupBy("kind", "bin", "label", "w").agg(F.sum("n").alias("n"))
+    weighed = [{**r.asDict(), "count": r["n"] * r["w"]} for r in sorted(bins.collect())]
+    return Model(score, _thresholds(weighed, weight, precision))
 
 
 def _thresholds(bins: list, weight: dict, precision: float) -> dict[int, float]:

@@ -106,6 +106,19 @@ def test_thresholds_follow_precision():
     assert pii._thresholds([row(10, 0.0, 50)], even, 0.95) == {}
 
 
+def test_all_spans_and_candidates_count(spark, monkeypatch):
+    """Far more of them than the classes are to weigh: none is left out, and the weights add up to the wanted ones."""
+    seen, fit = [], pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: seen.append(df.collect()) or fit(self, df))
+    texts = [f"mail jo{k}@web{k}.org or call +49 (171) 555-{1000 + k}, id=12-{1000 + k}-{2000 + k}" for k in range(300)]
+    spans = pii.prepare(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    pii.fit_prepared(spans, per_class=70)
+    shown = spans.selectExpr("h", "posexplode(shown) as (n, x)").selectExpr("xxhash64(h, n) as h", "x.kind", "x")
+    wanted = pii._planted(shown).unionAll(pii._technical(spans)).where("pmod(h, 3) > 0").count()
+    assert sum(r["n"] for r in seen[0]) == wanted > 5000
+    assert len(seen[0]) < 500 and sum(r["weight"] for r in seen[0]) < 0.1 * wanted
+
+
 def test_main_path_has_no_python(spark, model):
     plan = pii.find_personal(spark.read.parquet(f"{SMALL}/documents.parquet"), model)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
