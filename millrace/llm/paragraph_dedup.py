@@ -35,7 +35,7 @@ WORDS = 30  # of a paragraph; texts with fewer have none
 SENTENCE = 6  # words of a sentence that lets the next one be an anchor
 NEAR = 8  # words on each side that a chosen word is compared with
 ALONE = 12  # words on each side without a sentence start, for other words to be chosen
-BANDED = 4  # one paragraph in so many
+BANDED = 1  # one paragraph in so many: every one
 LOT = 64  # texts whose shingles are hashed together
 BUCKET = 2000  # nodes of a bucket compared in one task; larger buckets are compared block by block
 MOST_HASHES = 24
@@ -105,6 +105,11 @@ def anchors(hashes: np.ndarray, opening: list[int], words: int, size: int) -> np
         before = chosen - np.insert(found, 0, -10 * ALONE)[place]
         found = np.append(found, chosen[(after > ALONE) & (before > ALONE)])
     found = np.sort(found[found <= words - size])
+    # Where anchors are further apart than a paragraph is long, more are set evenly: no word between is left out.
+    steps = np.append(found[1:], words - size) - found
+    if len(found) and steps.max() > size:
+        parts = [(a, step, max(1, -(-step // size))) for a, step in zip(found.tolist(), steps.tolist())]
+        found = np.array([a + step * k // n for a, step, n in parts for k in range(n)])
     # Paragraphs that start nearer to each other would be alike by themselves.
     if len(found) and words - size - found[-1] < SENTENCE:
         return found
@@ -272,11 +277,11 @@ def links(docs: DataFrame, found: DataFrame, size: int, similarity: float, bucke
     one = places.groupBy("short", "node").agg(F.min(F.struct("key", "start", "end")).alias("p"))
     spans = one.groupBy("p.key").agg(F.collect_list(F.struct("short", "node", "p.start", "p.end")).alias("spans"))
     keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(spans, "key")
+    # Repeated rows have equal keys and would give a text twice; rows lie by key here, so none is moved for it.
+    keyed = keyed.dropDuplicates(["key"])
     texts = keyed.select("text", F.explode("spans").alias("s")).selectExpr(
         "s.short", "s.node", "substring(text, s.start + 1, s.end - s.start) as said"
     )
-    # Repeated rows have equal keys and give a text twice.
-    texts = texts.dropDuplicates(["node"])
     sorted_ = dealt.join(texts, "short").repartition("value", "x", "y").sortWithinPartitions("value", "x", "y", "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
