@@ -8,8 +8,9 @@ node from the start, whatever the number of copies. MinHash bands over word shin
 within a band's bucket the exact Jaccard similarity decides. Components of verified links are classes, and of each
 class the first occurrence stays.
 
-As paragraphs overlap, one in four is banded, by the hash of its first words; similar ones begin alike and are chosen
-alike. Equal paragraphs meet whether banded or not.
+As paragraphs overlap, most of those that meet in a bucket are neighbours in one text and not alike. Each therefore goes
+there with a sketch of its shingles, in which similar paragraphs cannot differ in more than a few bits; only those
+that have such a partner in their bucket go on, so that nothing similar is lost and few texts are looked at.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ ALONE = 12  # words on each side without a sentence start, for other words to be
 BANDED = 1  # one paragraph in so many: every one
 LOT = 64  # texts whose shingles are hashed together
 BUCKET = 2000  # nodes of a bucket compared in one task; larger buckets are compared block by block
+CELLS = 40  # bits of a sketch; the other bits of its long tell nodes apart
+VALUE_BITS = 40  # of a band's hash; paragraphs that meet by chance are told apart by sketch and text
+FEW_TEXTS = 100_000  # documents whose wanted places are handed to all tasks; more are joined by key
 MOST_HASHES = 24
 _WORDS = re.compile(r"\w+")
 _TOKENS = re.compile(r"\w+|[.!?\n]")
@@ -153,18 +157,34 @@ def band_hashes(hashes: np.ndarray, begin: np.ndarray, count: int, numbers: np.n
         band = k * bands // numbers.shape[1]
         found[:, band] = (found[:, band] ^ low) * _STEP
         found[:, band] ^= found[:, band] >> np.uint64(31)
-    return found.view(np.int64)
+    return (found >> np.uint64(64 - VALUE_BITS)).view(np.int64)
+
+
+def sketches(hashes: np.ndarray, begin: np.ndarray, count: int) -> np.ndarray:
+    """CELLS bits for each stretch of ``count`` shingles: whether a cell holds an odd number of distinct ones."""
+    own = np.sort(hashes[begin[:, None] + np.arange(count)], axis=1)
+    bits = np.uint64(1) << (own >> np.uint64(40)) % np.uint64(CELLS)
+    bits[:, 1:][own[:, 1:] == own[:, :-1]] = 0
+    return np.bitwise_xor.reduce(bits, axis=1)
+
+
+def most_apart(count: int, similarity: float) -> int:
+    """Shingles at most that only one of two similar paragraphs of ``count`` shingles or fewer has."""
+    return math.floor(2 * count * (1 - similarity) / (1 + similarity) + 1e-9)
 
 
 def occurrences(docs: DataFrame, words: int, size: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, key, start, end, node, bands`` of every paragraph.
+    """``place, doc_id, key, start, end, node, sketch, bands`` of every paragraph.
 
-    The span is in characters, ``node`` 128 bits of the words, ``bands`` a hash for each band; null where the task
-    has sent it for the same node before, or where the paragraph is not banded.
+    ``place`` numbers the rows of documents, the span is in characters, ``node`` 128 bits of the words, ``sketch``
+    those of ``sketches`` above some of the node, ``bands`` a hash for each band; null where the task has sent it for
+    the same node before, or where the paragraph is not banded.
     """
     key = row_key(F.col("doc_id"), F.col("text")).alias("key")
-    texts = docs.where("text is not null").select("doc_id", key, "text")
-    shape = f"doc_id {dict(texts.dtypes)['doc_id']}, key binary, start int, end int, node binary, bands array<long>"
+    place = F.monotonically_increasing_id().alias("place")
+    texts = docs.where("text is not null").select(place, "doc_id", key, "text")
+    kind = dict(texts.dtypes)["doc_id"]
+    shape = f"place long, doc_id {kind}, key binary, start int, end int, node binary, sketch long, bands array<long>"
     numbers = np.random.default_rng(41).integers(0, 1 << 63, (2, bands * rows), np.uint64) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +193,7 @@ def occurrences(docs: DataFrame, words: int, size: int, bands: int, rows: int) -
             for lot in range(0, whole.num_rows, LOT):
                 batch = whole.slice(lot, LOT)
                 of, starts, ends, nodes, new, begin, parts, held = [], [], [], [], [], [], [], 0
-                for k, text in enumerate(values(batch.column(2))):
+                for k, text in enumerate(values(batch.column(3))):
                     said, froms, tos, opening = tokens(text)
                     if len(said) < words:
                         continue
@@ -182,7 +202,7 @@ def occurrences(docs: DataFrame, words: int, size: int, bands: int, rows: int) -
                         node = xxhash.xxh3_128_digest(" ".join(said[at : at + words]))
                         if hashes[at] % np.uint64(BANDED) == 0 and seen.add(node):
                             new.append(len(of))
-                            begin.append(held + at)
+                        begin.append(held + at)
                         of.append(k)
                         starts.append(froms[at])
                         ends.append(tos[at + words - 1])
@@ -190,19 +210,85 @@ def occurrences(docs: DataFrame, words: int, size: int, bands: int, rows: int) -
                     parts.append(hashes)
                     held += len(hashes)
                 hashed: list = [None] * len(of)
-                if new:
-                    found = band_hashes(np.concatenate(parts), np.array(begin), words - size + 1, numbers, bands)
-                    for place, own in zip(new, found.tolist()):
-                        hashed[place] = own
+                own = np.zeros(0, np.int64)
+                if of:
+                    joined, begins = np.concatenate(parts), np.array(begin)
+                    names = np.frombuffer(b"".join(n[:8] for n in nodes), np.uint64) >> np.uint64(CELLS)
+                    cells = sketches(joined, begins, words - size + 1) << np.uint64(64 - CELLS)
+                    own = (cells | names).view(np.int64)
+                    if new:
+                        found = band_hashes(joined, begins[new], words - size + 1, numbers, bands)
+                        for at, mine in zip(new, found.tolist()):
+                            hashed[at] = mine
                 taken = pa.array(of, pa.int64())
-                columns = [batch.column(0).take(taken), batch.column(1).take(taken)]
+                columns = [batch.column(k).take(taken) for k in range(3)]
                 columns += [pa.array(x, pa.int32()) for x in (starts, ends)]
-                columns += [pa.array(nodes, pa.binary()), pa.array(hashed, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "start", "end", "node", "bands"])
+                columns += [pa.array(nodes, pa.binary()), pa.array(own, pa.int64())]
+                columns.append(pa.array(hashed, pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(
+                    columns, ["place", "doc_id", "key", "start", "end", "node", "sketch", "bands"]
+                )
 
     return texts.mapInArrow(run, shape)
 
 
+def near_members(buckets: np.ndarray, marks: np.ndarray, apart: int) -> np.ndarray:
+    """Which rows have another of their bucket within ``apart`` bits of their sketch; rows come by bucket."""
+    found, step = np.zeros(len(buckets), bool), 1
+    at = np.arange(len(buckets) - 1)
+    while len(at := at[at + step < len(buckets)]):
+        at = at[buckets[at] == buckets[at + step]]
+        bits = np.bitwise_count((marks[at] ^ marks[at + step]) >> np.uint64(64 - CELLS))
+        near = at[bits <= apart]
+        found[near] = found[near + step] = True
+        step += 1
+    return found
+
+
+def candidates(found: DataFrame, apart: int, bucket: int) -> DataFrame:
+    """``value, sketch`` of the paragraphs that may have a similar one in a bucket, each once.
+
+    One shuffle of two numbers a band. Buckets of more than ``bucket`` members may go on whole.
+    """
+    spread = found.where("bands is not null").select("sketch", F.explode("bands").alias("value"))
+    dealt = spread.repartition("value").sortWithinPartitions("value", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, large = [np.zeros(0, np.int64)] * 2, None
+
+        def out(keep: np.ndarray, rows: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(r[keep]) for r in rows], ["value", "sketch"])
+
+        def judged(rows: list[np.ndarray]) -> pa.RecordBatch:
+            return out(near_members(rows[0], rows[1].view(np.uint64), apart), rows)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            value, sketch = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns))
+            fresh = np.ones(len(value), bool)
+            fresh[1:] = (value[1:] != value[:-1]) | (sketch[1:] != sketch[:-1])
+            value, sketch = value[fresh], sketch[fresh]
+            last = int(np.searchsorted(value, value[-1]))
+            if large is not None:
+                # The rest of a bucket that went on before; its last row is still held to be told from copies.
+                end = int(np.searchsorted(value, large, "right"))
+                if end == len(value):
+                    yield out(slice(0, end - 1), [value, sketch])
+                    held = [value[-1:], sketch[-1:]]
+                    continue
+                yield out(slice(0, end), [value, sketch])
+                value, sketch, last, large = value[end:], sketch[end:], last - end, None
+            yield judged([value[:last], sketch[:last]])
+            held = [value[last:], sketch[last:]]
+            if len(held[0]) > bucket:
+                yield out(slice(0, -1), held)
+                large, held = value[-1], [h[-1:] for h in held]
+        yield out(slice(None), held) if large is not None else judged(held)
+
+    return dealt.select("value", "sketch").mapInArrow(run, "value long, sketch long")
+
+
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     if min(len(a), len(b)) < similarity * max(len(a), len(b)):
         return False
@@ -238,29 +324,25 @@ def join_block(nodes: list[bytes], sets: list[np.ndarray], side: list[int], simi
     return links
 
 
-def links(docs: DataFrame, found: DataFrame, size: int, similarity: float, bucket: int) -> DataFrame:
+def links(
+    docs: DataFrame, found: DataFrame, buckets: DataFrame, size: int, similarity: float, bucket: int
+) -> DataFrame:
     """Links ``a, b`` between similar, different paragraphs: enough to connect every class.
 
-    ``found`` are the occurrences in ``docs``.
+    ``buckets`` are the candidates; ``found`` are occurrences in ``docs``, theirs among them.
     """
-    short = F.xxhash64("node").alias("short")
-    spread = found.where("bands is not null").select(short, F.explode("bands").alias("value"))
-    # Rows that have a neighbour with another node in their bucket; one shuffle of two numbers a band.
-    by_node = Window.partitionBy("value").orderBy("short")
-    placed = spread.withColumn("low", F.first("short").over(by_node)).withColumn("next", F.lead("short").over(by_node))
-    buckets = checkpointed(placed.where("short <> low or short <> next").select("value", "short").distinct())
     several = buckets.groupBy("value").agg(
         F.count("*").alias("n"),
-        F.min("short").alias("first"),
-        F.max("short").alias("last"),
-        F.sum(F.xxhash64("short").cast("decimal(38,0)")).alias("sum"),
+        F.min("sketch").alias("first"),
+        F.max("sketch").alias("last"),
+        F.sum(F.xxhash64("sketch").cast("decimal(38,0)")).alias("sum"),
     )
     # Similar nodes meet in many bands; of buckets with the same members one is enough.
     once = several.where("n > 1").groupBy("n", "first", "last", "sum").agg(F.min("value").alias("value"))
     members = checkpointed(buckets.join(once.select("value", "n"), "value"))
     # Larger buckets are dealt out in blocks by hash, and each pair of blocks is a group of its own.
     dealt = members.withColumn("blocks", F.ceil(F.col("n") / bucket).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("short", "value"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("sketch", "value"), F.col("blocks")).cast("int"))
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(
@@ -269,20 +351,24 @@ def links(docs: DataFrame, found: DataFrame, size: int, similarity: float, bucke
             F.when(o == F.col("own"), 2).when(o > F.col("own"), 0).otherwise(1).alias("side"),
         ),
     )
-    dealt = dealt.select("short", "value", F.explode(pairs).alias("p")).select("short", "value", "p.*")
+    dealt = dealt.select("sketch", "value", F.explode(pairs).alias("p")).select("sketch", "value", "p.*")
     # The text of each wanted node, from one of its places.
-    wanted = members.select("short").distinct()
-    places = found.where("bands is not null").select(short, "node", "key", "start", "end")
-    places = places.join(wanted, "short", "left_semi")
-    one = places.groupBy("short", "node").agg(F.min(F.struct("key", "start", "end")).alias("p"))
-    spans = one.groupBy("p.key").agg(F.collect_list(F.struct("short", "node", "p.start", "p.end")).alias("spans"))
-    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(spans, "key")
+    wanted = members.select("sketch").distinct()
+    one = found.join(wanted, "sketch", "left_semi").groupBy("sketch", "node")
+    one = one.agg(F.min(F.struct("key", "start", "end")).alias("p"))
+    spans = one.groupBy("p.key").agg(F.collect_list(F.struct("sketch", "node", "p.start", "p.end")).alias("spans"))
+    spans = checkpointed(spans)
+    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    # Where they lie in few documents the other texts are not moved.
+    if spans.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:
+        keyed = keyed.join(F.broadcast(spans.select("key")), "key", "left_semi")
+    keyed = keyed.join(spans, "key")
     # Repeated rows have equal keys and would give a text twice; rows lie by key here, so none is moved for it.
     keyed = keyed.dropDuplicates(["key"])
     texts = keyed.select("text", F.explode("spans").alias("s")).selectExpr(
-        "s.short", "s.node", "substring(text, s.start + 1, s.end - s.start) as said"
+        "s.sketch", "s.node", "substring(text, s.start + 1, s.end - s.start) as said"
     )
-    sorted_ = dealt.join(texts, "short").repartition("value", "x", "y").sortWithinPartitions("value", "x", "y", "node")
+    sorted_ = dealt.join(texts, "sketch").repartition("value", "x", "y").sortWithinPartitions("value", "x", "y", "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> None:
@@ -328,14 +414,19 @@ def repeated_paragraphs(
     """
     docs = columns_of(docs, "doc_id", "text")
     bands, rows = bands_for(similarity, recall)
-    found = stored(occurrences(docs, words, shingle, bands, rows), "paragraphs")
-    group = components(links(docs, found, shingle, similarity, bucket))
+    found = stored(occurrences(docs, words, shingle, bands, rows), "paragraphs", "zstd")
+    buckets = checkpointed(candidates(found, most_apart(words - shingle + 1, similarity), bucket))
+    # Only paragraphs that occur again or may be similar to another go on; most are neither.
+    again = found.groupBy("sketch").agg(F.count("*").alias("n")).where("n > 1").select("sketch")
+    wanted = again.unionAll(buckets.select("sketch")).distinct()
+    chosen = found.select("sketch", "node", "place", "start", "end").join(wanted, "sketch", "left_semi")
+    # A row of a document is one number while most rows are moved; the document's own names come after that.
+    rows_ = found.select("place", "doc_id", "key").distinct()
+    chosen = checkpointed(chosen.join(rows_, "place").drop("place"))
+    group = components(links(docs, chosen, buckets, shingle, similarity, bucket))
     place = F.struct("doc_id", "key", "start")
-    found = found.drop("bands")
-    # Only paragraphs that occur again or have a link go on; most have neither.
-    again = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    named = again.join(group, "node", "full").select("node", F.coalesce("root", "node").alias("root"))
-    listed = checkpointed(found.join(named, "node"))
+    listed = chosen.drop("sketch").join(group, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    listed = checkpointed(listed)
     kept = listed.groupBy("root").agg(F.min(place).alias("kept"), F.max(place).alias("other"))
     # A paragraph that occurs once in a document that is repeated as a whole has no other place.
     kept = kept.where("kept <> other").select("root", "kept")

@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from millrace.llm import paragraph_dedup as pd_
@@ -158,3 +159,55 @@ def test_edge_cases(spark):
     # What is repeated as a whole is gone but for the last full stop.
     assert texts[2] == ["", ""] or texts[2] == [".", "."]
     assert pd_.repeated_paragraphs(no_docs(spark)).collect() == [] == pd_.dedup_paragraphs(no_docs(spark)).collect()
+
+
+def test_sketches_differ_in_no_more_bits_than_shingles():
+    rng = random.Random(9)
+    said = [rng.choice("abc") + str(rng.randrange(4)) for _ in range(400)]
+    hashes = pd_.rolled(pd_.word_hashes(said), 2)
+    begin = np.array(rng.sample(range(len(hashes) - 26), 150))
+    cells = pd_.sketches(hashes, begin, 26)
+    own = [set(hashes[b : b + 26].tolist()) for b in begin]
+    for a, x in zip(own, cells.tolist()):
+        for b, y in zip(own, cells.tolist()):
+            assert (x ^ y).bit_count() <= len(a ^ b)
+            assert len(a & b) < 0.8 * len(a | b) or len(a ^ b) <= pd_.most_apart(26, 0.8)
+
+
+@pytest.mark.parametrize("bucket, batch", [(2000, 10_000), (3, 7), (3, 1)])
+def test_candidates_are_all_with_a_near_partner_in_their_bucket(spark, bucket, batch):
+    rng, rows = random.Random(10), []
+    for k in range(300):
+        low = rng.randrange(1 << 24)
+        cells = rng.choice((0, 0b1111111, (1 << 39) | 1, rng.randrange(1 << 40)))
+        sketch = (cells << 24) | low
+        bands = [rng.randrange(60), 1000 + rng.randrange(200), 5000]
+        rows += [(sketch - (1 << 64) if sketch >> 63 else sketch, bands)] * rng.choice((1, 2))
+    found = spark.createDataFrame(rows, "sketch long, bands array<long>")
+    members = defaultdict(set)
+    for sketch, bands in rows:
+        for b in bands:
+            members[b].add(sketch)
+    apart = lambda x, y: (((x ^ y) % (1 << 64)) >> 24).bit_count()
+    wanted = {(b, x) for b, own in members.items() for x in own if any(x != y and apart(x, y) <= 5 for y in own)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = [tuple(r) for r in pd_.candidates(found, 5, bucket).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(set(got)) and wanted <= set(got)
+    assert set(got) <= {(b, x) for b, own in members.items() for x in own}
+    # Only buckets larger than a task compares go on whole.
+    assert {p for p in got if len(members[p[0]]) <= bucket} == {p for p in wanted if len(members[p[0]]) <= bucket}
+
+
+def test_neighbours_in_one_text_are_no_candidates(spark):
+    """Paragraphs of one text overlap and meet in buckets; before, all of these went on to have their texts compared."""
+    rng = random.Random(11)
+    texts = [(k, " ".join(rng.choice("abcdefgh") + str(rng.randrange(10**6)) for _ in range(600))) for k in range(40)]
+    texts = [(k, re.sub(r"(\S+ ){6}", lambda m: m.group().strip() + ". ", t)) for k, t in texts]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = pd_.occurrences(docs, 30, 5, 6, 4).cache()
+    met = found.selectExpr("node", "explode(bands) as value").groupBy("value").count().where("count > 1").count()
+    few = pd_.candidates(found, pd_.most_apart(26, 0.8), pd_.BUCKET).select("sketch").distinct().count()
+    assert met > 1000 and few < 0.1 * found.count()
