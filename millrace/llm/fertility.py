@@ -68,7 +68,8 @@ class Vocabulary:
 
                 with open(path, "rb") as lines:
                     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-                pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+                # The public pattern in the form that never goes back inside a run.
+                pattern = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
                 coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
                 # A token that is not text by itself is part of a character the vocabulary has no token for.
                 broken = np.zeros(max(ranks.values()) + 1, bool)
@@ -88,12 +89,15 @@ class Vocabulary:
 
     def measure(self, text: str) -> tuple[float, float, float]:
         loaded = self.ready()
-        ids = np.array(loaded["encode"](text), np.int64)
+        ids = np.array(loaded["encode"](text), np.int32)
         if not len(ids):
             return 0.0, 0.0, 0.0
-        counts = np.unique(ids, return_counts=True)[1]
+        foreign = np.count_nonzero(loaded["broken"][ids]) / len(ids)
+        ids.sort()
+        starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True])))
+        counts = starts[1:] - starts[:-1]
         entropy = math.log2(len(ids)) - float((counts * np.log2(counts)).sum()) / len(ids)
-        return len(text) / len(ids), float(loaded["broken"][ids].mean()), max(0.0, entropy)
+        return len(text) / len(ids), foreign, max(0.0, entropy)
 
 
 PRODUCTION = (Vocabulary(TOKENIZERS, "byte_bpe_multi_50k.tiktoken"), Vocabulary(TOKENIZERS, "piece_bpe_32k.model"))

@@ -1,7 +1,11 @@
+import base64
+import math
+import random
 import re
 from collections import Counter
 
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from millrace.llm import fertility
@@ -101,3 +105,20 @@ def test_a_table_of_few_documents_is_judged_by_the_prior_bands(spark, monkeypatc
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in fertility.judge(docs).collect()}
     assert got == {1: (False, True), 2: (False, False), 3: (False, True), 4: (True, False), 5: (True, False)}
+
+
+def test_measures_are_those_of_the_plain_pattern_and_counts():
+    rng, signs = random.Random(3), "ab1 \n\t'.s 　\x1c\x85漢é́\U0001f600\U00010900 -  Ⅷ²lvre'd"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    ready = fertility.PRODUCTION[0].ready()
+    with open(f"{fertility.TOKENIZERS}/{fertility.PRODUCTION[0].file}", "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    coder = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    for text in texts:
+        ids = coder.encode_ordinary(text)
+        counts = Counter(ids)
+        entropy = sum(-n / len(ids) * math.log2(n / len(ids)) for n in counts.values())
+        foreign = sum(bool(ready["broken"][i]) for i in ids) / len(ids)
+        want = (len(text) / len(ids), foreign, pytest.approx(entropy, abs=1e-9))
+        assert fertility.PRODUCTION[0].measure(text) == want
