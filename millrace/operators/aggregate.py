@@ -64,13 +64,18 @@ def summarise_enriched(
     dim_keys: Sequence[str],
     measures: Sequence[Measure],
 ) -> DataFrame:
-    """Group facts by columns of their own and columns of a joined dimension.
+    """Group facts by columns of their own and columns of a joined dimension, which must be unique on the join key.
 
-    Facts are summed up per join key before the join, so it moves sums instead of rows and a hot key arrives as a
-    handful of rows. One program for every size of the dimension, which must be unique on the join key.
+    Without columns of their own, facts are summed up per join key before the join, so it moves sums instead of rows
+    and a hot key arrives as a handful of rows. With such columns, a day or a kind, few rows of one task agree in all
+    of them and the join key: the sums would be about as many as the rows and wider, so rows are joined, and a hot key
+    is divided as in :func:`enrich`. One program for every size of the dimension.
     """
-    joined = enrich(partial_sums(fact, [join_key, *fact_keys], measures), dim, join_key, dim_keys)
-    return merge_partials(joined, [*fact_keys, *dim_keys], measures, source_types(fact))
+    if fact_keys:
+        needed = dict.fromkeys([join_key, *fact_keys, *(m.column for m in measures)])
+        return summarise(enrich(fact.select(*map(name, needed)), dim, join_key, dim_keys), [*fact_keys, *dim_keys], measures)
+    joined = enrich(partial_sums(fact, [join_key], measures), dim, join_key, dim_keys)
+    return merge_partials(joined, dim_keys, measures, source_types(fact))
 
 
 def source_types(fact: DataFrame) -> dict[str, T.DataType]:

@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from millrace.functions.expressions import elapsed_hours, flag, one_of
-from millrace.operators.aggregate import Measure, merge_partials, summarise, summarise_enriched
+from millrace.operators.aggregate import (
+    Measure,
+    merge_partials,
+    partial_sums,
+    source_types,
+    summarise,
+    summarise_enriched,
+)
 from millrace.operators.enrich import enrich
 
 # Tables, keys, columns and measures of the serving model, here and in the functions below.
@@ -264,17 +271,37 @@ def machine_reference(machines: DataFrame) -> DataFrame:
     return machines.selectExpr("machine_id", *MACHINE_ATTRIBUTES)
 
 
-def build_kpis(machines: DataFrame, facts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def machine_sums(production: DataFrame) -> DataFrame:
+    """A row for every machine that produced, from which two KPI tables follow without the fact."""
+    return partial_sums(production, ["machine_id"], (*MACHINE_PRODUCTION, *WORKSHOP_PERFORMANCE))
+
+
+def build_kpis(
+    machines: DataFrame, facts: Mapping[str, DataFrame], sums: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """``sums`` are stored :func:`machine_sums`; without them two more tables read the production fact themselves."""
     reference = machine_reference(machines)
-    production, maintenance = facts["fact_production"], facts["fact_maintenance"]
-    return {
+    production, maintenance, alerts = facts["fact_production"], facts["fact_maintenance"], facts["fact_alerts"]
+    kpis = {
         "kpi_daily_production": kpi_daily_production(production, reference),
-        "kpi_workshop_performance": kpi_workshop_performance(production, reference),
-        "kpi_machine_performance": kpi_machine_performance(
-            production, maintenance, facts["fact_alerts"], reference
-        ),
         "kpi_maintenance_summary": kpi_maintenance_summary(maintenance, reference),
     }
+    if sums is None:
+        return kpis | {
+            "kpi_workshop_performance": kpi_workshop_performance(production, reference),
+            "kpi_machine_performance": kpi_machine_performance(production, maintenance, alerts, reference),
+        }
+    workshop, sources = ["workshop_id", "workshop_name", "location"], source_types(production)
+    placed = enrich(sums, reference, "machine_id", workshop)
+    return kpis | {
+        "kpi_workshop_performance": merge_partials(placed, workshop, WORKSHOP_PERFORMANCE, sources),
+        "kpi_machine_performance": _machine_performance(
+            merge_partials(sums, ["machine_id"], MACHINE_PRODUCTION, sources),
+            summarise(maintenance, ["machine_id"], MACHINE_MAINTENANCE),
+            summarise(alerts, ["machine_id"], MACHINE_ALERTS),
+            reference,
+        ),
+    }
 
 
 @dataclass(frozen=True)

@@ -39,7 +39,7 @@ from millrace.sources.layers import (
     write_counted,
     write_layer,
 )
-from millrace.sources.staging import Folders, require_volume, staged
+from millrace.sources.staging import Folders, require_volume, staged, staging
 from millrace.streaming.events import (
     EVENT_KEY,
     ARRIVAL_DAY,
@@ -61,6 +61,7 @@ log = logging.getLogger(__name__)
 
 BRONZE, SILVER, GOLD, QUARANTINE = "bronze", "silver", "gold", "quarantine"
 JUDGED = "judged"
+SUMS = "sums"
 BRONZE_EVENTS = "bronze_streaming"
 SILVER_EVENTS = "silver_streaming"
 JUDGED_EVENTS = "judged_streaming"
@@ -229,17 +230,28 @@ def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Build, write and check the serving model.
 
     Dimensions and facts are written first; their keys are checked on the stored tables and the KPI tables read
-    those back, so no lineage is computed twice. All of it happens in staging: a model that fails a check never
-    takes the place of the last good one.
+    those back, so no lineage is computed twice. What two KPI tables need of the production fact is summed up once and
+    kept until they are written. All of it happens in staging: a model that fails a check never takes the place of the
+    last good one.
     """
     silver = {t: read_layer(spark, layout, SILVER, t) for t in OPERATIONAL_TABLES}
     with staged(spark, layout) as stage:
         counts = _write_gold(spark, {**marts.build_dimensions(silver), **marts.build_facts(silver)}, stage)
         keys = {**marts.DIMENSION_KEYS, **marts.FACT_KEYS}
         stored = {t: read_layer(spark, stage, GOLD, t) for t in keys}
-        require_unique(stored, keys)
-        counts |= _write_gold(spark, marts.build_kpis(stored["dim_machines"], stored), stage)
+        aside = staging(layout)
+        sums = marts.machine_sums(stored["fact_production"])
+        together(
+            spark,
+            {
+                "keys": partial(require_unique, stored, keys),
+                "sums": partial(write_layer, sums, aside, SUMS, "fact_production"),
+            },
+        )
+        sums = read_layer(spark, aside, SUMS, "fact_production")
+        counts |= _write_gold(spark, marts.build_kpis(stored["dim_machines"], stored, sums), stage)
         require_stored(spark, stage, GOLD, counts)
+        Folders(spark, layout.root).remove(aside.root)
     return counts
 
 

@@ -165,6 +165,28 @@ def test_join_moves_sums_not_rows(spark, silver):
     assert "HashAggregate(keys=[machine_id" in plan[join:]
 
 
+@pytest.mark.parametrize("kpi, fact", [("kpi_daily_production", "production"), ("kpi_maintenance_summary", "maintenance")])
+def test_sums_about_as_many_as_rows_are_not_made(spark, silver, kpi, fact):
+    """By day and machine there is hardly anything to sum up: one grouping, after the join."""
+    machines = marts.dim_machines(silver["machines"], silver["workshops"])
+    plan = plan_of(getattr(marts, kpi)(marts.build_facts(silver)[f"fact_{fact}"], machines))
+    join = plan.index("Join [machine_id")
+    assert "Aggregate(keys=[machine_id" not in plan and "HashAggregate" not in plan[join:]
+
+
+def test_rows_joined_to_days_keep_orphans_and_nulls(spark):
+    fact = spark.sql(
+        "select * from values (1, 'a', 2.50BD), (1, 'a', null), (null, 'a', 1.25BD), (9, 'b', 4.00BD), (2, null, 3.00BD), (1, 'a', 2.50BD)"
+        " as t(machine_id, day, x)"
+    )
+    dim = spark.sql("select * from values (1, 'w'), (2, 'w') as t(machine_id, place)")
+    measures = [Measure("total", "sum", "x", 2), Measure("mean", "avg", "x", 4), Measure("n", "count", "x")]
+    direct, merged = both_ways(fact, dim, ["day"], ["place"], measures)
+    assert direct.schema == merged.schema
+    rows = {(r.day, r.place): (float(r.total), float(r.mean), r.n) for r in merged.collect()}
+    assert rows == {("a", "w"): (5.0, 2.5, 2), ("a", None): (1.25, 1.25, 1), ("b", None): (4.0, 4.0, 1), (None, "w"): (3.0, 3.0, 1)}
+
+
 def test_odd_names_are_quoted_everywhere(spark):
     from millrace.plans.contract import TableContract, clean
 

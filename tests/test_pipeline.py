@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
+from pyarrow.parquet import ParquetFile
 from test_sources import FolderTarget
 
 import __spark_entry__ as entry
@@ -66,6 +68,30 @@ def test_gold_equals_the_registered_query(spark, lake, table):
     assert stored.exceptAll(direct).isEmpty() and direct.exceptAll(stored).isEmpty()
 
 
+def test_two_kpi_tables_follow_from_sums_of_one_pass(spark, lake, tmp_path):
+    stored = {t: read_layer(spark, lake[0], "gold", t) for t in ("dim_machines", *marts.FACT_KEYS)}
+    marts.machine_sums(stored["fact_production"]).write.parquet(f"{tmp_path}/sums")
+    read = marts.build_kpis(stored["dim_machines"], stored)
+    summed = marts.build_kpis(stored["dim_machines"], stored, spark.read.parquet(f"{tmp_path}/sums"))
+    assert read.keys() == summed.keys() == set(marts.KPI_TABLES)
+    for t in ("kpi_workshop_performance", "kpi_machine_performance"):
+        assert not [f for f in summed[t].inputFiles() if "fact_production" in f]
+        assert read[t].schema == summed[t].schema
+        assert read[t].exceptAll(summed[t]).isEmpty() and summed[t].exceptAll(read[t]).isEmpty()
+
+
+def test_gold_leaves_no_sums_behind(spark, lake):
+    root = Path(lake[0].root)
+    assert not [p for p in root.rglob("*") if pipeline.SUMS in p.relative_to(root).parts]
+
+
+def test_stored_timestamps_are_plain_numbers(lake):
+    files = Path(lake[0].path("gold", "fact_alerts")).glob("*.parquet")
+    schema = ParquetFile(next(files)).schema
+    kinds = {schema.column(i).name: schema.column(i).physical_type for i in range(len(schema.names))}
+    assert {kinds[c] for c in ("alert_timestamp", "resolved_at", "_gold_processed_at")} == {"INT64"}
+
+
 def test_gold_is_validated_and_published(spark, lake):
     layout, result = lake
     assert set(result.gold) == set(marts.GOLD_TABLES)
